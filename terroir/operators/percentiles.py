@@ -13,13 +13,10 @@ Results equal linear interpolation between the two neighbouring order statistics
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 @dataclass(frozen=True)
@@ -36,86 +33,80 @@ class Pct:
     width: float | None = None
 
 
-def _slice(x: Column, width: float | None) -> Column:
+def _slice(width: float | None) -> str:
     if width is None:
-        return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * 128.0)).cast("double")
-    return F.floor(x / F.lit(float(width))).cast("double")
+        return "cast(signum(x) * floor(log1p(abs(x)) * 128) as double)"
+    return f"cast(floor(x / {float(width)!r}D) as double)"
 
 
 def percentiles(
-    df: DataFrame, keys: Sequence[str], wanted: Sequence[Pct], weight: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    wanted: Sequence[Pct],
+    weight: str | None = None,
+    counts: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Keys and one double column per ``wanted``; groups without any non-NULL value are absent.
 
-    ``weight`` names a column of row counts when ``df`` is already a histogram.
+    ``weight`` names a column of row counts when ``df`` is already a histogram. ``counts`` adds the number
+    of non-NULL values of a value column under a given name (it is known anyway).
     """
-    keys = list(keys)
     widths: dict[str, float | None] = {}
     for w in wanted:
         widths.setdefault(w.value, w.width)
     values = list(widths)
-    n = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-
-    if len(values) == 1:
-        stacked = df.select(*keys, F.lit(0).alias("__m"), F.col(values[0]).cast("double").alias("__x"), n.alias("__w"))
-    else:
-        entries = [
-            F.struct(F.lit(i).alias("__m"), F.col(v).cast("double").alias("__x")) for i, v in enumerate(values)
-        ]
-        stacked = df.select(*keys, n.alias("__w"), F.inline(F.array(*entries)))
-
-    hist = (
-        stacked.filter(F.col("__x").isNotNull())
-        .groupBy(*keys, "__m", "__x")
-        .agg(F.sum("__w").alias("__n"))
-    )
-    sliced = F.lit(None).cast("double")
-    for i, v in enumerate(values):
-        sliced = F.when(F.col("__m") == i, _slice(F.col("__x"), widths[v])).otherwise(sliced)
-    hist = hist.withColumn("__s", sliced)
-
-    # Cumulative position of each slice inside its group.
-    group = W.partitionBy(*keys, "__m")
-    slices = (
-        hist.groupBy(*keys, "__m", "__s")
-        .agg(F.sum("__n").alias("__c"))
-        .withColumn("__total", F.sum("__c").over(group))
-        .withColumn("__before", F.sum("__c").over(group.orderBy("__s").rowsBetween(W.unboundedPreceding, 0)) - F.col("__c"))
-    )
-
-    def bounds(w: Pct, total: Column) -> tuple[Column, Column, Column]:
-        position = (total - 1) * F.lit(float(w.p))
-        return F.floor(position), F.ceil(position), position
-
-    hit = F.lit(False)
-    for w in wanted:
-        lo, hi, _ = bounds(w, F.col("__total"))
-        end = F.col("__before") + F.col("__c")
-        inside = ((lo >= F.col("__before")) & (lo < end)) | ((hi >= F.col("__before")) & (hi < end))
-        hit = hit | ((F.col("__m") == values.index(w.value)) & inside)
-    by = [*keys, "__m", "__s"]
-    targets = slices.filter(hit).select(*[F.col(c).alias(f"__t{c}") for c in by], "__before", "__total")
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__t{c}")) for c in by])
-    inside_slice = W.partitionBy(*by).orderBy("__x").rowsBetween(W.unboundedPreceding, 0)
-    ranked = (
-        hist.join(targets, cond)
-        .withColumn("__end", F.col("__before") + F.sum("__n").over(inside_slice))
-        .withColumn("__start", F.col("__end") - F.col("__n"))
-    )
-
-    aggs: list[Column] = []
+    k = ", ".join(f"`{c}`" for c in keys)
+    same_group = " and ".join(f"h.`{c}` <=> t.`{c}`" for c in (*keys, "m", "s"))
+    entries = ", ".join(f"struct({i} as m, cast(`{v}` as double) as x)" for i, v in enumerate(values))
+    slices = " ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values))
+    # One entry per wanted percentile and side: 2 * i below, 2 * i + 1 above.
+    ranks, picks, results = [], [], []
     for i, w in enumerate(wanted):
-        lo, hi, position = bounds(w, F.col("__total"))
-        mine = F.col("__m") == values.index(w.value)
-        for side, r in (("lo", lo), ("hi", hi)):
-            at = mine & (F.col("__start") <= r) & (r < F.col("__end"))
-            aggs.append(F.max(F.when(at, F.col("__x"))).alias(f"__{side}{i}"))
-        aggs.append(F.max(F.when(mine, position - lo)).alias(f"__f{i}"))
-    found = ranked.groupBy(*keys).agg(*aggs)
-    return found.select(
-        *keys,
-        *[
-            (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(w.name)
-            for i, w in enumerate(wanted)
-        ],
+        position = f"(total - 1) * {float(w.p)!r}D"
+        m = values.index(w.value)
+        ranks += [f"struct({m} as m, {2 * i} as j, floor({position}) as r)", f"struct({m} as m, {2 * i + 1} as j, ceil({position}) as r)"]
+        picks += [f"max(if(j = {2 * i}, x, null)) as lo{i}", f"max(if(j = {2 * i + 1}, x, null)) as hi{i}", f"max(if(j = {2 * i}, total, null)) as n{i}"]
+        position = position.replace("total", f"n{i}")
+        results.append(f"lo{i} + (hi{i} - lo{i}) * ({position} - floor({position})) as `{w.name}`")
+
+    for name, value in (counts or {}).items():
+        first = next(i for i, w in enumerate(wanted) if w.value == value)
+        results.append(f"coalesce(n{first}, 0L) as `{name}`")
+
+    return df.sparkSession.sql(
+        f"""
+        with stacked as (
+          select {k}, {"1L" if weight is None else f"cast(`{weight}` as bigint)"} as w, inline(array({entries})) from {{df}}
+        ),
+        hist as (
+          select {k}, m, x, sum(w) as n, case m {slices} end as s from stacked where x is not null group by {k}, m, x
+        ),
+        sizes as (select {k}, m, s, sum(n) as c from hist group by {k}, m, s),
+        positions as (
+          select *, sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before,
+                 sum(c) over (partition by {k}, m) as total
+          from sizes
+        ),
+        targets as (
+          select * from (
+            select *, filter(array({", ".join(ranks)}), t -> t.m = m and t.r >= before and t.r < before + c) as ranks
+            from positions
+          ) where size(ranks) > 0
+        ),
+        candidates as (
+          select {", ".join(f"h.`{c}`" for c in keys)}, h.m, h.s, h.x, h.n, t.before, t.total, t.ranks
+          from hist h join targets t on {same_group}
+          distribute by {", ".join(f"h.`{c}`" for c in keys)}
+        ),
+        ranked as (
+          select *, before + sum(n) over (partition by {k}, m, s order by x rows unbounded preceding) as upto
+          from candidates
+        ),
+        found as (
+          select {k}, x, total, inline(filter(ranks, t -> t.r >= upto - n and t.r < upto)) as (m, j, r) from ranked
+        ),
+        picked as (select {k}, {", ".join(picks)} from found group by {k})
+        select {k}, {", ".join(results)} from picked
+        """,
+        df=df,
     )

@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 def top_n_with_ties(df: DataFrame, measure: str, n: int, ascending: bool = False, rank: str = "rang") -> DataFrame:
     """Rows ranked 1..n by ``measure``, ties included, NULL measures excluded.
 
-    The n best distinct values hold every wanted rank, so only those n rows meet in one task; the rows
-    themselves, however many tie, are picked by an equi join with that n-row table.
+    Spark turns ``rank() <= n`` into a per-task limit before the exchange, so the ranking task receives
+    the best rows of each task, not the table.
     """
     order = F.col(measure).asc() if ascending else F.col(measure).desc()
-    eligible = df.filter(F.col(measure).isNotNull())
-    best = eligible.groupBy(measure).agg(F.count(F.lit(1)).alias("__n")).orderBy(order).limit(n)
-    ahead = F.sum("__n").over(W.orderBy(order).rowsBetween(W.unboundedPreceding, -1))
-    ranks = best.select(measure, (F.coalesce(ahead, F.lit(0)) + 1).cast("int").alias(rank))
-    ranks = ranks.filter(F.col(rank) <= n)
-    return eligible.join(F.broadcast(ranks), measure).select(*df.columns, rank)
+    ranked = df.filter(F.col(measure).isNotNull()).withColumn(rank, F.rank().over(W.orderBy(order)))
+    return ranked.filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("int"))
