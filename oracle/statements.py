@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import reports
+from oracle import other, reports
 from oracle.base import with_ctes
 
 MODEL_CTE = {
@@ -25,4 +25,5 @@ MODEL_CTE = {
 def statements() -> dict[str, str]:
     out = {name: with_ctes(f"select * from {cte}", cte) for name, cte in MODEL_CTE.items()}
     out |= reports.statements()
+    out |= other.statements()
     return out

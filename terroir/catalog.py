@@ -13,10 +13,15 @@ from terroir.operators.joins import keep_members, lookup, not_in
 from terroir.operators.percentiles import Pct, percentiles
 from terroir.operators.periods import with_prior_year
 from terroir.params import Contexte
+from terroir.operators.history import apply_snapshot, open_history
+from terroir.plans import controls, intermediate
 from terroir.plans import measures as M
 from terroir.plans import reports as R
 from terroir.plans.measures import Modele
-from terroir.plans.warehouse import MODELES, Warehouse, warehouse
+from terroir.plans.warehouse import EXPORTS, MODELES, Warehouse, warehouse
+from terroir.sinks import publish as K
+from terroir.sources import landing as L
+from terroir.streaming import incremental as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +102,78 @@ def _etiquette_frequente(w: Warehouse) -> DataFrame:
     )
 
 
+def _counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counts.items()), "nom_table string, nb_lignes long")
+
+
+def _source(name: str) -> Callable[[Warehouse], DataFrame]:
+    def run(w: Warehouse) -> DataFrame:
+        return L.READERS[name](w.spark, w.files()).drop("filename", "_loaded_at")
+
+    return run
+
+
+def _chargement(w: Warehouse) -> DataFrame:
+    """Full refresh of the raw layer from files, with the rows written per table."""
+    return _counts(w.spark, L.land(L.read_raw(w.spark, w.files()), w.scratch("raw")))
+
+
+def _publication(w: Warehouse) -> DataFrame:
+    """Publish the exported tables twice (the second switch replaces the first) and count what readers see."""
+    root = w.scratch("publication")
+    tables = {t: w.table(t) for t in EXPORTS}
+    K.publish(tables, root, only=EXPORTS[:2])
+    K.publish(tables, root)
+    return _counts(w.spark, {t: K.read_published(w.spark, root, t).count() for t in EXPORTS})
+
+
+def _stream(w: Warehouse) -> tuple[DataFrame, str, str]:
+    base = w.scratch("flux")
+    return S.landing_stream(w.spark, f"{w.files()}/{L.MOTIF_DPE}"), f"{base}/out", f"{base}/checkpoint"
+
+
+def _ingestion(w: Warehouse) -> DataFrame:
+    """Landed files appended once; the second run finds nothing new."""
+    stream, out, checkpoint = _stream(w)
+    S.append_once(stream, out, checkpoint)
+    S.append_once(stream, out, checkpoint)
+    return w.spark.read.parquet(out).drop("_loaded_at")
+
+
+def _dedoublonnage(w: Warehouse) -> DataFrame:
+    stream, out, checkpoint = _stream(w)
+    S.append_once(S.without_duplicates(stream), out, checkpoint)
+    return w.spark.read.parquet(out).drop("_loaded_at")
+
+
+def _flux_mensuel(w: Warehouse) -> DataFrame:
+    stream, out, checkpoint = _stream(w)
+    S.write_lots(S.without_duplicates(stream), S.monthly_partial(w.params), out, checkpoint)
+    return S.monthly_counts(w.spark, out)
+
+
+def _dernier_courant(w: Warehouse) -> DataFrame:
+    stream, out, checkpoint = _stream(w)
+    S.write_lots(S.without_duplicates(stream), S.latest_partial, out, checkpoint)
+    return S.latest_rows(w.spark, out)
+
+
+SUIVIES = ("numero_dpe", "etiquette_dpe", "surface_habitable")
+
+
+def _historique(w: Warehouse) -> DataFrame:
+    """History of the latest diagnostics after two yearly snapshots."""
+    dated = w.table("stg_dpe_logements")
+
+    def snapshot(end: str) -> DataFrame:
+        known = dated.filter(F.col("date_etablissement_dpe") < F.lit(end).cast("date"))
+        return intermediate.dpe_dernier(known).select("cle_logement", *SUIVIES)
+
+    day = lambda d: F.lit(d).cast("date")
+    history = open_history(snapshot("2023-01-01"), day("2023-01-01"))
+    return apply_snapshot(history, snapshot("2024-01-01"), "cle_logement", SUIVIES, day("2024-01-01"))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {name: _model(name) for name in MODELES}
     q |= {
@@ -135,5 +212,26 @@ def queries() -> dict[str, Query]:
         "etiquette_frequente": _tables(_etiquette_frequente),
         "quartiles_surface": _tables(_quartiles_surface),
         "communes_hors_referentiel": _tables(_hors_referentiel),
+        "v01_non_nuls": _tables(controls.non_nuls),
+        "v02_uniques": _tables(controls.uniques),
+        "v03_valeurs_acceptees": _tables(controls.valeurs),
+        "v04_relations": _tables(controls.relations),
+        "v05_combinaison_unique": _tables(controls.combinaison),
+        "v06_population_renseignee": _tables(controls.population_renseignee),
+        "v07_tous_les_controles": _tables(controls.tous),
+        "v08_prix_hors_bornes": _tables(controls.prix_hors_bornes),
+        "v09_natures": _tables(controls.natures),
+        "v09_natures_inconnues": _tables(controls.natures_inconnues),
+        "v10_parts_hors_bornes": _tables(controls.parts_hors_bornes),
+        "source_dvf_csv": _tables(_source("dvf_mutations")),
+        "source_dpe_json": _tables(_source("dpe_logements")),
+        "source_insee_parquet": _tables(_source("insee_comparateur")),
+        "chargement_brut": _tables(_chargement),
+        "publication": _tables(_publication),
+        "st1_ingestion": _tables(_ingestion),
+        "st2_dedoublonnage": _tables(_dedoublonnage),
+        "st3_flux_mensuel": _tables(_flux_mensuel),
+        "st4_dernier_courant": _tables(_dernier_courant),
+        "st5_historique": _tables(_historique),
     }
     return q

@@ -40,11 +40,12 @@ class Warehouse:
     def __init__(self, spark: SparkSession, raw: dict, root: str, params: Params = Params(as_of=AS_OF)):
         self.spark, self.raw, self.root, self.params = spark, raw, root, params
         self._written: dict[str, DataFrame] = {}
+        self._files: str | None = None
 
     def table(self, name: str) -> DataFrame:
         """The written table, built with its inputs on first use."""
         if name not in self._written:
-            path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+            path = self.scratch(name)
             self.write(self.plan(name), name, path)
             self._written[name] = self.spark.read.parquet(path).drop("annee_partition")
         return self._written[name]
@@ -62,6 +63,18 @@ class Warehouse:
             .parquet(path)
         )
 
+    def scratch(self, name: str) -> str:
+        """A new folder of this build."""
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+
+    def files(self) -> str:
+        """Folder holding the raw sources as published files, written on first use."""
+        if self._files is None:
+            root = self.scratch("fichiers")
+            adapters.write_files({n: self.table(n) for n in self.raw}, root)
+            self._files = root
+        return self._files
+
     def plan(self, name: str) -> DataFrame:
         """The table's definition over its written inputs; nothing is written for ``name`` itself."""
         return getattr(self, f"_{name}")()

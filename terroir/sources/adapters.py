@@ -174,3 +174,33 @@ def insee_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("59", "Nord", "DEP", "POP", "POP", "2023", 2600000.0, None, "2026")], schema=long.schema
     )
     return long.unionByName(extra).withColumn("_loaded_at", F.expr(_LOADED_AT))
+
+
+def write_files(raw: dict[str, DataFrame], root: str) -> None:
+    """The raw tables as published files: gzip CSV per year with two header layouts, gzip JSON lines, Parquet.
+
+    Files of 2024 on list their columns in reverse order and carry one more column.
+    """
+    year = F.substring("date_mutation", 1, 4)
+    dvf = raw["dvf_mutations"].drop("_loaded_at").withColumn("annee", year)
+    columns = [c for c in dvf.columns if c != "annee"]
+    # Partition directories end in the year, as the published folders do.
+    for part, cols in (
+        (dvf.filter(F.col("annee") < "2024"), columns),
+        (dvf.filter(F.col("annee") >= "2024").withColumn("ancien_code_commune", F.col("code_commune")), [*columns[::-1], "ancien_code_commune"]),
+    ):
+        (
+            part.select(*cols, "annee")
+            .write.mode("append")
+            .partitionBy("annee")
+            .option("header", True)
+            .option("escape", '"')
+            .option("compression", "gzip")
+            .csv(f"{root}/dvf")
+        )
+    # Consumption is a JSON number in the source and text in the raw layer; unknown fields are ignored.
+    dpe = raw["dpe_logements"].drop("_loaded_at").withColumn(
+        "conso_5_usages_par_m2_ep", F.col("conso_5_usages_par_m2_ep").cast("int")
+    )
+    dpe.withColumn("version_dpe", F.lit(2.4)).write.option("compression", "gzip").json(f"{root}/dpe")
+    raw["insee_comparateur"].drop("_loaded_at").write.parquet(f"{root}/insee/comparateur.parquet")
