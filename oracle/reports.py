@@ -173,8 +173,8 @@ def statements() -> dict[str, str]:
     q["q07_accessibilite_cles"] = with_ctes(
         f"""
         select *, {_thousands('niveau_vie_commune_mediane')} || ' €/an' as niveau_vie_carte,
-               replace({_thousands('nb_communes_retenues')}, ',', ' ') || ' communes · 2024-2025' as libelle_communes,
-               cast(cast(round(part_communes_8_ans * 100) as integer) as varchar) || ' % des communes' as libelle_part,
+               ifnull(replace({_thousands('nb_communes_retenues')}, ',', ' '), '') || ' communes · 2024-2025' as libelle_communes,
+               ifnull(cast(cast(round(part_communes_8_ans * 100) as integer) as varchar) || ' %', '') || ' des communes' as libelle_part,
                'INSEE, revenus 2023' as libelle_source
         from (
           select nullif(count(*), 0) as nb_communes_retenues, median(annees_pour_acheter) as annees_commune_mediane,

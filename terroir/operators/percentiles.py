@@ -1,6 +1,7 @@
-"""Exact interpolated percentiles that never hold a group in one task.
+"""Exact interpolated percentiles that never hold a large group in one task.
 
-The built-in ``percentile`` keeps every distinct value of a group in one task's map. Here:
+The built-in ``percentile`` keeps every distinct value of a group in one task's map. Here, beyond a small
+input:
 
 1. values are counted per (group, value), with map-side combine, so a hot group and even a single hot
    value spread over all tasks;
@@ -8,7 +9,9 @@ The built-in ``percentile`` keeps every distinct value of a group in one task's
    group and gives the cumulative position of each slice;
 3. only the slices holding a wanted position are ranked value by value.
 
-Results equal linear interpolation between the two neighbouring order statistics.
+An input under ``SMALL_BYTES`` (by the optimizer's size estimate, which is the file size for a scan and
+errs upwards for joins) skips step 2: its counted values are ranked per group after a shuffle on the keys.
+Both ways pick the same order statistics and interpolate linearly between them with the same arithmetic.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+SMALL_BYTES = 64 << 20
+
 
 @dataclass(frozen=True)
 class Pct:
@@ -33,18 +38,58 @@ class Pct:
     width: float | None = None
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _slice(width: float | None) -> str:
     if width is None:
         return "cast(signum(x) * floor(log1p(abs(x)) * 128) as double)"
     return f"cast(floor(x / {float(width)!r}D) as double)"
 
 
+# Counted per value, then each group is ranked as a whole.
+_SMALL = """
+hist as (
+  select * from (select {k}, m, x, sum(w) as n from stacked where x is not null group by {k}, m, x) distribute by {k}
+),
+ranked as (
+  select *, sum(n) over (partition by {k}, m order by x rows unbounded preceding) as upto,
+         sum(n) over (partition by {k}, m) as total, array({ranks}) as ranks
+  from hist
+)"""
+
+# Counted per value, located per slice, ranked inside the slices hit.
+_LARGE = """
+hist as (
+  select {k}, m, x, sum(w) as n, case m {slices} end as s from stacked where x is not null group by {k}, m, x
+),
+sizes as (select {k}, m, s, sum(n) as c from hist group by {k}, m, s),
+positions as (
+  select *, sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before,
+         sum(c) over (partition by {k}, m) as total
+  from sizes
+),
+targets as (
+  select * from (
+    select *, filter(array({ranks}), t -> t.m = m and t.r >= before and t.r < before + c) as ranks from positions
+  ) where size(ranks) > 0
+),
+candidates as (
+  select {hk}, h.m, h.s, h.x, h.n, t.before, t.total, t.ranks from hist h join targets t on {same} distribute by {hk}
+),
+ranked as (
+  select *, before + sum(n) over (partition by {k}, m, s order by x rows unbounded preceding) as upto from candidates
+)"""
+
+
 def percentiles(
     df: DataFrame,
     keys: Sequence[str],
     wanted: Sequence[Pct],
     weight: str | None = None,
     counts: Mapping[str, str] | None = None,
+    small_bytes: int | None = None,
 ) -> DataFrame:
     """Keys and one double column per ``wanted``; groups without any non-NULL value are absent.
 
@@ -55,55 +100,43 @@ def percentiles(
     for w in wanted:
         widths.setdefault(w.value, w.width)
     values = list(widths)
-    k = ", ".join(f"`{c}`" for c in keys)
-    same_group = " and ".join(f"h.`{c}` <=> t.`{c}`" for c in (*keys, "m", "s"))
     entries = ", ".join(f"struct({i} as m, cast(`{v}` as double) as x)" for i, v in enumerate(values))
-    slices = " ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values))
     # One entry per wanted percentile and side: 2 * i below, 2 * i + 1 above.
     ranks, picks, results = [], [], []
     for i, w in enumerate(wanted):
-        position = f"(total - 1) * {float(w.p)!r}D"
-        m = values.index(w.value)
-        ranks += [f"struct({m} as m, {2 * i} as j, floor({position}) as r)", f"struct({m} as m, {2 * i + 1} as j, ceil({position}) as r)"]
-        picks += [f"max(if(j = {2 * i}, x, null)) as lo{i}", f"max(if(j = {2 * i + 1}, x, null)) as hi{i}", f"max(if(j = {2 * i}, total, null)) as n{i}"]
+        m, position = values.index(w.value), f"(total - 1) * {float(w.p)!r}D"
+        for j, bound in ((2 * i, "floor"), (2 * i + 1, "ceil")):
+            ranks.append(f"struct({m} as m, {j} as j, {bound}({position}) as r)")
+        picks += [
+            f"max(if(j = {2 * i}, x, null)) as lo{i}",
+            f"max(if(j = {2 * i + 1}, x, null)) as hi{i}",
+            f"max(if(j = {2 * i}, total, null)) as n{i}",
+        ]
         position = position.replace("total", f"n{i}")
-        results.append(f"lo{i} + (hi{i} - lo{i}) * ({position} - floor({position})) as `{w.name}`")
-
+        above = f"({position} - floor({position}))"
+        results.append(f"lo{i} * (1D - {above}) + hi{i} * {above} as `{w.name}`")
     for name, value in (counts or {}).items():
         first = next(i for i, w in enumerate(wanted) if w.value == value)
         results.append(f"coalesce(n{first}, 0L) as `{name}`")
 
+    k = ", ".join(f"`{c}`" for c in keys)
+    small = estimated_bytes(df) < (SMALL_BYTES if small_bytes is None else small_bytes)
+    ranked = (_SMALL if small else _LARGE).format(
+        k=k,
+        hk=", ".join(f"h.`{c}`" for c in keys),
+        ranks=", ".join(ranks),
+        slices=" ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values)),
+        same=" and ".join(f"h.`{c}` <=> t.`{c}`" for c in (*keys, "m", "s")),
+    )
     return df.sparkSession.sql(
         f"""
         with stacked as (
           select {k}, {"1L" if weight is None else f"cast(`{weight}` as bigint)"} as w, inline(array({entries})) from {{df}}
         ),
-        hist as (
-          select {k}, m, x, sum(w) as n, case m {slices} end as s from stacked where x is not null group by {k}, m, x
-        ),
-        sizes as (select {k}, m, s, sum(n) as c from hist group by {k}, m, s),
-        positions as (
-          select *, sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before,
-                 sum(c) over (partition by {k}, m) as total
-          from sizes
-        ),
-        targets as (
-          select * from (
-            select *, filter(array({", ".join(ranks)}), t -> t.m = m and t.r >= before and t.r < before + c) as ranks
-            from positions
-          ) where size(ranks) > 0
-        ),
-        candidates as (
-          select {", ".join(f"h.`{c}`" for c in keys)}, h.m, h.s, h.x, h.n, t.before, t.total, t.ranks
-          from hist h join targets t on {same_group}
-          distribute by {", ".join(f"h.`{c}`" for c in keys)}
-        ),
-        ranked as (
-          select *, before + sum(n) over (partition by {k}, m, s order by x rows unbounded preceding) as upto
-          from candidates
-        ),
+        {ranked},
         found as (
-          select {k}, x, total, inline(filter(ranks, t -> t.r >= upto - n and t.r < upto)) as (m, j, r) from ranked
+          select {k}, x, total, inline(filter(ranks, t -> t.m = m and t.r >= upto - n and t.r < upto)) as (tm, j, r)
+          from ranked
         ),
         picked as (select {k}, {", ".join(picks)} from found group by {k})
         select {k}, {", ".join(results)} from picked

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terroir.operators.percentiles import estimated_bytes
 from terroir.params import Params
 from terroir.plans import intermediate, marts, staging
 from terroir.sources import adapters, seeds
@@ -24,11 +25,14 @@ AS_OF = dt.date(2026, 6, 30)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one is set only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names; a temporary one only where none is named and Spark is local."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         configured = tempfile.mkdtemp(prefix="terroir-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
@@ -37,8 +41,16 @@ class Warehouse:
 
     PARTITIONED = {"fct_ventes": "date_vente", "fct_dpe_mensuel": "mois"}
 
-    def __init__(self, spark: SparkSession, raw: dict, root: str, params: Params = Params(as_of=AS_OF)):
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw: dict[str, DataFrame],
+        root: str,
+        params: Params = Params(as_of=AS_OF),
+        rows_per_file: int = 5_000_000,
+    ):
         self.spark, self.raw, self.root, self.params = spark, raw, root, params
+        self.rows_per_file = rows_per_file
         self._written: dict[str, DataFrame] = {}
         self._files: str | None = None
 
@@ -53,13 +65,14 @@ class Warehouse:
     def write(self, df: DataFrame, name: str, path: str) -> None:
         day = self.PARTITIONED.get(name)
         if day is None:
-            df.write.parquet(path)
+            df.write.option("maxRecordsPerFile", self.rows_per_file).parquet(path)
             return
         # The rebalance hint splits a heavy year over several files instead of one task per year.
         (
             df.withColumn("annee_partition", F.year(day))
             .hint("rebalance", "annee_partition")
-            .write.partitionBy("annee_partition")
+            .write.option("maxRecordsPerFile", self.rows_per_file)
+            .partitionBy("annee_partition")
             .parquet(path)
         )
 
@@ -178,5 +191,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     if key not in _OPEN:
         digest = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
         root = f"{shared_dir(spark)}/terroir/{app}/{digest}"
-        _OPEN[key] = Warehouse(spark, raw_from_test_tables(spark, sf_dir), root)
+        raw = raw_from_test_tables(spark, sf_dir)
+        # A small input arrives as one unsplittable file; shorter files keep every core busy after it.
+        small = estimated_bytes(spark.read.parquet(f"{sf_dir}/lineitem.parquet")) < 1 << 30
+        _OPEN[key] = Warehouse(spark, raw, root, rows_per_file=50_000 if small else 5_000_000)
     return _OPEN[key]

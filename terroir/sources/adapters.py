@@ -20,6 +20,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than there are cores (a single small file)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _dep(n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(d) for d in _DEPS]), (n % 5 + 1).cast("int"))
 
@@ -31,8 +37,10 @@ def _commune(k: Column, n: Column) -> Column:
 
 def dvf_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a sale, its lines are the premises; returned lines lie on two parcels."""
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
+    li = _spread(
+        _table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
+        )
     )
     orders = _table(spark, sf_dir, "orders")
     cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -99,7 +107,7 @@ def dpe_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event is a diagnostic; one in a hundred was downloaded twice."""
     k = F.get_json_object("props", "$.k").cast("int")
     ev = (
-        _table(spark, sf_dir, "events")
+        _spread(_table(spark, sf_dir, "events"))
         .select("event_id", "user_id", "event_type", "value", k.alias("k"))
         .withColumn("replica", F.explode(F.when(F.col("event_id") % 100 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     )
