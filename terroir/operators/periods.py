@@ -8,25 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terroir.operators.joins import join_groups
-
 
 def with_prior_year(
     df: DataFrame, year: str, keys: Sequence[str], values: Sequence[str], suffix: str = "_n1"
 ) -> DataFrame:
     """Add each value one year earlier; NULL when the current value or the earlier row is missing.
 
-    A join on the shifted year, because ``lag`` would take the wrong row when a year is absent.
+    ``df`` holds one row per year and keys. The range frame covers exactly the year before, where ``lag``
+    would take the wrong row when a year is absent, and unlike a join on the shifted year it evaluates
+    ``df`` once.
     """
-    earlier = df.select(
-        (F.col(year) + 1).cast(df.schema[year].dataType).alias(year),
-        *keys,
-        *[F.col(v).alias(f"{v}{suffix}") for v in values],
-    )
-    joined = join_groups(df, earlier, [year, *keys])
-    return joined.select(
-        *df.columns,
-        *[F.when(F.col(v).isNotNull(), F.col(f"{v}{suffix}")).alias(f"{v}{suffix}") for v in values],
+    before = W.partitionBy(*keys).orderBy(year).rangeBetween(-1, -1)
+    return df.select(
+        "*", *[F.when(F.col(v).isNotNull(), F.max(v).over(before)).alias(f"{v}{suffix}") for v in values]
     )
 
 

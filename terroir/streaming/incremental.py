@@ -103,7 +103,7 @@ def daily_counts(stream: DataFrame, delay: str = "30 days") -> DataFrame:
         stream.filter(F.col("date_etablissement_dpe").isNotNull())
         .withColumn("jour", F.col("date_etablissement_dpe").cast("timestamp"))
         .withWatermark("jour", delay)
-        .groupBy(F.window("jour", "1 day").alias("fenetre"), "etiquette_dpe")
+        .groupBy("jour", "etiquette_dpe")
         .agg(F.count(F.lit(1)).alias("nb_dpe"))
-        .select(F.col("fenetre.start").cast("date").alias("jour"), "etiquette_dpe", "nb_dpe")
+        .select(F.col("jour").cast("date").alias("jour"), "etiquette_dpe", "nb_dpe")
     )
