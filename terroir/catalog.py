@@ -83,9 +83,9 @@ def _quartiles_surface(w: Warehouse) -> DataFrame:
         w.table("stg_dpe_logements"),
         ["type_batiment"],
         [
-            Pct("q1", "surface_habitable", 0.25, 1.0),
-            Pct("mediane", "surface_habitable", 0.5, 1.0),
-            Pct("q3", "surface_habitable", 0.75, 1.0),
+            Pct("q1", "surface_habitable", 0.25),
+            Pct("mediane", "surface_habitable"),
+            Pct("q3", "surface_habitable", 0.75),
         ],
         counts={"nb": "surface_habitable"},
     )

@@ -12,8 +12,8 @@ from terroir.operators.joins import join_groups, keep_members, not_in
 from terroir.operators.percentiles import Pct, percentiles
 from terroir.params import Params
 
-# Slice widths of the percentile operator, in the unit of each value.
-L_PRIX_M2, L_SURFACE, L_CONSO, L_COORD = 10.0, 1.0, 1.0, 0.002
+# Slice width of coordinates, in degrees.
+L_COORD = 0.002
 
 
 def dim_date(spark: SparkSession, params: Params = Params()) -> DataFrame:
@@ -197,11 +197,11 @@ def mart_prix(ventes: DataFrame) -> DataFrame:
         plausibles,
         keys,
         [
-            Pct("prix_m2_median", "prix_m2", 0.5, L_PRIX_M2),
-            Pct("prix_m2_q1", "prix_m2", 0.25, L_PRIX_M2),
-            Pct("prix_m2_q3", "prix_m2", 0.75, L_PRIX_M2),
+            Pct("prix_m2_median", "prix_m2"),
+            Pct("prix_m2_q1", "prix_m2", 0.25),
+            Pct("prix_m2_q3", "prix_m2", 0.75),
             Pct("prix_median", "valeur_fonciere"),
-            Pct("surface_mediane", "surface_reelle_bati", width=L_SURFACE),
+            Pct("surface_mediane", "surface_reelle_bati"),
         ],
     )
     return join_groups(counted, pct, keys).select(
@@ -245,10 +245,10 @@ def mart_logement(insee: DataFrame, ventes: DataFrame, dpe_dernier: DataFrame, p
         ),
         key,
         [
-            Pct("prix_m2_median_appartement", "m2_appartement", width=L_PRIX_M2),
-            Pct("prix_m2_median_maison", "m2_maison", width=L_PRIX_M2),
+            Pct("prix_m2_median_appartement", "m2_appartement"),
+            Pct("prix_m2_median_maison", "m2_maison"),
             Pct("prix_median_logement", "valeur_fonciere"),
-            Pct("surface_mediane_vendue", "surface_reelle_bati", width=L_SURFACE),
+            Pct("surface_mediane_vendue", "surface_reelle_bati"),
         ],
     )
 
@@ -258,7 +258,7 @@ def mart_logement(insee: DataFrame, ventes: DataFrame, dpe_dernier: DataFrame, p
         F.avg(F.col("est_passoire_thermique").cast("int")).alias("d_passoires"),
         F.avg(F.col("est_logement_performant").cast("int")).alias("d_performants"),
     )
-    d_pct = percentiles(dwellings, key, [Pct("conso", "conso_energie_primaire_m2", width=L_CONSO)])
+    d_pct = percentiles(dwellings, key, [Pct("conso", "conso_energie_primaire_m2")])
     d_mode = most_frequent(dwellings, key, "etiquette_dpe", "etiquette_dpe_la_plus_frequente")
 
     wide = communes

@@ -20,7 +20,6 @@ from terroir.operators.joins import join_groups, keep_members, lookup
 from terroir.operators.percentiles import Pct, percentiles
 from terroir.operators.periods import trailing_months, with_prior_year
 from terroir.params import Contexte, Params
-from terroir.plans.marts import L_PRIX_M2
 from terroir.plans.warehouse import Warehouse
 
 TOUT = Contexte()
@@ -90,7 +89,7 @@ def mesures_ventes(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return percentiles(
         df,
         by,
-        [Pct("prix_m2_median", "prix_m2", width=L_PRIX_M2), Pct("prix_median", "prix")],
+        [Pct("prix_m2_median", "prix_m2"), Pct("prix_median", "prix")],
         counts={"nb_ventes": "prix_m2"},
     )
 
@@ -154,7 +153,7 @@ def glissant_12_mois(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     windows = percentiles(
         trailing_months(hist, "mois"),
         keys,
-        [Pct("prix_m2_median_12m", "prix_m2", width=L_PRIX_M2)],
+        [Pct("prix_m2_median_12m", "prix_m2")],
         weight="n",
         counts={"nb_ventes_12m": "prix_m2"},
     )
@@ -176,7 +175,7 @@ def prix_deux_periodes(m: Modele, ctx: Contexte, by: Sequence[str], minimum: int
     out = percentiles(
         df,
         by,
-        [Pct("prix_m2_debut", "m2_debut", width=L_PRIX_M2), Pct("prix_m2_fin", "m2_fin", width=L_PRIX_M2)],
+        [Pct("prix_m2_debut", "m2_debut"), Pct("prix_m2_fin", "m2_fin")],
         counts={"nb_debut": "m2_debut", "nb_fin": "m2_fin"},
     )
     enough_end = F.col("nb_fin") >= minimum

@@ -17,7 +17,6 @@ from terroir.operators.periods import share_of_group, with_prior_year, year_to_d
 from terroir.operators.ranking import top_n_with_ties
 from terroir.params import Contexte
 from terroir.plans import measures as M
-from terroir.plans.marts import L_PRIX_M2
 from terroir.plans.measures import Modele
 
 
@@ -260,7 +259,7 @@ def niveaux(m: Modele, ctx: Contexte = Contexte()) -> DataFrame:
     return percentiles(
         stacked,
         ["niveau", "departement", "commune"],
-        [Pct("prix_m2_median", "prix_m2", width=L_PRIX_M2)],
+        [Pct("prix_m2_median", "prix_m2")],
         weight="n",
         counts={"nb_ventes": "prix_m2"},
     )

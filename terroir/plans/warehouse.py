@@ -9,33 +9,20 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.operators.percentiles import estimated_bytes
 from terroir.params import Params
 from terroir.plans import intermediate, marts, staging
 from terroir.sources import adapters, seeds
+from terroir.storage import estimated_bytes, shared_dir
 
 # The calendar of the registered queries ends in a fixed year, so that results are comparable.
 AS_OF = dt.date(2026, 6, 30)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named and Spark is local."""
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        configured = tempfile.mkdtemp(prefix="terroir-")
-        context.setCheckpointDir(configured)
-    return configured.rstrip("/")
-
-
 class Warehouse:
     """Lazily built tables over one set of raw sources."""
 
@@ -190,7 +177,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     key = (app, sf_dir)
     if key not in _OPEN:
         digest = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-        root = f"{shared_dir(spark)}/terroir/{app}/{digest}"
+        root = f"{shared_dir(spark)}/{digest}"
         raw = raw_from_test_tables(spark, sf_dir)
         # A small input arrives as one unsplittable file; shorter files keep every core busy after it.
         small = estimated_bytes(spark.read.parquet(f"{sf_dir}/lineitem.parquet")) < 1 << 30

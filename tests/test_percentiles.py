@@ -1,4 +1,4 @@
-"""The percentile operator against brute force, small and distributed way."""
+"""The percentile operator against brute force, every way."""
 
 import math
 import random
@@ -32,14 +32,20 @@ def rows(seed, n):
 WANTED = [Pct("x50", "x", 0.5, 10.0), Pct("x25", "x", 0.25, 10.0), Pct("x90", "x", 0.9, 10.0), Pct("y50", "y")]
 
 
-@pytest.mark.parametrize("small_bytes", [0, 1 << 30])
+SMALL = {"small_bytes": 1 << 62}
+BROADCAST = {"small_bytes": 0, "broadcast_bytes": 1 << 62}
+SHUFFLED = {"small_bytes": 0, "broadcast_bytes": -1}
+WAYS = [SMALL, BROADCAST, SHUFFLED]
+
+
+@pytest.mark.parametrize("way", WAYS)
 @pytest.mark.parametrize("n", [1, 2, 7, 3000])
-def test_matches_brute_force(spark, small_bytes, n):
+def test_matches_brute_force(spark, way, n):
     data = rows(n, n)
     df = spark.createDataFrame(data, "k string, g int, x double, y double")
     got = {
         (r.k, r.g): r
-        for r in percentiles(df, ["k", "g"], WANTED, counts={"nx": "x", "ny": "y"}, small_bytes=small_bytes).collect()
+        for r in percentiles(df, ["k", "g"], WANTED, counts={"nx": "x", "ny": "y"}, **way).collect()
     }
     groups = {}
     for k, g, x, y in data:
@@ -54,22 +60,24 @@ def test_matches_brute_force(spark, small_bytes, n):
         assert (r.nx, r.ny) == (len(xs), len(ys))
 
 
-@pytest.mark.parametrize("small_bytes", [0, 1 << 30])
-def test_weights_count_as_rows(spark, small_bytes):
+@pytest.mark.parametrize("way", WAYS)
+def test_weights_count_as_rows(spark, way):
     df = spark.createDataFrame([("a", 1.0, 3), ("a", 10.0, 1), ("a", 2.0, 4), ("b", 5.0, 1)], "k string, x double, n long")
-    got = {r.k: r for r in percentiles(df, ["k"], [Pct("m", "x")], weight="n", counts={"c": "x"}, small_bytes=small_bytes).collect()}
+    got = {r.k: r for r in percentiles(df, ["k"], [Pct("m", "x")], weight="n", counts={"c": "x"}, **way).collect()}
     assert got["a"].m == brute([1.0] * 3 + [10.0] + [2.0] * 4, 0.5)
     assert got["a"].c == 8
     assert got["b"].m == 5.0
 
 
-def test_distributed_way_reuses_the_value_counts(spark):
-    df = spark.createDataFrame(rows(1, 500), "k string, g int, x double, y double")
-    out = percentiles(df, ["k"], WANTED, small_bytes=0)
-    out.collect()
+def test_distributed_way_does_not_shuffle_the_input(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows(1, 500), "k string, g int, x double, y double").write.parquet(path)
+    out = percentiles(spark.read.parquet(path), ["k"], WANTED, **BROADCAST)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # Rows meet the slices and are counted before the first exchange.
+    assert plan.index("partial_sum") < plan.index("BroadcastHashJoin")
 
 
 def test_row_order_and_partitioning_do_not_matter(spark):
@@ -77,6 +85,6 @@ def test_row_order_and_partitioning_do_not_matter(spark):
     schema = "k string, g int, x double, y double"
     a = spark.createDataFrame(data, schema).repartition(1)
     b = spark.createDataFrame(data[::-1], schema).repartition(7)
-    one = sorted(map(str, percentiles(a, ["k"], WANTED, small_bytes=0).collect()))
-    two = sorted(map(str, percentiles(b, ["k"], WANTED).collect()))
+    one = sorted(map(str, percentiles(a, ["k"], WANTED, **BROADCAST).collect()))
+    two = sorted(map(str, percentiles(b, ["k"], WANTED, **SMALL).collect()))
     assert one == two
