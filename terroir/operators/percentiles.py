@@ -6,13 +6,15 @@ input:
 1. rows are counted per (group, slice of the value range) with map-side combine. That is at most a few
    hundred rows per group; their running sum locates the slices holding the wanted positions, and those
    few rows are written to the shared folder;
-2. the input is read again, joined with these slices (broadcast if their files are small enough, else
-   counted per value and shuffled), and only what survives is counted per value and ranked.
-
-So the data itself is scanned twice but, with broadcast, never shuffled. A hot group spreads over its
-slices, a hot value collapses in the map-side count. An input under ``SMALL_BYTES`` is counted per value
-and ranked per group instead. All ways pick the same order statistics and interpolate linearly with the
-same arithmetic.
+2. while a located slice still holds many rows and more than one value, the rows in it are counted per
+   finer slice the same way;
+3. the input is read again, joined with the located slices (broadcast if their files are small enough,
+   else counted per value and shuffled), and only what survives is counted per value and ranked.
+
+So the data itself is scanned twice or a few times but, with broadcast, never shuffled. A hot group spreads
+over its slices, a hot value collapses in the map-side count. An input under ``SMALL_BYTES`` is counted per
+value and ranked per group instead. All ways pick the same order statistics and interpolate linearly with
+the same arithmetic.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from terroir.storage import estimated_bytes, written
 
 SMALL_BYTES = 64 << 20
 BROADCAST_BYTES = 16 << 20
+SLICE_ROWS = 10_000_000
 
 
 @dataclass(frozen=True)
@@ -57,30 +60,33 @@ ranked as (
   from (select * from hist distribute by {k})
 )"""
 
-# The slices holding a wanted position, with the number of values before them.
+# The slices holding a wanted position: rows before it, rows and value range in it. A slice of a slice is
+# told apart by ``base``, the rows before the outer one.
 _TARGETS = """
-sizes as (select {k}, m, s, sum(w) as c from sliced group by {k}, m, s),
+sizes as (
+  select {k}, m, base, s, {total} sum(w) as c, min(x) as low, max(x) as high from sliced group by {k}, m, base, s {by_total}
+),
 positions as (
-  select *, sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before,
-         sum(c) over (partition by {k}, m) as total
+  select *, base + sum(c) over (partition by {k}, m, base order by s rows unbounded preceding) - c as before {window}
   from sizes
 )
-select {k}, m, s, before, total from positions where {hit}"""
-
-_BROADCAST = """
-hist as (
-  select /*+ broadcast(t) */ {hk}, h.m, h.s, h.x, t.before, t.total, sum(h.w) as n
-  from sliced h join {{targets}} t on {same}
-  group by {hk}, h.m, h.s, h.x, t.before, t.total
-),"""
+select {k}, m, base, s, before, total, c, low, high from positions where {hit}"""
+_FIRST = {"total": "", "by_total": "", "window": ", sum(c) over (partition by {k}, m) as total"}
+_FINER = {"total": "total,", "by_total": ", total", "window": ""}
 
-_SHUFFLED = """
-counted as (select {k}, m, s, x, sum(w) as n from sliced group by {k}, m, s, x),
-hist as (select {hk}, h.m, h.s, h.x, t.before, t.total, h.n from counted h join {{targets}} t on {same}),"""
+# Rows inside the located slices, cut finer where a slice is still large.
+_NARROWED = """
+select {hint} {hk}, h.m, h.x, h.w, t.total, t.before as base,
+       if(t.c > {limit} and t.high > t.low, floor((h.x - t.low) / (t.high - t.low) * 1023), 0L) as s
+from {{rows}} h join {{targets}} t on {same}"""
 
 _RANKED = """
+hist as (
+  select {hint} {hk}, h.m, h.x, t.before, t.total, sum(h.w) as n
+  from {{rows}} h join {{targets}} t on {same} group by {hk}, h.m, h.x, t.before, t.total
+),
 ranked as (
-  select *, before + sum(n) over (partition by {k}, m, s order by x rows unbounded preceding) as upto
+  select *, before + sum(n) over (partition by {k}, m, before order by x rows unbounded preceding) as upto
   from (select * from hist distribute by {k})
 )"""
 
@@ -93,6 +99,7 @@ def percentiles(
     counts: Mapping[str, str] | None = None,
     small_bytes: int = SMALL_BYTES,
     broadcast_bytes: int = BROADCAST_BYTES,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Keys and one double column per ``wanted``; groups without any non-NULL value are absent.
 
@@ -123,25 +130,39 @@ def percentiles(
     names = {
         "k": k,
         "hk": ", ".join(f"h.`{c}`" for c in keys),
-        "same": " and ".join(f"h.`{c}` <=> t.`{c}`" for c in (*keys, "m", "s")),
+        "same": " and ".join(f"h.`{c}` <=> t.`{c}`" for c in (*keys, "m", "base", "s")),
         "hit": " or ".join(f"({h})" for h in hits),
+        "limit": slice_rows,
     }
-    slices = " ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values))
+    spark = df.sparkSession
     rows = "1L" if weight is None else f"cast(`{weight}` as bigint)"
     stacked = f"""with stacked as (
       select * from (select {k}, {rows} as w, inline(array({entries})) from {{df}}) where x is not null
-    ),"""
-    sliced = f"{stacked} sliced as (select *, case m {slices} end as s from stacked),"
-    spark, inputs = df.sparkSession, {"df": df}
+    )"""
+    picked = f"""picked as (select {k}, {", ".join(picks)} from ranked group by {k})
+        select {k}, {", ".join(results)} from picked"""
     if estimated_bytes(df) < small_bytes:
-        body = stacked + _SMALL.format(**names)
-    else:
-        inputs["targets"] = written(spark.sql(sliced + _TARGETS.format(**names), df=df), "slices")
-        fits = estimated_bytes(inputs["targets"]) <= broadcast_bytes
-        body = sliced + ((_BROADCAST if fits else _SHUFFLED) + _RANKED).format(**names)
+        return spark.sql(f"{stacked}, {_SMALL.format(**names)}, {picked}", df=df)
+
+    slices = " ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values))
+    cut = spark.sql(f"{stacked} select {k}, m, 0L as base, case m {slices} end as s, x, w from stacked", df=df)
+
+    def located(parts: dict[str, str]) -> DataFrame:
+        parts = {name: text.format(k=k) for name, text in parts.items()}
+        return written(spark.sql("with sliced as (select * from {rows})," + _TARGETS.format(**names, **parts), rows=cut), "slices")
+
+    def hint(targets: DataFrame) -> str:
+        return "/*+ broadcast(t) */" if estimated_bytes(targets) <= broadcast_bytes else ""
+
+    targets = located(_FIRST)
+    if not hint(targets):
+        cut = spark.sql(f"select {k}, m, base, s, x, sum(w) as w from {{rows}} group by {k}, m, base, s, x", rows=cut)
+    # Each round divides a large slice by 1024; a double has no more than six such rounds.
+    for _ in range(6):
+        if targets.filter(f"c > {slice_rows} and high > low").isEmpty():
+            break
+        cut = spark.sql(_NARROWED.format(**names, hint=hint(targets)), rows=cut, targets=targets)
+        targets = located(_FINER)
     return spark.sql(
-        f"""{body},
-        picked as (select {k}, {", ".join(picks)} from ranked group by {k})
-        select {k}, {", ".join(results)} from picked""",
-        **inputs,
+        f"with {_RANKED.format(**names, hint=hint(targets))}, {picked}", rows=cut, targets=targets
     )

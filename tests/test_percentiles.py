@@ -35,7 +35,7 @@ WANTED = [Pct("x50", "x", 0.5, 10.0), Pct("x25", "x", 0.25, 10.0), Pct("x90", "x
 SMALL = {"small_bytes": 1 << 62}
 BROADCAST = {"small_bytes": 0, "broadcast_bytes": 1 << 62}
 SHUFFLED = {"small_bytes": 0, "broadcast_bytes": -1}
-WAYS = [SMALL, BROADCAST, SHUFFLED]
+WAYS = [SMALL, BROADCAST, SHUFFLED, {**BROADCAST, "slice_rows": 4}, {**SHUFFLED, "slice_rows": 4}]
 
 
 @pytest.mark.parametrize("way", WAYS)
