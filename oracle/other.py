@@ -144,16 +144,16 @@ def statements() -> dict[str, str]:
         select concat(ifnull(identifiant_ban, 'sans-adresse-' || numero_dpe), '|', type_batiment, '|',
                       ifnull(cast(round(surface_habitable) as varchar), '?')) as cle_logement,
                numero_dpe, etiquette_dpe, surface_habitable, date_etablissement_dpe as d
-        from stg_dpe where type_batiment <> 'immeuble' and code_commune is not null and date_etablissement_dpe < date '{end}'
-      ) k qualify row_number() over (partition by cle_logement order by d desc, numero_dpe desc) = 1"""
-    a, b = snapshot.format(end="2023-01-01"), snapshot.format(end="2024-01-01")
+        from stg_dpe where type_batiment <> 'immeuble' and code_commune is not null and {known}
+      ) k qualify row_number() over (partition by cle_logement order by d desc nulls last, numero_dpe desc) = 1"""
+    a, b = snapshot.format(known="date_etablissement_dpe < date '2024-01-01'"), snapshot.format(known="true")
     history = f"""
-      select a.*, date '2023-01-01' as valide_du,
+      select a.*, date '2024-01-01' as valide_du,
              case when b.cle_logement is null or (a.numero_dpe, a.etiquette_dpe, a.surface_habitable) is distinct from (b.numero_dpe, b.etiquette_dpe, b.surface_habitable)
-                  then date '2024-01-01' end as valide_au
+                  then date '2026-06-30' end as valide_au
       from ({a}) a left join ({b}) b on a.cle_logement = b.cle_logement
       union all
-      select b.*, date '2024-01-01', null
+      select b.*, date '2026-06-30', null
       from ({b}) b left join ({a}) a on a.cle_logement = b.cle_logement
       where a.cle_logement is null or (a.numero_dpe, a.etiquette_dpe, a.surface_habitable) is distinct from (b.numero_dpe, b.etiquette_dpe, b.surface_habitable)"""
     return {

@@ -162,16 +162,13 @@ SUIVIES = ("numero_dpe", "etiquette_dpe", "surface_habitable")
 
 
 def _historique(w: Warehouse) -> DataFrame:
-    """History of the latest diagnostics after two yearly snapshots."""
-    dated = w.table("stg_dpe_logements")
-
-    def snapshot(end: str) -> DataFrame:
-        known = dated.filter(F.col("date_etablissement_dpe") < F.lit(end).cast("date"))
-        return intermediate.dpe_dernier(known).select("cle_logement", *SUIVIES)
-
-    day = lambda d: F.lit(d).cast("date")
-    history = open_history(snapshot("2023-01-01"), day("2023-01-01"))
-    return apply_snapshot(history, snapshot("2024-01-01"), "cle_logement", SUIVIES, day("2024-01-01"))
+    """History of the dwellings' diagnostics: as known on 1 January 2024, then as known now."""
+    dpe = w.table("stg_dpe_logements")
+    opened, now = F.lit("2024-01-01").cast("date"), F.lit(w.params.as_of).cast("date")
+    known = intermediate.dpe_dernier(dpe.filter(F.col("date_etablissement_dpe") < opened))
+    history = open_history(known.select("cle_logement", *SUIVIES), opened)
+    current = w.table("int_dpe_logement_dernier")
+    return apply_snapshot(history, current, "cle_logement", SUIVIES, now)
 
 
 def queries() -> dict[str, Query]:

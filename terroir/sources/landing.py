@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -117,11 +118,24 @@ def read_insee(spark: SparkSession, root: str) -> DataFrame | None:
 READERS = {"dvf_mutations": read_dvf, "dpe_logements": read_dpe, "insee_comparateur": read_insee}
 
 
-def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The sources that are present; absent ones are left out, none at all is an error."""
+# Department column of the sources that are downloaded per department.
+COLONNE_DEPARTEMENT = {"dvf_mutations": "code_departement", "dpe_logements": "code_departement_ban"}
+
+
+def read_raw(
+    spark: SparkSession, root: str, departements: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """The sources that are present; absent ones are left out, none at all is an error.
+
+    ``departements`` restricts sales and diagnostics as they are read.
+    """
     found = {name: df for name, reader in READERS.items() if (df := reader(spark, root)) is not None}
     if not found:
         raise AucuneSource(f"no source file under {root}")
+    if departements is not None:
+        for name, column in COLONNE_DEPARTEMENT.items():
+            if name in found:
+                found[name] = found[name].filter(F.col(column).isin(*departements))
     return found
 
 

@@ -44,9 +44,11 @@ def test_json_numbers_become_text_and_members_are_read_on(spark, tmp_path):
 def test_absent_sources_are_skipped_unless_all_are(spark, tmp_path):
     with pytest.raises(L.AucuneSource):
         L.read_raw(spark, str(tmp_path))
-    gz(tmp_path / "dpe/02.ndjson.gz", '{"numero_dpe": "A"}\n')
+    gz(tmp_path / "dpe/02.ndjson.gz", '{"numero_dpe": "A", "code_departement_ban": "02"}\n')
     raw = L.read_raw(spark, str(tmp_path))
     assert list(raw) == ["dpe_logements"]
+    assert L.read_raw(spark, str(tmp_path), ["59"])["dpe_logements"].count() == 0
+    assert L.read_raw(spark, str(tmp_path), ["02", "59"])["dpe_logements"].count() == 1
     out = str(tmp_path / "raw")
     assert L.land(raw, out) == {"dpe_logements": 1}
     assert L.land(raw, out) == {"dpe_logements": 1}
