@@ -63,7 +63,7 @@ def _etoile(m: Modele) -> DataFrame:
 def _population_couverte(m: Modele) -> DataFrame:
     """Column aggregates on the dimension itself, restricted to communes with sales."""
     return (
-        keep_members(m.communes, m.ventes, "code_commune")
+        keep_members(m.communes, m.ventes.select("code_commune").distinct(), "code_commune")
         .groupBy("nom_departement")
         .agg(
             F.sum("population").alias("population"),

@@ -34,7 +34,7 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) ->
 
 
 def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in ``members`` (left semi)."""
+    """Rows whose key is in ``members`` (left semi); give one row per key, a fact's keys as ``distinct()``."""
     return df.join(members.select(key), key, "left_semi")
 
 
