@@ -24,6 +24,15 @@ MODEL_CTE = {
 
 def statements() -> dict[str, str]:
     out = {name: with_ctes(f"select * from {cte}", cte) for name, cte in MODEL_CTE.items()}
+    out["dim_date"] = with_ctes(
+        """
+        select j.*, v.n as nb_ventes, d.n as nb_dpe
+        from dim_date j
+        left join (select date_vente as k, count(*) as n from fct_ventes group by date_vente) v on v.k = j.date
+        left join (select mois as k, cast(sum(nb_dpe) as bigint) as n from fct_dpe_mensuel group by mois) d on d.k = j.date
+        """,
+        "dim_date", "fct_ventes", "fct_dpe_mensuel",
+    )
     out |= reports.statements()
     out |= other.statements()
     return out

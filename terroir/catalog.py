@@ -73,6 +73,13 @@ def _population_couverte(m: Modele) -> DataFrame:
     )
 
 
+def _calendrier(m: Modele) -> DataFrame:
+    """The calendar with the sales of each day and, on the first of a month, its diagnostics."""
+    v = m.ventes.groupBy(F.col("date_vente").alias("date")).agg(F.count(F.lit(1)).alias("nb_ventes"))
+    d = m.dpe.groupBy(F.col("mois").alias("date")).agg(F.sum("nb_dpe").alias("nb_dpe"))
+    return m.dates.join(v, "date", "left").join(d, "date", "left")
+
+
 def _annee_precedente(m: Modele) -> DataFrame:
     counted = M.nombre_ventes(M.ventes(m), ["annee", "code_commune"])
     return with_prior_year(counted, "annee", ["code_commune"], ["nb_ventes"])
@@ -174,6 +181,7 @@ def _historique(w: Warehouse) -> DataFrame:
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {name: _model(name) for name in MODELES}
     q |= {
+        "dim_date": _report(_calendrier),
         "q01_cartes": _report(lambda m: R.cartes(m, 2025)),
         "q01_cartes_departement": _report(lambda m: R.cartes(m, 2024, Contexte(departements=("59",), types=("maison",)))),
         "q02_carte_communes": _report(R.carte_communes),

@@ -20,7 +20,7 @@ from terroir.operators.joins import join_groups, keep_members, lookup
 from terroir.operators.percentiles import Pct, percentiles
 from terroir.operators.periods import trailing_months, with_prior_year
 from terroir.params import Contexte, Params
-from terroir.plans.warehouse import Warehouse
+from terroir.plans.warehouse import PARTITION, Warehouse
 
 TOUT = Contexte()
 
@@ -39,8 +39,8 @@ class Modele:
     @staticmethod
     def of(w: Warehouse) -> "Modele":
         return Modele(
-            ventes=w.table("fct_ventes"),
-            dpe=w.table("fct_dpe_mensuel"),
+            ventes=w.stored("fct_ventes"),
+            dpe=w.stored("fct_dpe_mensuel"),
             parc=w.table("mart_dpe_commune_etiquette"),
             communes=w.table("dim_commune"),
             dates=w.table("dim_date"),
@@ -57,6 +57,8 @@ def dans_annees(day: str, annees: Sequence[int]) -> Column:
 def _contexte(df: DataFrame, m: Modele, ctx: Contexte, day: str | None, type_: str) -> DataFrame:
     if ctx.annees is not None and day is not None:
         df = df.filter(dans_annees(day, ctx.annees))
+        if PARTITION in df.columns:
+            df = df.filter(F.col(PARTITION).isin(*ctx.annees))
     if ctx.types is not None:
         df = df.filter(X.type_conforme(type_).isin(*[t.lower() for t in ctx.types]))
     if ctx.departements is not None:

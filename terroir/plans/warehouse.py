@@ -23,6 +23,10 @@ from terroir.storage import estimated_bytes, shared_dir
 AS_OF = dt.date(2026, 6, 30)
 
 
+# Storage column of the facts, not part of their published columns.
+PARTITION = "annee_partition"
+
+
 class Warehouse:
     """Lazily built tables over one set of raw sources."""
 
@@ -41,14 +45,18 @@ class Warehouse:
         self._written: dict[str, DataFrame] = {}
         self._files: str | None = None
 
-    def table(self, name: str) -> DataFrame:
-        """The written table, built with its inputs on first use."""
+    def stored(self, name: str) -> DataFrame:
+        """The written table with its partition column, built with its inputs on first use."""
         if name not in self._written:
             path = self.scratch(name)
             self.write(self.plan(name), name, path)
-            self._written[name] = self.spark.read.parquet(path).drop("annee_partition")
+            self._written[name] = self.spark.read.parquet(path)
         return self._written[name]
 
+    def table(self, name: str) -> DataFrame:
+        """The written table as its consumers know it."""
+        return self.stored(name).drop(PARTITION)
+
     def write(self, df: DataFrame, name: str, path: str) -> None:
         day = self.PARTITIONED.get(name)
         if day is None:
@@ -56,10 +64,10 @@ class Warehouse:
             return
         # The rebalance hint splits a heavy year over several files instead of one task per year.
         (
-            df.withColumn("annee_partition", F.year(day))
-            .hint("rebalance", "annee_partition")
+            df.withColumn(PARTITION, F.year(day))
+            .hint("rebalance", PARTITION)
             .write.option("maxRecordsPerFile", self.rows_per_file)
-            .partitionBy("annee_partition")
+            .partitionBy(PARTITION)
             .parquet(path)
         )
 
