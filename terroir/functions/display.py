@@ -74,7 +74,7 @@ def sous_titre_ventes(nb: Column | str, annee: Column | str | None) -> Column:
     base = F.concat(F.coalesce(entier_espace(nb), F.lit("")), F.lit(" ventes"))
     if annee is None:
         return base
-    suffix = F.concat(F.lit(" · le trait bleu foncé indique le même mois en "), (_col(annee) - 1).cast("string"))
+    suffix = F.concat(F.lit(P.SOUS_TITRE_MOIS), (_col(annee) - 1).cast("string"))
     return F.concat(base, F.coalesce(suffix, F.lit("")))
 
 

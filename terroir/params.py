@@ -51,7 +51,7 @@ NATURES_MUTATION = (
     "Echange",
 )
 
-# Census measure code -> output column.
+# Fixed values -- census measure code and output column.
 INDICATEURS_INSEE = (
     ("POP", "population"),
     ("SUP", "superficie_km2"),
@@ -82,26 +82,33 @@ TAILLES_COMMUNE = (
 )
 TAILLE_MAX = "4. Plus de 50 000 hab."
 
-# Plausibility limits of a dwelling sale.
+# Fixed values -- plausibility limits of a dwelling sale.
 SURFACE_MIN = 9
 PRIX_MIN = 1000
 PRIX_M2_MIN = 200
 PRIX_M2_MAX = 30000
 
-# Display colours and thresholds of the report.
+# Fixed values -- colours and thresholds of the report.
 VERT, ORANGE, ROUGE = "#1D7A3A", "#E58606", "#B3261E"
 SEUIL_ACCES_ROUGE, SEUIL_ACCES_ORANGE = 8, 6
 BORNES_CARTE = (1300.0, 2600.0)
 
-# Minimum counts behind the reliability flags and the report filters.
+# Fixed values -- minimum counts behind the reliability flags and the report filters.
 MIN_VENTES_CELLULE = 5
 MIN_VENTES_COMMUNE = 10
 MIN_DPE_COMMUNE = 20
 MIN_VENTES_CARTE = 20
 MIN_VENTES_CLASSEMENT = 30
 
+# Fixed values -- texts of the report.
 LIBELLE_PERIODE_COMPLETE = "2021-2025"
 SOURCE_INSEE = "INSEE, revenus 2023"
+TITRE_PRIX_M2 = "Prix médian au m²"
+TITRE_VENTES = "Ventes de logements"
+TITRE_PRIX = "Prix médian d'un logement"
+TITRE_PASSOIRES = "Passoires (F-G) parmi les DPE"
+TITRE_MOIS = "Ventes par mois"
+SOUS_TITRE_MOIS = " · le trait bleu foncé indique le même mois en "
 
 
 @dataclass(frozen=True)

@@ -52,16 +52,16 @@ def cartes(m: Modele, annee: int, ctx: Contexte = Contexte()) -> DataFrame:
         F.format_string("%.1f %%", X.rnd(F.col("part_passoires") * 100.0, 1)).alias("texte"),
         D.libelle_ecart("ecart", "annee").alias("libelle"),
         D.couleur_evolution("ecart", inverse=True).alias("couleur"),
-        D.titre("Passoires (F-G) parmi les DPE", "annee").alias("titre"),
+        D.titre(P.TITRE_PASSOIRES, "annee").alias("titre"),
     )
     share = share.withField("texte", F.when(F.col("part_passoires").isNotNull(), share["texte"]))
     return row.select(
         "annee",
         F.inline(
             F.array(
-                card("prix_m2", "prix_m2_median", D.texte_carte("prix_m2_median", " €"), "evol_prix_m2_median", "Prix médian au m²"),
-                card("ventes", "nb_ventes", D.texte_carte("nb_ventes"), "evol_nb_ventes", "Ventes de logements"),
-                card("prix_median", "prix_median", D.texte_carte("prix_median", " €"), "evol_prix_median", "Prix médian d'un logement"),
+                card("prix_m2", "prix_m2_median", D.texte_carte("prix_m2_median", " €"), "evol_prix_m2_median", P.TITRE_PRIX_M2),
+                card("ventes", "nb_ventes", D.texte_carte("nb_ventes"), "evol_nb_ventes", P.TITRE_VENTES),
+                card("prix_median", "prix_median", D.texte_carte("prix_median", " €"), "evol_prix_median", P.TITRE_PRIX),
                 share,
             )
         ),
@@ -286,6 +286,6 @@ def libelles_ventes(m: Modele, annees: Sequence[int], ctx: Contexte = Contexte()
     total = v.agg(F.lit(None).cast("int").alias("annee"), F.sum("nb_ventes").alias("nb_ventes"))
     return v.unionByName(total).select(
         "annee",
-        D.titre("Ventes par mois", "annee").alias("titre"),
+        D.titre(P.TITRE_MOIS, "annee").alias("titre"),
         D.sous_titre_ventes("nb_ventes", "annee").alias("sous_titre"),
     )
