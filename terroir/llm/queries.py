@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terroir.llm import bpe, extraction, records
+from terroir.llm import bpe, contamination, extraction, fingerprints, records, sharding, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +17,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return records.token_records(table(spark, sf_dir, "documents"), tokenizer, end_id=2, keep_ids=False).drop("ids")
@@ -31,6 +48,25 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_ids=False).drop("ids")
 
 
+#: The contract's rules.
+URL_RULES = (
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+)
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels belong to documents; the last number in a page's path names the page's document."""
+    pages = table(spark, sf_dir, "pages")
+    label = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow")
+    labels = table(spark, sf_dir, "labels").select("doc_id", label.alias("label"))
+    number = F.regexp_extract("url", r"^[^?#]*/(\d{1,18})[^/\d]*/?(?:[?#]|$)", 1)
+    labelled = pages.select("url", number.alias("number")).selectExpr("url", "try_cast(number as bigint) as doc_id")
+    return urls.judge(pages, labelled.join(labels, "doc_id"), URL_RULES)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
