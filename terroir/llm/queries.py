@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm import bpe, contamination, extraction, fingerprints, records, sharding, simhash, urls
+from terroir.llm import bpe, contamination, extraction, fingerprints, records, repeats, sharding, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(table(spark, sf_dir, "documents"), length=400)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
