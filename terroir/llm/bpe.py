@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from terroir.llm.common import only, record_batches, texts_of
-from terroir.llm.pieces import KEPT, Encodings, grouped
+from terroir.llm.pieces import KEPT, Encodings, grouped, retained
 
 # The characters of Unicode's White_Space property, which is what \s means to the reference library.
 WHITE = r"\t-\r \x85\xa0  -     　"
@@ -105,7 +105,7 @@ class Bpe:
         split = [self._split(text) for text in texts]
         words = set().union(*split)
         if len(self._words) > KEPT:
-            self._words = {}
+            self._words = retained(self._words, words)
         new = list(words - self._words.keys())
         self._words.update(zip(new, self.contract([w.encode() for w in new]), strict=True))
         get = self._words.__getitem__

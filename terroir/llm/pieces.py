@@ -10,8 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-#: Entries after which a dictionary is emptied: some 100 MB with their encodings.
-KEPT = 500_000
+#: Entries after which a dictionary keeps only those in use: some 150 MB with their encodings.
+KEPT = 700_000
+
+#: A letter and one of these are never in one token.
+MARKS = frozenset(",.;:!?")
 
 _LATE_SPACE = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r" (?=\S)")
@@ -22,6 +25,11 @@ def pieces(text: str) -> list[str]:
     return _CUT.split(text) if _LATE_SPACE.search(text) else text.split(" ")
 
 
+def retained(known: dict[str, bytes], needed: set[str]) -> dict[str, bytes]:
+    """What of a full dictionary stays: the entries just needed, among them the frequent ones."""
+    return {piece: known[piece] for piece in needed if piece in known}
+
+
 class Encodings:
     """Encodings of texts as bytes, by way of the encodings of their distinct pieces.
 
@@ -51,17 +59,26 @@ class Encodings:
             parts = pieces(text)
             parts[0] = self.FIRST + parts[0]
             split.append(parts)
-        new = list(set().union(*split) - self._known.keys())
+        needed = set().union(*split)
+        new = needed.difference(self._known)
         if len(new) + len(self._known) > KEPT:
-            self._known = {}
-            new = list(set().union(*split))
+            self._known = retained(self._known, needed)
+        # A word and the mark at its end are encoded apart: the word is often known already.
+        marked = [p for p in new if p[-1:] in MARKS and p[-2:-1].isalpha()]
+        plain = new.difference(marked)
+        plain.update([p[:-1] for p in marked], [self.FIRST + p[-1] for p in marked])
+        self._learn(list(plain.difference(self._known)))
+        known = self._known
+        known.update([(p, known[p[:-1]] + known[self.FIRST + p[-1]]) for p in marked])
+        get = self._known.__getitem__
+        return [b"".join(map(get, parts)) for parts in split]
+
+    def _learn(self, new: list[str]) -> None:
         mark = len(self.FIRST)
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
-            texts_ = [p[mark:] if p.startswith(self.FIRST) else " " + p for p in part]
-            self._known.update(zip(part, self._encode(texts_), strict=True))
-        get = self._known.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
+            texts = [p[mark:] if p.startswith(self.FIRST) else " " + p for p in part]
+            self._known.update(zip(part, self._encode(texts), strict=True))
 
 
 def grouped(texts: list[str], characters: int = 4_000_000):

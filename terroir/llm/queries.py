@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm import bpe, contamination, extraction, fingerprints, records, repeats, sharding, simhash, urls
+from terroir.llm import bpe, contamination, extraction, fingerprints, quality, records, repeats, sharding, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op2_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return result.drop("text_hash")
+
+
 def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal_report(table(spark, sf_dir, "documents"), length=400)
 
@@ -72,8 +77,35 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    # The pipeline's file stands beside the packages and imports them.
+    import corpus_pipeline
+
+    return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
+
+
+#: Shingles of five words, exact containment of at least four fifths of an item's shingles.
+DECONTAMINATION_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'i', item_id, text FROM benchmark
+), words AS (
+  SELECT side, id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM texts
+), shingles AS (
+  SELECT DISTINCT side, id, unnest(
+    CASE WHEN len(w) = 0 THEN []::varchar[]
+         WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (
+  SELECT id, count(*) AS n FROM shingles WHERE side = 'i' GROUP BY id
+), found AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_found
+  FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' GROUP BY 1, 2
+)
+SELECT doc_id, item_id, n AS n_shingles, n_found, n_found / n AS containment
+FROM found JOIN sizes ON id = item_id WHERE n_found * 5 >= n * 4
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontamination": DECONTAMINATION_SQL}

@@ -25,6 +25,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,8 +93,9 @@ class Tokens:
         self.encode_many = encodings.of_many
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [np.array(e.ids, kind).tobytes() for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
+        kind = "H" if self.width == 2 else "I"
+        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without offsets into the texts
+        return [array(kind, e.ids).tobytes() for e in encoded]
 
 
 _OPEN: dict[str, Tokens] = {}
