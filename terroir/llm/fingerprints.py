@@ -160,7 +160,8 @@ def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFram
     if bounds:
         bound = F.array(*(F.lit(int(b)) for b in bounds))
         # Descending: ids above the last bound are in range 0; ids up to the first, and none, in the last.
-        part = F.coalesce(F.size(F.filter(bound, lambda b: b >= F.col("doc_id"))), F.lit(len(bounds)))
+        below = F.size(F.filter(bound, lambda b: b >= F.col("doc_id")))
+        part = F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(below)
     dealt = rows.withColumn("part", part.cast("int"))
     heads = dealt.groupBy("part").agg(F.max("doc_id").alias("doc_id"))
     heads = [(r["part"], r["doc_id"]) for r in heads.collect()]  # one row for each range

@@ -16,7 +16,7 @@ How texts meet the model without either being sent whole:
 3. The probabilities of the grams that a bucket listed go to the bucket, documents are dealt again, and each document's
    log probabilities are summed over its whole text.
 
-A document is kept unless its log perplexity, less two standard errors, is above the limit of its language. The limit is set by quantiles of the
+A document is kept unless its log perplexity, less a standard error, is above the limit of its language. The limit is set by quantiles of the
 trusted documents' log perplexities: the ``QUANTILE`` quantile, plus ``SLACK`` times its distance from the median. So
 clean documents that were not in training, or are short, stay. A language without trusted documents takes the limit of
 all trusted documents.
@@ -43,7 +43,7 @@ from terroir.storage import written
 ORDER = 4
 QUANTILE, SLACK = 0.99, 1.0
 #: Standard errors by which a text's mean log probability must miss the limit: few bytes prove little.
-ERRORS = 2.0
+ERRORS = 1.0
 #: Bytes of text in a pack before it is compressed.
 PACK_BYTES = 8 << 20
 #: Grams gathered in a task before they are made distinct again.
