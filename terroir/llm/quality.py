@@ -9,21 +9,23 @@ counts of counts.
 How texts meet the model without either being sent whole:
 
 1. Documents are dealt to buckets by a hash of their id, packed and compressed, together with the trusted ids of the
-   bucket. Each bucket's task counts the grams of its trusted documents and lists the distinct grams of all of them.
+   bucket. Each bucket's task counts the grams of its training documents and lists the distinct grams of all of them.
 2. Counts are summed per gram; the wanted grams, distinct over all buckets, are joined with the tables of counts and
    of contexts, order by order, which gives each its probability. Tables keyed by at most two bytes (65,536 rows) are
    broadcast, the others are joined by shuffle.
 3. The probabilities of the grams that a bucket listed go to the bucket, documents are dealt again, and each document's
    log probabilities are summed over its whole text.
 
-A document is kept unless its log perplexity, less a standard error, is above the limit of its language. The limit is set by quantiles of the
-trusted documents' log perplexities: the ``QUANTILE`` quantile, plus ``SLACK`` times its distance from the median. So
-clean documents that were not in training, or are short, stay. A language without trusted documents takes the limit of
-all trusted documents.
+A fifth of the trusted documents, by a hash of their ids, is not counted but calibrates: it shows how surprising clean
+text is to the model that did not see it. A document is kept unless its log perplexity, less a standard error, is above
+the limit of its language. The limit comes from quantiles of the calibrating documents' log perplexities: the
+``QUANTILE`` quantile, plus ``SLACK`` times its distance from the median. A language without calibrating documents
+takes the limit of all of them.
 
 Defined results: null or empty text has no perplexity and is not kept; null languages are a language of their own;
 null ids are never trusted; an id is trusted if any of its label rows says so and none says otherwise; rows that
-share an id are scored each; without any trusted document the model is uniform and every non-empty text is kept.
+share an id are scored each; without counted documents the model is uniform, without calibrating ones every text that is
+not empty is kept.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ from terroir.storage import written
 
 ORDER = 4
 QUANTILE, SLACK = 0.99, 1.0
+#: One in so many trusted documents calibrates.
+CALIBRATING = 5
 #: Standard errors by which a text's mean log probability must miss the limit: few bytes prove little.
 ERRORS = 1.0
 #: Bytes of text in a pack before it is compressed.
@@ -154,18 +158,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows_of(None, *counted[0])
 
 
-SCORES_SQL = "doc_id long, lang string, text_hash long, n_bytes long, trusted boolean, log_perplexity double, error double"
+SCORES_SQL = "doc_id long, lang string, text_hash long, n_bytes long, marked boolean, log_perplexity double, error double"
 SCORES = pa.schema(
     [("doc_id", pa.int64()), ("lang", pa.string()), ("text_hash", pa.int64()), ("n_bytes", pa.int64()),
-     ("trusted", pa.bool_()), ("log_perplexity", pa.float64()), ("error", pa.float64())]
+     ("marked", pa.bool_()), ("log_perplexity", pa.float64()), ("error", pa.float64())]
 )
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From buckets in order, each with trusted ids and gram probabilities before packs: a row for each document."""
+    """From buckets in order, each with marked ids and gram probabilities before packs: a row for each document."""
 
     def rows():
-        trusted: set[int] = set()
+        marked: set[int] = set()
         known: list[np.ndarray] = []
         logs: list[np.ndarray] = []
         keys = values = None
@@ -174,9 +178,9 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = batch.column(1).to_numpy()
             for i, (key, ids, pack) in enumerate(zip(batch.column(0), batch.column(4), batch.column(5), strict=True)):
                 if key.as_py() != bucket:
-                    bucket, trusted, known, logs, keys = key.as_py(), set(), [], [], None
+                    bucket, marked, known, logs, keys = key.as_py(), set(), [], [], None
                 if kinds[i] == 0 and ids.is_valid:
-                    trusted.update(ids.as_py())
+                    marked.update(ids.as_py())
                 elif kinds[i] == 0:
                     known.append(batch.column(2)[i].as_py())
                     logs.append(batch.column(3)[i].as_py())
@@ -189,12 +193,12 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         found, n = np.unique(grams(text or b""), return_counts=True)
                         size = len(text or b"")
                         if not size:
-                            yield doc, lang, text_hash, 0, doc in trusted, None, None
+                            yield doc, lang, text_hash, 0, doc in marked, None, None
                             continue
                         surprise = -values[np.searchsorted(keys, found)]
                         mean = float(surprise @ n) / size
                         error = (float((surprise - mean) ** 2 @ n) / size / size) ** 0.5
-                        yield doc, lang, text_hash, size, doc in trusted, mean, error
+                        yield doc, lang, text_hash, size, doc in marked, mean, error
 
     return record_batches(rows(), SCORES, 5_000)
 
@@ -255,10 +259,33 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``lang``, ``text_hash``, ``n_bytes``, ``trusted``, ``log_perplexity`` and its standard ``error``.
+def _dealt_ids(ids: DataFrame, buckets: int, name: str) -> DataFrame:
+    """Rows of some hundred ids of a bucket each: the salt keeps lists short."""
+    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "doc_id"), F.lit(256))
+    lists = ids.groupBy(_bucket(buckets).alias("bucket"), chunk.alias("chunk")).agg(F.collect_list("doc_id").alias("ids"))
+    return written(_as_dealt(lists, "bucket", "ids"), name)
+
+
+def _as_dealt(df: DataFrame, *given: str) -> DataFrame:
+    """``df`` in the shape of dealt rows, of the kind that comes before packs."""
+    kinds = {"gram": "long", "value": "double", "ids": "array<long>", "pack": "binary"}
+    columns = [F.col(c) if c in given else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
+    return df.select("bucket", F.lit(0).alias("kind"), *columns)
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """``doc_id`` of the documents that labels (doc_id, quality, toxic) call good and not toxic, and whether it calibrates."""
+    good = only(labels, doc_id="long", quality="int", toxic="int").filter("doc_id is not null")
+    good = good.groupBy("doc_id").agg(F.min(F.col("quality").eqNullSafe(1) & F.col("toxic").eqNullSafe(0)).alias("good"))
+    calibrates = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(CALIBRATING)) == 0
+    return good.filter("good").select("doc_id", calibrates.alias("calibrates"))
+
 
-    ``docs`` has doc_id, lang and text; ``labels`` doc_id, quality (1: good) and toxic (1: toxic).
+def score_documents(docs: DataFrame, training: DataFrame, marked: DataFrame) -> DataFrame:
+    """``doc_id``, ``lang``, ``text_hash``, ``n_bytes``, ``marked``, ``log_perplexity`` and its standard ``error``.
+
+    ``docs`` has doc_id, lang and text. ``training`` and ``marked`` (doc_id, distinct) name the documents to train on and
+    those to mark in the result.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -266,18 +293,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         _bucket(buckets).alias("bucket"), "doc_id", "lang", F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text")
     )
     packs = rows.mapInArrow(_pack, DEALT_SQL)
-    good = only(labels, doc_id="long", quality="int", toxic="int").filter("doc_id is not null")
-    good = good.groupBy("doc_id").agg(F.min(F.col("quality").eqNullSafe(1) & F.col("toxic").eqNullSafe(0)).alias("good"))
-    # A row for some hundred ids of a bucket: the salt keeps lists short.
-    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "doc_id"), F.lit(256))
-    ids = good.filter("good").groupBy(_bucket(buckets).alias("bucket"), chunk.alias("chunk")).agg(
-        F.collect_list("doc_id").alias("ids")
-    )
-    none = {"gram": "long", "value": "double", "ids": "array<long>", "pack": "binary"}
-    ids = written(
-        ids.select("bucket", F.lit(0).alias("kind"), *(F.lit(None).cast(t).alias(c) if c != "ids" else F.col(c) for c, t in none.items())),
-        "quality-trusted",
-    )
 
     def dealt(*extra: DataFrame) -> DataFrame:
         both = packs
@@ -285,27 +300,28 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
             both = both.unionByName(other)
         return both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
 
+    ids = _dealt_ids(training, buckets, "quality-training")
     found = written(dealt(ids).mapInArrow(_count, "bucket int, gram long, n long"), "quality-found")
     counts = found.filter("bucket is null").groupBy("gram").agg(F.sum("n").alias("n"))
     wanted = found.filter("bucket is not null").select("bucket", "gram")
     known = written(probabilities(wanted, written(counts, "quality-grams")), "quality-known")
-    replies = wanted.join(known, "gram").select(
-        "bucket", F.lit(0).alias("kind"), "gram", "value", *(F.lit(None).cast(none[c]).alias(c) for c in ("ids", "pack"))
-    )
-    return dealt(ids, replies).mapInArrow(_score, SCORES_SQL)
+    replies = _as_dealt(wanted.join(known, "gram"), "gram", "value")
+    return dealt(_dealt_ids(marked, buckets, "quality-marked"), replies).mapInArrow(_score, SCORES_SQL)
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """``doc_id``, ``lang``, ``text_hash``, ``n_bytes``, ``perplexity``, ``threshold`` and ``keep`` of every row."""
-    scores = written(score_documents(docs, labels), "quality-scores")
+    ids = written(trusted_ids(labels), "quality-ids")
+    training, calibrating = ids.filter("not calibrates").select("doc_id"), ids.filter("calibrates").select("doc_id")
+    scores = written(score_documents(docs, training, calibrating), "quality-scores")
 
     def limit(of: str) -> Column:
         middle, high = (F.percentile_approx("log_perplexity", q, 10_000) for q in (0.5, quantile))
         return (high + slack * (high - middle)).alias(of)
 
-    trusted = scores.filter("trusted and log_perplexity is not null")
-    by_lang = trusted.groupBy(F.col("lang").alias("of_lang")).agg(limit("own"))
-    overall = trusted.agg(limit("overall")).first()["overall"]
+    calm = scores.filter("marked and log_perplexity is not null")
+    by_lang = calm.groupBy(F.col("lang").alias("of_lang")).agg(limit("own"))
+    overall = calm.agg(limit("overall")).first()["overall"]
     joined = scores.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
     top = F.coalesce("own", F.lit(overall).cast("double"))
     surely = F.col("log_perplexity") - ERRORS * F.col("error")

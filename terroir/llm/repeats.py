@@ -302,7 +302,8 @@ class Repeats:
         self.length, self.group = length, group
         self.docs = _hashed(docs)
         anchored = written(self.docs.mapInArrow(_anchor_rows(length), ANCHORS_SQL), "repeat-anchors")
-        often = anchored.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+        # Written, so that the join has shuffles of its own on both sides and splits a hot hash.
+        often = written(anchored.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeat-often")
         self.repeated = written(anchored.join(often, "hash"), "repeat-again")
         # A context that stands for its copies; firsts come from one row, and writing fixes which.
         firsts = [F.first(c).alias(c) for c in ("doc_id", "text_hash", "place")]
@@ -341,6 +342,7 @@ class Repeats:
             crowd = self.contexts(f"kinds > {self.group}").mapInArrow(_root_rows(self.length), ROOTS_SQL)
             crowd = written(crowd, "repeat-roots")
             often = crowd.groupBy("hash", "root").agg(F.count("*").alias("n")).filter("n > 1").select("hash", "root")
+            often = written(often, "repeat-often")
             starts = crowd.filter("single").join(often, ["hash", "root"])
             every = every.unionByName(starts.selectExpr("doc_id", "text_hash", "a", f"a + {self.length} as b"))
         return every.distinct().groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("a", "b")).alias("spans"))

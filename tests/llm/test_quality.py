@@ -58,15 +58,23 @@ def test_scores_equal_a_plain_model(spark, documents):
     pairs = [(i, prose(SEED.randint(1, 40))) for i in range(40)]
     pairs += [(40, "XX!! ZZ%%"), (41, ""), (42, None), (None, "no id"), (3, "the same id"), (43, "é日本" * 5)]
     good = set(range(0, 30))
-    labels = [(i, 1, 0) for i in good] + [(30, 0, 0), (31, 1, 1), (None, 1, 0), (32, 1, None), (33, None, 0), (34, 1, 0), (34, 0, 0)]
     p = brute_model([t or "" for d, t in pairs if d in good])
-    rows = q.score_documents(documents(pairs), spark.createDataFrame(labels, LABELS)).collect()
+    ids = [spark.createDataFrame([(i,) for i in x], "doc_id long") for x in (sorted(good), [5, 35])]
+    rows = q.score_documents(documents(pairs), *ids).collect()
     expected = sorted(((d, brute_score(p, t or "")) for d, t in pairs), key=str)
     got = sorted(((r["doc_id"], r["log_perplexity"]) for r in rows), key=str)
     assert len(got) == len(expected)
     for (a, x), (b, y) in zip(got, expected, strict=True):
         assert a == b and (x is None) == (y is None) and (x is None or abs(x - y) < 1e-9)
-    assert {r["doc_id"] for r in rows if r["trusted"]} == good
+    assert {r["doc_id"] for r in rows if r["marked"]} == {5, 35}
+
+
+def test_trusted_ids(spark):
+    labels = [(i, 1, 0) for i in range(30)] * 2
+    labels += [(30, 0, 0), (31, 1, 1), (None, 1, 0), (32, 1, None), (33, None, 0), (34, 1, 0), (34, 0, 0)]
+    rows = q.trusted_ids(spark.createDataFrame(labels, LABELS)).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(30))
+    assert 0 < sum(r["calibrates"] for r in rows) < 15
 
 
 def test_probabilities_of_a_context_sum_to_one(spark):
@@ -93,8 +101,27 @@ def test_no_labels_and_no_documents(spark, documents):
     assert q.classify(documents([]), none).collect() == []
 
 
+def test_held_out_junk_is_rejected_and_prose_kept(spark, documents):
+    clean = [prose(60) for _ in range(120)]
+    junk = ["".join(SEED.choice("#$%&!XYZ|") for _ in range(200)) for _ in range(30)]
+    docs = documents(clean + junk)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(80)], LABELS)
+    rows = {r["doc_id"]: r["keep"] for r in q.classify(docs, labels).collect()}
+    assert all(rows[i] for i in range(120)) and not any(rows[i] for i in range(120, 150))
+    kept = q.kept(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == 120
+
+
+def test_no_labels_and_no_documents(spark, documents):
+    none = spark.createDataFrame([], LABELS)
+    rows = q.classify(documents(["a text", None]), none).collect()
+    assert {(r["doc_id"], r["keep"]) for r in rows} == {(0, True), (1, False)}
+    assert abs(rows[0]["perplexity"] or rows[1]["perplexity"]) - 256 < 1e-6
+    assert q.classify(documents([]), none).collect() == []
+
+
 def test_null_language_has_its_own_limit(spark, documents):
-    docs = documents([prose(30) for _ in range(30)]).withColumn("lang", F.when(F.col("doc_id") > 20, None).otherwise("en"))
+    docs = documents([prose(30) for _ in range(150)]).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, None).otherwise("en"))
     rows = q.classify(docs, spark.createDataFrame([(i, 1, 0) for i in range(30)], LABELS)).collect()
     assert len(rows) == 30 and len({r["threshold"] for r in rows}) == 2
 
