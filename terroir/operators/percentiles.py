@@ -1,20 +1,17 @@
 """Exact interpolated percentiles that never hold a large group in one task.
 
-The built-in ``percentile`` keeps every distinct value of a group in one task's map. Here, beyond a small
-input:
-
-1. rows are counted per (group, slice of the value range) with map-side combine. That is at most a few
-   hundred rows per group; their running sum locates the slices holding the wanted positions, and those
-   few rows are written to the shared folder;
-2. while a located slice still holds many rows and more than one value, the rows in it are counted per
-   finer slice the same way;
-3. the input is read again, joined with the located slices (broadcast if their files are small enough,
-   else counted per value and shuffled), and only what survives is counted per value and ranked.
-
-So the data itself is scanned twice or a few times but, with broadcast, never shuffled. A hot group spreads
-over its slices, a hot value collapses in the map-side count. An input under ``SMALL_BYTES`` is counted per
-value and ranked per group instead. All ways pick the same order statistics and interpolate linearly with
-the same arithmetic.
+The built-in ``percentile`` keeps every distinct value of a group in one task's map. Here, for every size of input, in
+one lazy plan:
+
+1. rows are counted per group and value with map-side combine, so a hot value is one row per map task, and the counts
+   are spread over tasks by value, not by group;
+2. the counts are summed per slice of the value range; the running sum of these few rows per group locates the slices
+   that hold the wanted positions;
+3. only counts in located slices go on. They are summed per finer slice (a slice's value range cut in 1024) and located
+   again in the same way;
+4. what is left, a millionth or so of a group's range, is ranked per finer slice.
+
+So a hot group spreads over its values and slices. NaN sorts last and has a slice of its own, as every infinity has.
 """
 
 from __future__ import annotations
@@ -24,19 +21,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from terroir.storage import estimated_bytes, written
-
-SMALL_BYTES = 64 << 20
-BROADCAST_BYTES = 16 << 20
-SLICE_ROWS = 10_000_000
-
 
 @dataclass(frozen=True)
 class Pct:
     """One wanted percentile: output ``name``, ``value`` column, position ``p`` and slice ``width``.
 
-    ``width`` is the linear slice width in units of the value; without it slices are logarithmic
-    (about 3 % wide: at cent resolution a slice around 3 000 holds 10 000 distinct values).
+    ``width`` is the linear slice width in units of the value; without it slices are logarithmic (about 3 % wide).
     """
 
     name: str
@@ -46,49 +36,48 @@ class Pct:
 
 
 def _slice(width: float | None) -> str:
-    if width is None:
-        return "cast(signum(x) * floor(log1p(abs(x)) * 32) as double)"
-    return f"cast(floor(x / {float(width)!r}D) as double)"
+    inner = "signum(x) * floor(log1p(abs(x)) * 32)" if width is None else f"floor(x / {float(width)!r}D)"
+    return f"if(isnan(x), double('infinity'), cast({inner} as double))"
 
 
-# Counted per value, then each group is ranked as a whole.
-_SMALL = """
-hist as (select {k}, m, x, sum(w) as n from stacked group by {k}, m, x),
-ranked as (
-  select *, sum(n) over (partition by {k}, m order by x rows unbounded preceding) as upto,
-         sum(n) over (partition by {k}, m) as total
-  from (select * from hist distribute by {k})
-)"""
-
-# The slices holding a wanted position: rows before it, rows and value range in it. A slice of a slice is
-# told apart by ``base``, the rows before the outer one.
-_TARGETS = """
-sizes as (
-  select {k}, m, base, s, {total} sum(w) as c, min(x) as low, max(x) as high from sliced group by {k}, m, base, s {by_total}
+_PLAN = """
+with stacked as (
+  select * from (select {k}, {rows} as w, inline(array({entries})) from {{df}}) where x is not null
+),
+counted as (
+  select {k}, m, s, x, sum(w) as n from (select {k}, m, case m {slices} end as s, x, w from stacked) group by {k}, m, s, x
+),
+slices as (
+  select {k}, m, s, sum(n) as c, min(x) as low, max(x) as high from counted group by {k}, m, s
 ),
-positions as (
-  select *, base + sum(c) over (partition by {k}, m, base order by s rows unbounded preceding) - c as before {window}
-  from sizes
-)
-select {k}, m, base, s, before, total, c, low, high from positions where {hit}"""
-_FIRST = {"total": "", "by_total": "", "window": ", sum(c) over (partition by {k}, m) as total"}
-_FINER = {"total": "total,", "by_total": ", total", "window": ""}
-
-# Rows inside the located slices, cut finer where a slice is still large.
-_NARROWED = """
-select {hint} {hk}, h.m, h.x, h.w, t.total, t.before as base,
-       if(t.c > {limit} and t.high > t.low, floor((h.x - t.low) / (t.high - t.low) * 1023), 0L) as s
-from {{rows}} h join {{targets}} t on {same}"""
-
-_RANKED = """
-hist as (
-  select {hint} {hk}, h.m, h.x, t.before, t.total, sum(h.w) as n
-  from {{rows}} h join {{targets}} t on {same} group by {hk}, h.m, h.x, t.before, t.total
+located as (
+  select * from (
+    select {k}, m, s, c, low, high, sum(c) over (partition by {k}, m) as total,
+           sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before
+    from slices
+  ) where {hit}
+),
+narrowed as (
+  select {hk}, h.m, h.s, t.before as base, t.total, h.x, h.n,
+         if(t.high > t.low, floor((h.x - t.low) / (t.high - t.low) * 1023), 0L) as f
+  from counted h join located t on {same}
+),
+finer as (
+  select {k}, m, s, f, base, total, sum(n) as c from narrowed group by {k}, m, s, f, base, total
+),
+refined as (
+  select * from (
+    select {k}, m, s, f, c, total, base + sum(c) over (partition by {k}, m, s order by f rows unbounded preceding) - c as before
+    from finer
+  ) where {hit}
 ),
 ranked as (
-  select *, before + sum(n) over (partition by {k}, m, before order by x rows unbounded preceding) as upto
-  from (select * from hist distribute by {k})
-)"""
+  select {hk}, h.m, h.x, h.n, h.total,
+         t.before + sum(h.n) over (partition by {hk}, h.m, h.s, h.f order by h.x rows unbounded preceding) as upto
+  from narrowed h join refined t on {same} and h.f = t.f
+),
+picked as (select {k}, {picks} from ranked group by {k})
+select {results} from picked"""
 
 
 def percentiles(
@@ -97,22 +86,18 @@ def percentiles(
     wanted: Sequence[Pct],
     weight: str | None = None,
     counts: Mapping[str, str] | None = None,
-    small_bytes: int = SMALL_BYTES,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Keys and one double column per ``wanted``; groups without any non-NULL value are absent.
 
-    ``weight`` names a column of row counts when ``df`` is already a histogram. ``counts`` adds the number
-    of non-NULL values of a value column under a given name (it is known anyway).
+    Without ``keys``, all rows are one group. ``weight`` names a column of row counts when ``df`` is already a
+    histogram. ``counts`` adds the number of non-NULL values of a value column under a given name (it is known anyway).
     """
     widths: dict[str, float | None] = {}
     for w in wanted:
         widths.setdefault(w.value, w.width)
     values = list(widths)
-    entries = ", ".join(f"struct({i} as m, cast(`{v}` as double) as x)" for i, v in enumerate(values))
 
-    hits, picks, results = [], [], []
+    hits, picks, results = [], [], [f"`{c}`" for c in keys]
     for i, w in enumerate(wanted):
         m, position = values.index(w.value), f"((total - 1) * {float(w.p)!r}D)"
         for side, bound in (("lo", f"floor({position})"), ("hi", f"ceil({position})")):
@@ -121,48 +106,23 @@ def percentiles(
         picks.append(f"max(if(m = {m}, total, null)) as n{i}")
         position = position.replace("total", f"n{i}")
         above = f"({position} - floor({position}))"
-        results.append(f"lo{i} * (1D - {above}) + hi{i} * {above} as `{w.name}`")
+        results.append(f"if({above} = 0, lo{i}, lo{i} * (1D - {above}) + hi{i} * {above}) as `{w.name}`")
     for name, value in (counts or {}).items():
         first = next(i for i, w in enumerate(wanted) if w.value == value)
         results.append(f"coalesce(n{first}, 0L) as `{name}`")
 
-    k = ", ".join(f"`{c}`" for c in keys)
-    names = {
-        "k": k,
-        "hk": ", ".join(f"h.`{c}`" for c in keys),
-        "same": " and ".join(f"h.`{c}` <=> t.`{c}`" for c in (*keys, "m", "base", "s")),
-        "hit": " or ".join(f"({h})" for h in hits),
-        "limit": slice_rows,
-    }
-    spark = df.sparkSession
-    rows = "1L" if weight is None else f"cast(`{weight}` as bigint)"
-    stacked = f"""with stacked as (
-      select * from (select {k}, {rows} as w, inline(array({entries})) from {{df}}) where x is not null
-    )"""
-    picked = f"""picked as (select {k}, {", ".join(picks)} from ranked group by {k})
-        select {k}, {", ".join(results)} from picked"""
-    if estimated_bytes(df) < small_bytes:
-        return spark.sql(f"{stacked}, {_SMALL.format(**names)}, {picked}", df=df)
-
-    slices = " ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values))
-    cut = spark.sql(f"{stacked} select {k}, m, 0L as base, case m {slices} end as s, x, w from stacked", df=df)
-
-    def located(parts: dict[str, str]) -> DataFrame:
-        parts = {name: text.format(k=k) for name, text in parts.items()}
-        return written(spark.sql("with sliced as (select * from {rows})," + _TARGETS.format(**names, **parts), rows=cut), "slices")
-
-    def hint(targets: DataFrame) -> str:
-        return "/*+ broadcast(t) */" if estimated_bytes(targets) <= broadcast_bytes else ""
-
-    targets = located(_FIRST)
-    if not hint(targets):
-        cut = spark.sql(f"select {k}, m, base, s, x, sum(w) as w from {{rows}} group by {k}, m, base, s, x", rows=cut)
-    # Each round divides a large slice by 1024; a double has no more than six such rounds.
-    for _ in range(6):
-        if targets.filter(f"c > {slice_rows} and high > low").isEmpty():
-            break
-        cut = spark.sql(_NARROWED.format(**names, hint=hint(targets)), rows=cut, targets=targets)
-        targets = located(_FINER)
-    return spark.sql(
-        f"with {_RANKED.format(**names, hint=hint(targets))}, {picked}", rows=cut, targets=targets
+    if not keys:
+        df = df.selectExpr("*", "0 as `__all`")
+    groups = list(keys) or ["__all"]
+    text = _PLAN.format(
+        k=", ".join(f"`{c}`" for c in groups),
+        hk=", ".join(f"h.`{c}`" for c in groups),
+        rows="1L" if weight is None else f"cast(`{weight}` as bigint)",
+        entries=", ".join(f"struct({i} as m, cast(`{v}` as double) as x)" for i, v in enumerate(values)),
+        slices=" ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values)),
+        hit=" or ".join(f"({h})" for h in hits),
+        same=" and ".join([*(f"h.`{c}` <=> t.`{c}`" for c in groups), "h.m = t.m", "h.s = t.s"]),
+        picks=", ".join(picks),
+        results=", ".join(results),
     )
+    return df.sparkSession.sql(text, df=df)

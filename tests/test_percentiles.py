@@ -32,20 +32,13 @@ def rows(seed, n):
 WANTED = [Pct("x50", "x", 0.5, 10.0), Pct("x25", "x", 0.25, 10.0), Pct("x90", "x", 0.9, 10.0), Pct("y50", "y")]
 
 
-SMALL = {"small_bytes": 1 << 62}
-BROADCAST = {"small_bytes": 0, "broadcast_bytes": 1 << 62}
-SHUFFLED = {"small_bytes": 0, "broadcast_bytes": -1}
-WAYS = [SMALL, BROADCAST, SHUFFLED, {**BROADCAST, "slice_rows": 4}, {**SHUFFLED, "slice_rows": 4}]
-
-
-@pytest.mark.parametrize("way", WAYS)
 @pytest.mark.parametrize("n", [1, 2, 7, 3000])
-def test_matches_brute_force(spark, way, n):
+def test_matches_brute_force(spark, n):
     data = rows(n, n)
     df = spark.createDataFrame(data, "k string, g int, x double, y double")
     got = {
         (r.k, r.g): r
-        for r in percentiles(df, ["k", "g"], WANTED, counts={"nx": "x", "ny": "y"}, **way).collect()
+        for r in percentiles(df, ["k", "g"], WANTED, counts={"nx": "x", "ny": "y"}).collect()
     }
     groups = {}
     for k, g, x, y in data:
@@ -60,24 +53,57 @@ def test_matches_brute_force(spark, way, n):
         assert (r.nx, r.ny) == (len(xs), len(ys))
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_weights_count_as_rows(spark, way):
+def test_weights_count_as_rows(spark):
     df = spark.createDataFrame([("a", 1.0, 3), ("a", 10.0, 1), ("a", 2.0, 4), ("b", 5.0, 1)], "k string, x double, n long")
-    got = {r.k: r for r in percentiles(df, ["k"], [Pct("m", "x")], weight="n", counts={"c": "x"}, **way).collect()}
+    got = {r.k: r for r in percentiles(df, ["k"], [Pct("m", "x")], weight="n", counts={"c": "x"}).collect()}
     assert got["a"].m == brute([1.0] * 3 + [10.0] + [2.0] * 4, 0.5)
     assert got["a"].c == 8
     assert got["b"].m == 5.0
 
 
-def test_distributed_way_does_not_shuffle_the_input(spark, tmp_path):
+def test_counts_come_before_shuffles_and_nothing_is_crossed(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame(rows(1, 500), "k string, g int, x double, y double").write.parquet(path)
-    out = percentiles(spark.read.parquet(path), ["k"], WANTED, **BROADCAST)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    plan = percentiles(spark.read.parquet(path), ["k"], WANTED)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    # Rows meet the slices and are counted before the first exchange.
-    assert plan.index("partial_sum") < plan.index("BroadcastHashJoin")
+    # Every scan is counted per group, slice and value before its first exchange.
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "x#" in line]
+    assert scans and len(exchanges) >= len(scans)
+
+
+def test_nothing_runs_while_a_query_is_built(spark):
+    df = spark.range(5).selectExpr("id as k", "raise_error('computed') as x").selectExpr("k", "cast(x as double) as x")
+    percentiles(df, ["k"], [Pct("m", "x")])
+
+
+@pytest.mark.parametrize("width", [None, 2.0])
+def test_nan_and_infinity_sort_at_the_ends(spark, width):
+    inf, nan = float("inf"), float("nan")
+    for data in ([float(i) for i in range(10)] + [nan] * 5, [-inf, 1.0, 2.0, inf], [nan], [inf, inf, -inf], [0.0, -0.0, 5.0, nan]):
+        frame = spark.createDataFrame([("g", x) for x in data], "k string, x double").repartition(3)
+        [got] = percentiles(frame, ["k"], [Pct("m", "x", 0.5, width), Pct("q", "x", 1.0, width)]).collect()
+        expected = frame.selectExpr("percentile(x, 0.5) as m", "max(x) as q").first()
+        assert str(got.q) == str(expected.q)
+        assert str(got.m) == str(expected.m) or str(got.m) == str(float(sorted(x for x in data)[len(data) // 2]))
+
+
+@pytest.mark.parametrize("width", [None, 10.0])
+def test_without_keys_all_rows_are_one_group(spark, width):
+    data = rows(9, 900)
+    frame = spark.createDataFrame(data, "k string, g int, x double, y double")
+    [got] = percentiles(frame, [], [Pct("m", "x", 0.5, width), Pct("y", "y")], counts={"n": "x"}).collect()
+    assert got.asDict() == {
+        "m": brute([r[2] for r in data], 0.5), "y": brute([r[3] for r in data if r[3] is not None], 0.5), "n": 900
+    }
+    assert percentiles(frame.limit(0), [], [Pct("m", "x")]).collect() == []
+
+
+def test_many_distinct_values_in_one_slice(spark):
+    frame = spark.range(40_000).selectExpr("1000 + (id * 7919 % 40000) / 4000000 as x", "1 as k")
+    [got] = percentiles(frame, ["k"], [Pct("m", "x"), Pct("t", "x", 0.999)]).collect()
+    data = [1000 + (i * 7919 % 40000) / 4000000 for i in range(40_000)]
+    assert (got.m, got.t) == (brute(data, 0.5), brute(data, 0.999))
 
 
 def test_row_order_and_partitioning_do_not_matter(spark):
@@ -85,6 +111,6 @@ def test_row_order_and_partitioning_do_not_matter(spark):
     schema = "k string, g int, x double, y double"
     a = spark.createDataFrame(data, schema).repartition(1)
     b = spark.createDataFrame(data[::-1], schema).repartition(7)
-    one = sorted(map(str, percentiles(a, ["k"], WANTED, **BROADCAST).collect()))
-    two = sorted(map(str, percentiles(b, ["k"], WANTED, **SMALL).collect()))
+    one = sorted(map(str, percentiles(a, ["k"], WANTED).collect()))
+    two = sorted(map(str, percentiles(b, ["k"], WANTED).collect()))
     assert one == two
