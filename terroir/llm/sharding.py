@@ -72,7 +72,8 @@ def shard_documents(docs: DataFrame, shards: int = 24, rounds: int = 8) -> DataF
     )
     n = base.count()
     quota = [n // shards + (s < n % shards) for s in range(shards)]
-    groups = base.groupBy("group").agg(F.count("*").alias("members")).filter("members > 1")
+    # Written, so that joins have shuffles of their own on both sides and split a hot group.
+    groups = written(base.groupBy("group").agg(F.count("*").alias("members")).filter("members > 1"), "shard-groups")
     # Communities: groups, or the parts of groups that are larger than a shard.
     parts = F.ceil(F.col("members") / max(1, n // shards))
     linked = base.join(groups, "group").select(
