@@ -22,7 +22,7 @@ from terroir.session import local_session  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 BUILD = (
-    "dvf_mutations", "dpe_logements", "insee_comparateur", "stg_dpe_logements", "int_ventes_logement",
+    "stg_dpe_logements", "int_ventes_logement",
     "int_dpe_logement_dernier", "int_insee_commune", *EXPORTS,
 )
 HEADLINE = (

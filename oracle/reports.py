@@ -63,6 +63,23 @@ def _cartes(annee: int, where: str = "", where_dpe: str = "") -> str:
     return sql[: -len("select 1")].rstrip() + ",\n" + src.strip() + "\n" + "\nunion all\n".join(parts)
 
 
+def _cartes_periode(where: str, where_dpe: str) -> str:
+    """The cards without a single year: values over all years, no comparison, the period in the titles."""
+    sales = f"(select median(prix_m2) as m2, count(*) as n, median(prix) as p from fct_ventes {where})"
+    flow = f"(select sum(nb_dpe) filter (est_passoire_thermique) / sum(nb_dpe) as q from fct_dpe_mensuel {where_dpe})"
+    cards = [
+        ("prix_m2", "Prix médian au m²", "m2", f"{_thousands('m2')} || ' €'", sales),
+        ("ventes", "Ventes de logements", "cast(n as double)", _thousands("n"), sales),
+        ("prix_median", "Prix médian d''un logement", "p", f"{_thousands('p')} || ' €'", sales),
+        ("passoires", "Passoires (F-G) parmi les DPE", "q", "printf('%.1f', round(q * 100.0, 1)) || ' %'", flow),
+    ]
+    return " union all ".join(
+        f"""select cast(null as integer) as annee, '{card}' as carte, {value} as valeur, {text} as texte,
+        cast(null as varchar) as libelle, '{VERT}' as couleur, '{title} · 2021-2025' as titre from {source}"""
+        for card, title, value, text, source in cards
+    )
+
+
 def _rolling(by_type: bool) -> str:
     t = ", type_logement" if by_type else ""
     cond = " and b.type_logement = a.type_logement" if by_type else ""
@@ -170,6 +187,28 @@ def statements() -> dict[str, str]:
     q["q06_classement_baisse"] = _classement("evol_prix_m2_min", True, 10)
     q["q06_classement_ventes"] = _classement("nb_ventes_min", False, 10)
     q["mesures_deux_periodes"] = with_ctes(_periodes(10), "fct_ventes")
+    everywhere = _periodes(10).replace("select code_commune, median", "select median").replace(" group by code_commune", "")
+    q["mesures_deux_periodes_ensemble"] = with_ctes(everywhere, "fct_ventes")
+    q["mesures_ensemble"] = with_ctes(
+        "select median(prix_m2) as prix_m2_median, median(prix) as prix_median, count(*) as nb_ventes from fct_ventes", "fct_ventes"
+    )
+    q["q01_cartes_periode"] = with_ctes(_cartes_periode("", ""), "fct_ventes", "fct_dpe_mensuel", "dim_commune")
+    q["q01_cartes_periode_maison"] = with_ctes(
+        _cartes_periode(
+            "where year(date_vente) in (2023, 2024) and lower(type_logement) = 'maison'",
+            "where year(mois) in (2023, 2024) and lower(type_logement) = 'maison'",
+        ),
+        "fct_ventes", "fct_dpe_mensuel", "dim_commune",
+    )
+    q["q14_listes"] = with_ctes(
+        """
+        select 'annee' as segment, cast(year(date) as varchar) as valeur from dim_date where month(date) = 12 and day(date) = 31
+        union select 'departement', nom_departement from dim_commune
+        union select 'type', lower(type_logement) from fct_ventes
+        union select 'type', lower(type_logement) from fct_dpe_mensuel where type_logement is not null
+        """,
+        "dim_date", "dim_commune", "fct_ventes", "fct_dpe_mensuel",
+    )
     q["q07_accessibilite_cles"] = with_ctes(
         f"""
         select *, {_thousands('niveau_vie_commune_mediane')} || ' €/an' as niveau_vie_carte,

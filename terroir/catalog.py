@@ -184,6 +184,9 @@ def queries() -> dict[str, Query]:
         "dim_date": _report(_calendrier),
         "q01_cartes": _report(lambda m: R.cartes(m, 2025)),
         "q01_cartes_departement": _report(lambda m: R.cartes(m, 2024, Contexte(departements=("59",), types=("maison",)))),
+        "q01_cartes_periode": _report(lambda m: R.cartes(m, None)),
+        "q01_cartes_periode_maison": _report(lambda m: R.cartes(m, None, Contexte((2023, 2024), types=("maison",)))),
+        "q14_listes": _report(R.listes),
         "q02_carte_communes": _report(R.carte_communes),
         "q03_ventes_par_mois": _report(lambda m: R.ventes_par_mois(m, 2025)),
         "q04_prix_glissant": _report(R.prix_glissant),
@@ -205,6 +208,8 @@ def queries() -> dict[str, Query]:
         "mesures_deux_periodes": _report(
             lambda m: M.prix_deux_periodes(m, Contexte(), ["code_commune"], MIN_CLASSEMENT)
         ),
+        "mesures_ensemble": _report(lambda m: M.mesures_ventes(M.ventes(m), [])),
+        "mesures_deux_periodes_ensemble": _report(lambda m: M.prix_deux_periodes(m, Contexte(), [], MIN_CLASSEMENT)),
         "type_conforme": _report(_type_conforme),
         "niveaux_geographiques": _report(R.niveaux),
         "cumul_annuel": _report(R.cumul_annuel),

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join two results of the same ``groupBy(keys)``; NULL keys match each other."""
-    if not keys:
-        raise ValueError("join_groups needs at least one key")
+    if not keys:  # one row on each side, put together without a join
+        both = left.unionByName(right, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in both.columns])
     renamed = right.select(
         *[F.col(k).alias(f"__r_{k}") for k in keys],
         *[c for c in right.columns if c not in keys],

@@ -24,8 +24,8 @@ def _deux_ans(annee: int, ctx: Contexte) -> Contexte:
     return Contexte((annee - 1, annee), ctx.departements, ctx.types)
 
 
-def cartes(m: Modele, annee: int, ctx: Contexte = Contexte()) -> DataFrame:
-    """Q1: the four cards of one year, each with value, text, comparison, colour and title."""
+def _mesures_des_cartes(m: Modele, annee: int, ctx: Contexte) -> DataFrame:
+    """One row: the year's measures, each with its change against the year before."""
     two = _deux_ans(annee, ctx)
     v = M.comparaison_annuelle(
         M.mesures_ventes(M.ventes(m, two), ["annee"]), ["prix_m2_median", "nb_ventes", "prix_median"]
@@ -34,7 +34,22 @@ def cartes(m: Modele, annee: int, ctx: Contexte = Contexte()) -> DataFrame:
         "ecart", F.col("part_passoires") - F.col("part_passoires_n1")
     )
     year = m.dates.filter(F.col("annee") == annee).select("annee").distinct()
-    row = join_groups(join_groups(year, v, ["annee"]), d, ["annee"])
+    return join_groups(join_groups(year, v, ["annee"]), d, ["annee"])
+
+
+def _mesures_sans_annee(m: Modele, ctx: Contexte) -> DataFrame:
+    """One row: the measures over all years in context; without a single year there is nothing to compare with."""
+    row = join_groups(M.mesures_flux(M.flux(m, ctx), []), M.mesures_ventes(M.ventes(m, ctx), []), [])
+    blank = ("evol_prix_m2_median", "evol_nb_ventes", "evol_prix_median", "ecart")
+    return row.select("*", F.lit(None).cast("int").alias("annee"), *[F.lit(None).cast("double").alias(c) for c in blank])
+
+
+def cartes(m: Modele, annee: int | None, ctx: Contexte = Contexte()) -> DataFrame:
+    """Q1: the four cards, each with value, text, comparison, colour and title.
+
+    Of one year, or with ``None`` of all years in context: then comparisons are blank and titles name the period.
+    """
+    row = _mesures_sans_annee(m, ctx) if annee is None else _mesures_des_cartes(m, annee, ctx)
 
     def card(name: str, value: str, text, e: str, title: str):
         return F.struct(
@@ -241,6 +256,23 @@ def selection(m: Modele, ctx: Contexte) -> DataFrame:
     return M.mesures_ventes(M.ventes(m, ctx), ["annee"]).orderBy("annee")
 
 
+def listes(m: Modele) -> DataFrame:
+    """Q14: the members that the slicers offer: years with a complete calendar year, departments, dwelling types."""
+    complete = m.dates.groupBy("annee").agg(F.max("date").alias("fin")).filter("month(fin) = 12 and day(fin) = 31")
+
+    def members(df: DataFrame, slicer: str, value) -> DataFrame:
+        return df.select(F.lit(slicer).alias("segment"), value.cast("string").alias("valeur")).distinct()
+
+    types = m.ventes.select(X.type_conforme("type_logement").alias("t")).unionByName(
+        m.dpe.select(X.type_conforme("type_logement").alias("t"))
+    )
+    return (
+        members(complete, "annee", F.col("annee"))
+        .unionByName(members(m.communes, "departement", F.col("nom_departement")))
+        .unionByName(members(types.filter("t is not null"), "type", F.col("t")))
+    )
+
+
 def niveaux(m: Modele, ctx: Contexte = Contexte()) -> DataFrame:
     """Every slicer position of the department and commune levels at once.
 

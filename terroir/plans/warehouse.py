@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from terroir.params import Params
 from terroir.plans import intermediate, marts, staging
 from terroir.sources import adapters, seeds
-from terroir.storage import estimated_bytes, shared_dir
+from terroir.storage import shared_dir
 
 # The calendar of the registered queries ends in a fixed year, so that results are comparable.
 AS_OF = dt.date(2026, 6, 30)
 
 
+# Bounds a file, so that a table read from a few large unsplittable inputs is splittable from here on.
+ROWS_PER_FILE = 1_000_000
 # Storage column of the facts, not part of their published columns.
 PARTITION = "annee_partition"
 
@@ -38,15 +40,21 @@ class Warehouse:
         raw: dict[str, DataFrame],
         root: str,
         params: Params = Params(as_of=AS_OF),
-        rows_per_file: int = 5_000_000,
+        rows_per_file: int = ROWS_PER_FILE,
+        departements_csv: str | None = None,
     ):
         self.spark, self.raw, self.root, self.params = spark, raw, root, params
-        self.rows_per_file = rows_per_file
+        self.rows_per_file, self.departements_csv = rows_per_file, departements_csv
         self._written: dict[str, DataFrame] = {}
         self._files: str | None = None
 
     def stored(self, name: str) -> DataFrame:
-        """The written table with its partition column, built with its inputs on first use."""
+        """The written table with its partition column, built with its inputs on first use.
+
+        Raw tables are read where they are.
+        """
+        if name in self.raw:
+            return self.raw[name]
         if name not in self._written:
             path = self.scratch(name)
             self.write(self.plan(name), name, path)
@@ -85,19 +93,17 @@ class Warehouse:
 
     def plan(self, name: str) -> DataFrame:
         """The table's definition over its written inputs; nothing is written for ``name`` itself."""
-        return getattr(self, f"_{name}")()
-
-    def _dvf_mutations(self) -> DataFrame:
-        return self.raw["dvf_mutations"]
-
-    def _dpe_logements(self) -> DataFrame:
-        return self.raw["dpe_logements"]
+        return self.raw[name] if name in self.raw else getattr(self, f"_{name}")()
 
-    def _insee_comparateur(self) -> DataFrame:
-        return self.raw["insee_comparateur"]
+    def remove(self) -> None:
+        """Delete the tables of this build; raw tables stay."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        self._written, self._files = {}, None
 
     def _departements(self) -> DataFrame:
-        return seeds.departements(self.spark)
+        return seeds.departements(self.spark, self.departements_csv)
 
     def _stg_dvf_mutations(self) -> DataFrame:
         return staging.stg_dvf(self.table("dvf_mutations"))
@@ -176,18 +182,26 @@ def raw_from_test_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFram
     }
 
 
-_OPEN: dict[tuple[str, str], Warehouse] = {}
+def _state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of the files of a table, from the file system's listing."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(place)
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listed)
+
+
+_OPEN: dict[tuple[str, ...], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The application's tables for one input directory; each is built once per application."""
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir)
+    """The application's tables for one state of an input directory; each is built once per application."""
+    state = [_state(spark, f"{sf_dir}/{t}.parquet") for t in adapters.TABLES]
+    key = (spark.sparkContext.applicationId, sf_dir, repr(state))
     if key not in _OPEN:
-        digest = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-        root = f"{shared_dir(spark)}/{digest}"
-        raw = raw_from_test_tables(spark, sf_dir)
-        # A small input arrives as one unsplittable file; shorter files keep every core busy after it.
-        small = estimated_bytes(spark.read.parquet(f"{sf_dir}/lineitem.parquet")) < 1 << 30
-        _OPEN[key] = Warehouse(spark, raw, root, rows_per_file=50_000 if small else 5_000_000)
+        root = f"{shared_dir(spark)}/{hashlib.sha256(repr(key).encode()).hexdigest()[:12]}"
+        raw = {}
+        for name, df in raw_from_test_tables(spark, sf_dir).items():
+            df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{root}/raw/{name}")
+            raw[name] = spark.read.parquet(f"{root}/raw/{name}")
+        _OPEN[key] = Warehouse(spark, raw, f"{root}/built")
     return _OPEN[key]

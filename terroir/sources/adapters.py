@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from terroir import params as P
 
-# Fixed values -- department of a key modulo 5.
-_DEPS = ("02", "59", "60", "62", "80")
+#: The test tables that the sources are derived from.
+TABLES = ("lineitem", "orders", "customer", "part", "events")
+_DEPS = tuple(d[0] for d in P.SEED_DEPARTEMENTS)
 _LOADED_AT = "timestamp'2026-01-01 00:00:00'"
 
 
@@ -21,9 +22,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than there are cores (a single small file)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Even partitions, however the test table's files are cut."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _dep(n: Column) -> Column:

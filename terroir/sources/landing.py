@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +31,6 @@ CHAMPS_DPE = (
     "emission_ges_5_usages_par_m2",
 )
 MOTIF_DVF, MOTIF_DPE, FICHIER_INSEE = "dvf/*/*.csv.gz", "dpe/*json.gz", "insee/comparateur.parquet"
-ANNEE_DU_CHEMIN = r"(\d{4})[/\\][^/\\]+$"
 
 
 class AucuneSource(FileNotFoundError):
@@ -51,6 +51,12 @@ def files(spark: SparkSession, pattern: str) -> list[str]:
         raise
 
 
+def any_file(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob matches anything, by the file system's listing alone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+
 def read_csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     """All-text CSV files united by column name.
 
@@ -73,6 +79,7 @@ def read_csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
             spark.read.schema(text_schema(columns))
             .option("header", True)
             .option("escape", '"')
+            .option("multiLine", True)  # a gzip file is one task anyway; line breaks in quotes are data
             .option("mode", "FAILFAST")
             .csv(members)
         )
@@ -86,19 +93,25 @@ def read_csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _year_of_folder(path: str) -> Column:
+    """The four digits that end the name of the file's folder, else the empty text."""
+    end = F.right(F.element_at(F.split(path, "/"), -2), F.lit(4))
+    return F.when(end.rlike("^[0-9]{4}$"), end).otherwise("")
+
+
 def read_dvf(spark: SparkSession, root: str) -> DataFrame | None:
     paths = files(spark, f"{root}/{MOTIF_DVF}")
     if not paths:
         return None
     return read_csv_by_name(spark, paths).select(
         "*",
-        F.regexp_extract("filename", ANNEE_DU_CHEMIN, 1).alias("_annee_fichier"),
+        _year_of_folder("filename").alias("_annee_fichier"),
         F.current_timestamp().alias("_loaded_at"),
     )
 
 
 def read_dpe(spark: SparkSession, root: str) -> DataFrame | None:
-    if not files(spark, f"{root}/{MOTIF_DPE}"):
+    if not any_file(spark, f"{root}/{MOTIF_DPE}"):
         return None
     # The declared columns are the projection: other fields of a line are skipped by the parser.
     lines = spark.read.schema(text_schema(CHAMPS_DPE)).option("mode", "FAILFAST").json(f"{root}/{MOTIF_DPE}")
@@ -139,22 +152,37 @@ def read_raw(
     return found
 
 
-def land(raw: dict[str, DataFrame], out: str, rows_per_file: int = 5_000_000) -> dict[str, int]:
+def files_read(raw: dict[str, DataFrame]) -> dict[str, int]:
+    """Number of source files behind each table, for the load audit."""
+    return {name: len(set(df.inputFiles())) for name, df in raw.items()}
+
+
+def _replace(spark: SparkSession, staged: str, target: str) -> None:
+    """Move a completely written folder to its place; the one it replaces goes only after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, here, old = path(staged), path(target), path(f"{staged}-old")
+    system = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = system.exists(here) and system.rename(here, old)
+    if not system.rename(new, here):
+        if replaced:
+            system.rename(old, here)
+        raise OSError(f"{staged} could not be moved to {target}")
+    if replaced:
+        system.delete(old, True)
+
+
+def land(raw: dict[str, DataFrame], out: str, rows_per_file: int = 1_000_000) -> dict[str, int]:
     """Full refresh of the raw layer as Parquet; returns the rows written per table.
 
     A gzip file is one task whatever its size; bounding the rows per output file keeps the tables
-    splittable from here on without a shuffle.
+    splittable from here on without a shuffle. Each table is written beside the old one, which a failure leaves as it is.
     """
-    from pyspark.sql import Observation
-
     counts = {}
     for name, df in raw.items():
         seen = Observation(name)
-        (
-            df.observe(seen, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", rows_per_file)
-            .parquet(f"{out}/{name}")
-        )
+        staged = f"{out}/_{name}-{uuid.uuid4().hex[:12]}"
+        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        observed.write.option("maxRecordsPerFile", rows_per_file).parquet(staged)
+        _replace(df.sparkSession, staged, f"{out}/{name}")
         counts[name] = seen.get["rows"]
     return counts

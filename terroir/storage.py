@@ -1,4 +1,4 @@
-"""The shared folder of the cluster, for tables that cut lineage, and size estimates of plans."""
+"""The shared folder of the cluster, for tables that cut lineage, ."""
 
 from __future__ import annotations
 
@@ -7,16 +7,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}
+
+
+def _local(application: str) -> str:
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="terroir-")
+    return _LOCAL[application]
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is named and Spark is local."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        if not context.master.startswith("local"):
+        # A driver's plain local session; the cluster's executors would not see this folder.
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        configured = tempfile.mkdtemp(prefix="terroir-")
-        context.setCheckpointDir(configured)
+        configured = _local(context.applicationId)
     return f"{configured.rstrip('/')}/terroir/{context.applicationId}"
 
 
@@ -30,8 +38,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate: file sizes for a scan, erring upwards for joins."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

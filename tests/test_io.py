@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terroir.plans import intermediate, staging
-from terroir.plans.warehouse import warehouse
+from terroir.plans.warehouse import Warehouse, warehouse
 from terroir.sinks import publish as K
 from terroir.sources import landing as L
 from terroir.streaming import incremental as S
@@ -126,3 +126,34 @@ def test_daily_counts_are_final_behind_the_watermark(spark, tmp_path):
     run()
     got = [(str(r.jour), r.etiquette_dpe, r.nb_dpe) for r in spark.read.parquet(out).collect()]
     assert got == [("2023-01-01", "C", 2)]
+
+
+def test_line_breaks_in_quotes_and_file_counts(spark, tmp_path):
+    gz(tmp_path / "dvf/2021/02.csv.gz", 'id_mutation,nom\n1,"a\nb"\n2,"c, ""d"""\n')
+    gz(tmp_path / "dvf/2021/59.csv.gz", "id_mutation,nom\n3,e\n")
+    df = L.read_dvf(spark, str(tmp_path))
+    assert {r.id_mutation: r.nom for r in df.collect()} == {"1": "a\nb", "2": 'c, "d"', "3": "e"}
+    assert L.files_read({"dvf_mutations": df}) == {"dvf_mutations": 2}
+
+
+def test_a_failed_refresh_leaves_the_old_table(spark, tmp_path):
+    out = str(tmp_path / "raw")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
+    assert L.land({"x": good}, out) == {"x": 2}
+    with pytest.raises(Exception, match="panne"):
+        L.land({"x": good.withColumn("id", F.expr("cast(raise_error('panne') as int)"))}, out)
+    assert spark.read.parquet(f"{out}/x").count() == 2
+    assert L.land({"x": good.limit(1)}, out) == {"x": 1}
+    assert spark.read.parquet(f"{out}/x").count() == 1
+
+
+def test_given_raw_tables_are_read_in_place(spark, tmp_path, sf):
+    w = warehouse(spark, sf)
+    mine = Warehouse(spark, w.raw, str(tmp_path / "built"), departements_csv=str(tmp_path / "dep.csv"))
+    (tmp_path / "dep.csv").write_text("code_departement,nom_departement,code_region,nom_region\n13,Bouches,93,PACA\n")
+    assert mine.table("dvf_mutations").inputFiles() == w.raw["dvf_mutations"].inputFiles()
+    assert [tuple(r) for r in mine.plan("departements").collect()] == [("13", "Bouches", "93", "PACA")]
+    mine.table("stg_dpe_logements")
+    assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "built").iterdir()] == ["stg_dpe_logements"]
+    mine.remove()
+    assert not (tmp_path / "built").exists()

@@ -4,13 +4,16 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle.compare import differences
+from oracle.statements import statements
+from terroir import catalog
 
-QUERIES = entry.queries()
-STATEMENTS = entry.oracle_sql()
+QUERIES = catalog.queries()
+STATEMENTS = statements()
 
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(STATEMENTS)
+    assert QUERIES.keys() <= entry.queries().keys() and STATEMENTS.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
