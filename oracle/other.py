@@ -110,7 +110,7 @@ def statements() -> dict[str, str]:
         )
         for t, c, p, f, s in _lines(_REL)
     ]
-    combi = _row("unique_combinaison", "fct_dpe_mensuel", _FLUX.replace(" ", ""), f"select count(*) - (select count(*) from (select distinct {_FLUX} from fct_dpe_mensuel)) from fct_dpe_mensuel")
+    combi = _row("unique_combinaison", "fct_dpe_mensuel", _FLUX.replace(" ", ""), f"select count(*) from (select {_FLUX} from fct_dpe_mensuel group by all having count(*) > 1)")
     pop = _row("not_null", "int_insee_commune", "population", "select count(*) from insee_commune where population is null and code_commune not like '976%'")
     hors = "select * from mart_prix where prix_m2_median < 200 or prix_m2_median > 30000"
     natures = """select nature_mutation, count(*) as nb_lignes,
@@ -156,6 +156,15 @@ def statements() -> dict[str, str]:
       select b.*, date '2026-06-30', null
       from ({b}) b left join ({a}) a on a.cle_logement = b.cle_logement
       where a.cle_logement is null or (a.numero_dpe, a.etiquette_dpe, a.surface_habitable) is distinct from (b.numero_dpe, b.etiquette_dpe, b.surface_habitable)"""
+    # The faults put into the tables of the queries named "faut...".
+    faults = {
+        "mart_dpe": "(select * replace (translate(etiquette_dpe, 'AG', 'ZH') as etiquette_dpe) from mart_dpe) x",
+        "fct_dpe_mensuel": "(select * from fct_dpe_mensuel union all select * from fct_dpe_mensuel where month(mois) = 1) x",
+        "insee_commune": "(select * replace (case when code_commune not like '%1' then population end as population) from insee_commune) x",
+        "mart_prix": "(select * replace (prix_m2_median * if(annee = 2024, 100.0, 1.0) as prix_m2_median) from mart_prix) x",
+        "stg_dvf": "(select * replace (if(code_commune like '59%', 'Don', nature_mutation) as nature_mutation) from stg_dvf) x",
+        "mart_logement": "(select * replace (part_proprietaires + if(code_commune like '62%', 1.5, 0.0) as part_proprietaires) from mart_logement) x",
+    }
     return {
         "v01_non_nuls": with_ctes(union(nn), *all_ctes),
         "v02_uniques": with_ctes(union(un), *all_ctes),
@@ -170,6 +179,12 @@ def statements() -> dict[str, str]:
         "v09_natures": with_ctes(natures, "stg_dvf"),
         "v09_natures_inconnues": with_ctes(inconnues, "stg_dvf"),
         "v10_parts_hors_bornes": with_ctes(parts, "mart_logement"),
+        "v03_valeurs_fautives": with_ctes(union(va).replace("from mart_dpe", f"from {faults['mart_dpe']}"), *all_ctes),
+        "v05_combinaison_fautive": with_ctes(combi.replace("from fct_dpe_mensuel", f"from {faults['fct_dpe_mensuel']}"), "fct_dpe_mensuel"),
+        "v06_population_fautive": with_ctes(pop.replace("from insee_commune", f"from {faults['insee_commune']}"), "insee_commune"),
+        "v08_prix_fautifs": with_ctes(hors.replace("from mart_prix", f"from {faults['mart_prix']}"), "mart_prix"),
+        "v09_natures_fautives": with_ctes(inconnues.replace("from stg_dvf", f"from {faults['stg_dvf']}"), "stg_dvf"),
+        "v10_parts_fautives": with_ctes(parts.replace("from mart_logement", f"from {faults['mart_logement']}"), "mart_logement"),
         "source_dvf_csv": with_ctes(
             """select * replace (nullif(valeur_fonciere, '') as valeur_fonciere), substr(date_mutation, 1, 4) as _annee_fichier,
                case when date_mutation >= '2024' then code_commune end as ancien_code_commune from dvf_raw""",

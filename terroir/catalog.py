@@ -21,6 +21,7 @@ from terroir.plans.measures import Modele
 from terroir.plans.warehouse import EXPORTS, MODELES, Warehouse, warehouse
 from terroir.sinks import publish as K
 from terroir.sources import landing as L
+from terroir.sources.adapters import Faulty
 from terroir.streaming import incremental as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,11 @@ def _tables(f: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf: f(warehouse(spark, sf))
 
 
+def _faulty(f: Callable[[Faulty], DataFrame]) -> Query:
+    """A check over tables with faults in them."""
+    return lambda spark, sf: f(Faulty(warehouse(spark, sf)))
+
+
 def _type_conforme(m: Modele) -> DataFrame:
     """Sales, flow and stock under one spelling of the dwelling type."""
     v = m.ventes.groupBy(X.type_conforme("type_logement").alias("type_logement")).agg(F.count(F.lit(1)).alias("nb_ventes"))
@@ -233,6 +239,12 @@ def queries() -> dict[str, Query]:
         "v09_natures": _tables(controls.natures),
         "v09_natures_inconnues": _tables(controls.natures_inconnues),
         "v10_parts_hors_bornes": _tables(controls.parts_hors_bornes),
+        "v03_valeurs_fautives": _faulty(controls.valeurs),
+        "v05_combinaison_fautive": _faulty(controls.combinaison),
+        "v06_population_fautive": _faulty(controls.population_renseignee),
+        "v08_prix_fautifs": _faulty(controls.prix_hors_bornes),
+        "v09_natures_fautives": _faulty(controls.natures_inconnues),
+        "v10_parts_fautives": _faulty(controls.parts_hors_bornes),
         "source_dvf_csv": _tables(_source("dvf_mutations")),
         "source_dpe_json": _tables(_source("dpe_logements")),
         "source_insee_parquet": _tables(_source("insee_comparateur")),

@@ -212,3 +212,40 @@ def write_files(raw: dict[str, DataFrame], root: str) -> None:
     )
     dpe.withColumn("version_dpe", F.lit(2.4)).write.option("compression", "gzip").json(f"{root}/dpe")
     raw["insee_comparateur"].drop("_loaded_at").write.parquet(f"{root}/insee/comparateur.parquet")
+
+
+def _doubled(df: DataFrame) -> DataFrame:
+    return df.unionByName(df.filter(F.month("mois") == 1))
+
+
+#: Faults put into built tables, so that checks have something to find.
+FAULTS = {
+    "mart_dpe_commune_etiquette": lambda df: df.withColumn("etiquette_dpe", F.translate("etiquette_dpe", "AG", "ZH")),
+    "fct_dpe_mensuel": _doubled,
+    "int_insee_commune": lambda df: df.withColumn(
+        "population", F.when(~F.col("code_commune").endswith("1"), F.col("population"))
+    ),
+    "mart_prix_commune_annee": lambda df: df.withColumn(
+        "prix_m2_median", F.when(F.col("annee") == 2024, F.col("prix_m2_median") * 100.0).otherwise(F.col("prix_m2_median"))
+    ),
+    "stg_dvf_mutations": lambda df: df.withColumn(
+        "nature_mutation", F.when(F.col("code_commune").startswith("59"), "Don").otherwise(F.col("nature_mutation"))
+    ),
+    "mart_logement_commune": lambda df: df.withColumn(
+        "part_proprietaires",
+        F.when(F.col("code_commune").startswith("62"), F.col("part_proprietaires") + 1.5).otherwise(F.col("part_proprietaires")),
+    ),
+}
+
+
+class Faulty:
+    """The tables of a warehouse with ``FAULTS`` in them."""
+
+    def __init__(self, inner):
+        self._inner = inner
+
+    def table(self, name: str) -> DataFrame:
+        return FAULTS.get(name, lambda df: df)(self._inner.table(name))
+
+    def plan(self, name: str) -> DataFrame:
+        return FAULTS.get(name, lambda df: df)(self._inner.plan(name))

@@ -25,3 +25,9 @@ def test_flagship(spark):
     df = entry.entry(spark)
     assert df.count() == 19
     assert len(df.columns) == 29
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if "fauti" in n])
+def test_faults_are_found(name, spark, sf):
+    rows = QUERIES[name](spark, sf).collect()
+    assert rows and (not hasattr(rows[0], "echecs") or any(r.echecs > 0 for r in rows))
