@@ -190,8 +190,8 @@ _cte(
 select cle_logement, numero_dpe, date_etablissement_dpe, code_commune, nom_commune, code_departement,
        type_batiment, periode_construction, annee_construction, surface_habitable, etiquette_dpe, etiquette_ges,
        conso_energie_primaire_m2, emission_ges_m2,
-       contains('FG', etiquette_dpe) as est_passoire_thermique,
-       contains('AB', etiquette_dpe) as est_logement_performant
+       etiquette_dpe in ('F', 'G') as est_passoire_thermique,
+       etiquette_dpe in ('A', 'B') as est_logement_performant
 from (
   select *, row_number() over (partition by cle_logement
                                order by date_etablissement_dpe desc nulls last, numero_dpe desc) as rang
@@ -261,7 +261,7 @@ select d as date, cast(year(d) as integer) as annee, cast(s as integer) as semes
        make_date(year(d), month(d), 1) as premier_jour_mois, cast(isodow(d) as integer) as jour_semaine,
        list_extract(['lundi', 'mardi', 'mercredi', 'jeudi', 'vendredi', 'samedi', 'dimanche'], isodow(d)) as nom_jour,
        isodow(d) in (6, 7) as est_weekend
-from (select cast(t.x as date) as d, case when month(t.x) < 7 then 1 else 2 end as s
+from (select cast(t.x as date) as d, case when month(t.x) <= 6 then 1 else 2 end as s
       from range(timestamp '2021-01-01', timestamp '2027-01-01', interval 1 day) t(x)) j
 """,
 )
@@ -323,7 +323,7 @@ _cte(
     f"""
 select mois, code_commune, type_logement, p as periode_construction,
        cast({_RANG_PERIODE.format(c='p')} as integer) as periode_construction_tri, etiquette_dpe,
-       contains('FG', etiquette_dpe) as est_passoire_thermique, count(*) as nb_dpe,
+       etiquette_dpe in ('F', 'G') as est_passoire_thermique, count(*) as nb_dpe,
        round(sum(surface_habitable), 1) as surface_totale_m2
 from (select cast(strftime(date_etablissement_dpe, '%Y-%m-01') as date) as mois, code_commune,
              type_batiment as type_logement, ifnull(periode_construction, 'inconnue') as p, etiquette_dpe,
@@ -354,7 +354,7 @@ select code_commune || '-' || cast(annee as varchar) || '-' || type_local as cle
        count(*) as nb_ventes, round(quantile_cont(prix_m2, 0.5), 0) as prix_m2_median,
        round(quantile_cont(prix_m2, 0.25), 0) as prix_m2_q1, round(quantile_cont(prix_m2, 0.75), 0) as prix_m2_q3,
        round(quantile_cont(valeur_fonciere, 0.5), 0) as prix_median,
-       round(quantile_cont(surface_reelle_bati, 0.5), 1) as surface_mediane, count(*) > 4 as est_fiable
+       round(quantile_cont(surface_reelle_bati, 0.5), 1) as surface_mediane, count(*) >= 5 as est_fiable
 from ventes where est_prix_plausible group by code_commune, annee, type_local
 """,
     "ventes",

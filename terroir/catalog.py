@@ -155,20 +155,20 @@ def _ingestion(w: Warehouse) -> DataFrame:
 
 def _dedoublonnage(w: Warehouse) -> DataFrame:
     stream, out, checkpoint = _stream(w)
-    S.append_once(S.without_duplicates(stream), out, checkpoint)
-    return w.spark.read.parquet(out).drop("_loaded_at")
+    S.append_unseen(stream, out, checkpoint)
+    return S.lots(w.spark, f"{out}/nouveaux").drop("_loaded_at")
 
 
 def _flux_mensuel(w: Warehouse) -> DataFrame:
     stream, out, checkpoint = _stream(w)
-    S.write_lots(S.without_duplicates(stream), S.monthly_partial(w.params), out, checkpoint)
-    return S.monthly_counts(w.spark, out)
+    S.append_unseen(stream, out, checkpoint, {"mois": S.monthly_partial(w.params)})
+    return S.monthly_counts(w.spark, f"{out}/mois")
 
 
 def _dernier_courant(w: Warehouse) -> DataFrame:
     stream, out, checkpoint = _stream(w)
-    S.write_lots(S.without_duplicates(stream), S.latest_partial, out, checkpoint)
-    return S.latest_rows(w.spark, out)
+    S.merge_latest(stream, out, checkpoint)
+    return S.current_rows(w.spark, out)
 
 
 SUIVIES = ("numero_dpe", "etiquette_dpe", "surface_habitable")

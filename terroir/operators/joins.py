@@ -1,6 +1,6 @@
 """Joins on aggregated rows, semi/anti joins and the star lookup.
 
-No join here carries a broadcast hint except the fixed department seed: Catalyst and AQE broadcast a
+No join here carries a broadcast hint: Catalyst and AQE broadcast a
 side only when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
 sort-merge with skew splitting.
 """

@@ -65,6 +65,7 @@ INDICATEURS_INSEE = (
 )
 INDICATEUR_NIVEAU_VIE = "MED_SL"
 
+# Fixed values -- names of months and days, size classes of communes.
 MOIS = (
     "janvier", "février", "mars", "avril", "mai", "juin",
     "juillet", "août", "septembre", "octobre", "novembre", "décembre",

@@ -67,7 +67,9 @@ def dim_commune(
         historiques.withColumn("est_commune_historique", F.lit(True))
     )
     coordonnees = percentiles(
-        stg_dvf.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()),
+        keep_members(
+            stg_dvf.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()), communes, "code_commune"
+        ),
         ["code_commune"],
         [Pct("latitude", "latitude", width=L_COORD), Pct("longitude", "longitude", width=L_COORD)],
     ).select("code_commune", X.rnd("latitude", 5).alias("latitude"), X.rnd("longitude", 5).alias("longitude"))
@@ -77,7 +79,7 @@ def dim_commune(
         "nb_residences_secondaires", "nb_proprietaires",
     )
     return (
-        communes.join(F.broadcast(departements.select("code_departement", "nom_departement", "nom_region")), "code_departement", "left")
+        communes.join(departements.select("code_departement", "nom_departement", "nom_region"), "code_departement", "left")
         .join(coordonnees, "code_commune", "left")
         .join(attributs, "code_commune", "left")
         .select(

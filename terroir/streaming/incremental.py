@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.operators.latest import last_per_key
+from terroir.operators.latest import first_per_key, last_per_key
 from terroir.params import Params
 from terroir.plans import intermediate, marts, staging
 from terroir.sources.landing import CHAMPS_DPE, text_schema
@@ -64,6 +64,82 @@ def write_lots(stream: DataFrame, partial: Callable[[DataFrame], DataFrame], out
     )
 
 
+def _lots_before(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
+    """What earlier batches wrote; a replayed batch doesn't see its own first attempt."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/lot=*")
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    if not any(int(f.getPath().getName().split("=")[1]) < batch_id for f in listed):
+        return None
+    return spark.read.parquet(out).filter(F.col("lot") < batch_id)
+
+
+def append_unseen(
+    stream: DataFrame, out: str, checkpoint: str, partials: dict[str, Callable[[DataFrame], DataFrame]] | None = None
+) -> None:
+    """Append diagnostics whose number no earlier batch had, however long ago; then stop.
+
+    Rows go to ``out/nouveaux/lot=<batch>``; each of ``partials`` gets a batch's new rows and writes its result to
+    ``out/<name>/lot=<batch>``. The landed numbers are the state: a batch joins its rows with that one column.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{out}/nouveaux"
+        new = first_per_key(staging.dpe_types(batch), ["numero_dpe"], ["_loaded_at"])
+        seen = _lots_before(spark, folder, batch_id)
+        if seen is not None:
+            new = new.join(seen.select("numero_dpe"), "numero_dpe", "left_anti")
+        new.write.mode("overwrite").parquet(f"{folder}/lot={batch_id}")
+        landed = spark.read.parquet(f"{folder}/lot={batch_id}")
+        for name, partial in (partials or {}).items():
+            partial(landed).write.mode("overwrite").parquet(f"{out}/{name}/lot={batch_id}")
+
+    (
+        stream.writeStream.foreachBatch(write)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def merge_latest(stream: DataFrame, out: str, checkpoint: str) -> None:
+    """Keep one current row per dwelling: each batch is merged with the state before it into a new state; then stop.
+
+    States are folders ``lot=<batch>``; the greatest is current, and those before the previous one are removed.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        current = intermediate.dpe_dernier(staging.dpe_types(batch))
+        seen = _lots_before(spark, out, batch_id)
+        if seen is not None:
+            last = seen.agg(F.max("lot")).first()[0]
+            before = spark.read.parquet(f"{out}/lot={last}")
+            current = last_per_key(current.unionByName(before), ["cle_logement"], ["date_etablissement_dpe", "numero_dpe"])
+        current.write.mode("overwrite").parquet(f"{out}/lot={batch_id}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/lot=*")
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in system.globStatus(path):
+            if int(f.getPath().getName().split("=")[1]) < batch_id - 1:
+                system.delete(f.getPath(), True)
+
+    (
+        stream.writeStream.foreachBatch(write)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def current_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The current state of :func:`merge_latest`."""
+    states = spark.read.parquet(out)
+    return spark.read.parquet(f"{out}/lot={states.agg(F.max('lot')).first()[0]}")
+
+
 def lots(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("lot")
 

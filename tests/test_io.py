@@ -157,3 +157,28 @@ def test_given_raw_tables_are_read_in_place(spark, tmp_path, sf):
     assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "built").iterdir()] == ["stg_dpe_logements"]
     mine.remove()
     assert not (tmp_path / "built").exists()
+
+
+def test_a_copy_days_later_counts_once(spark, tmp_path, sf):
+    w = warehouse(spark, sf)
+    drop, out, ck, state = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "ck"), str(tmp_path / "state")
+
+    def run(day):
+        stream = S.landing_stream(spark, str(drop), files_per_batch=1).withColumn("_loaded_at", F.lit(day).cast("timestamp"))
+        S.append_unseen(stream, out, ck, {"mois": S.monthly_partial(w.params)})
+        S.merge_latest(S.landing_stream(spark, str(drop), files_per_batch=1), state, f"{ck}-2")
+
+    lines(drop / "1.json", [diag(1, "2023-01-05"), diag(2, "2023-01-20", "F"), diag(1, "2023-01-05")])
+    run("2024-01-01")
+    lines(drop / "2.json", [diag(2, "2023-01-20", "F"), diag(3, "2023-02-01", "G")])
+    run("2024-03-01")
+    lines(drop / "3.json", [diag(1, "2023-01-05"), diag(4, "2021-12-01", "A", "BAN2"), diag(5, "2020-01-01", "B")])
+    run("2025-01-01")
+    run("2025-01-02")  # nothing new
+    assert sorted(r.numero_dpe for r in S.lots(spark, f"{out}/nouveaux").collect()) == [f"DPE{i}" for i in range(1, 6)]
+    counts = S.monthly_counts(spark, f"{out}/mois").filter("mois >= '2022-01-01'").collect()
+    assert sorted((str(r.mois), r.nb_dpe) for r in counts) == [("2023-01-01", 1), ("2023-01-01", 1), ("2023-02-01", 1)]
+    raw = spark.read.schema(L.text_schema(L.CHAMPS_DPE)).json(str(drop)).withColumn("_loaded_at", F.current_timestamp())
+    batch = intermediate.dpe_dernier(staging.stg_dpe(raw))
+    assert sorted(map(str, S.current_rows(spark, state).collect())) == sorted(map(str, batch.collect()))
+    assert len(list((tmp_path / "state").glob("lot=*"))) <= 2
