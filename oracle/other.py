@@ -197,7 +197,10 @@ def statements() -> dict[str, str]:
                    (("dvf_mutations", "dvf_raw"), ("dpe_logements", "dpe_raw"), ("insee_comparateur", "insee_raw"))]),
             "dvf_raw", "dpe_raw", "insee_raw",
         ),
+        "chargement_brut_dpe": with_ctes("select * exclude (replica) from dpe_raw", "dpe_raw"),
         "publication": with_ctes(counts, *all_ctes),
+        "publication_mart_prix": with_ctes("select * from mart_prix", "mart_prix"),
+        "publication_fct_ventes": with_ctes("select * from fct_ventes", "fct_ventes"),
         "st1_ingestion": with_ctes("select * exclude (replica) from dpe_raw", "dpe_raw"),
         "st2_dedoublonnage": with_ctes("select * from stg_dpe", "stg_dpe"),
         "st3_flux_mensuel": with_ctes("select * from fct_dpe_mensuel", "fct_dpe_mensuel"),

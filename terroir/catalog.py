@@ -140,6 +140,30 @@ def _publication(w: Warehouse) -> DataFrame:
     return _counts(w.spark, {t: K.read_published(w.spark, root, t).count() for t in EXPORTS})
 
 
+def _published(name: str) -> Callable[[Warehouse], DataFrame]:
+    """The rows of a table as readers see them after a second publication."""
+
+    def run(w: Warehouse) -> DataFrame:
+        root = w.scratch("publication")
+        K.publish({name: w.table(name).limit(0)}, root)
+        K.publish({name: w.table(name)}, root)
+        return K.read_published(w.spark, root, name)
+
+    return run
+
+
+def _landed(name: str) -> Callable[[Warehouse], DataFrame]:
+    """The rows of a raw table as written by a second full refresh."""
+
+    def run(w: Warehouse) -> DataFrame:
+        out, raw = w.scratch("raw"), L.read_raw(w.spark, w.files())
+        L.land({name: raw[name].limit(0)}, out)
+        L.land({name: raw[name]}, out)
+        return w.spark.read.parquet(f"{out}/{name}").drop("filename", "_loaded_at")
+
+    return run
+
+
 def _stream(w: Warehouse) -> tuple[DataFrame, str, str]:
     base = w.scratch("flux")
     return S.landing_stream(w.spark, f"{w.files()}/{L.MOTIF_DPE}"), f"{base}/out", f"{base}/checkpoint"
@@ -249,7 +273,10 @@ def queries() -> dict[str, Query]:
         "source_dpe_json": _tables(_source("dpe_logements")),
         "source_insee_parquet": _tables(_source("insee_comparateur")),
         "chargement_brut": _tables(_chargement),
+        "chargement_brut_dpe": _tables(_landed("dpe_logements")),
         "publication": _tables(_publication),
+        "publication_mart_prix": _tables(_published("mart_prix_commune_annee")),
+        "publication_fct_ventes": _tables(_published("fct_ventes")),
         "st1_ingestion": _tables(_ingestion),
         "st2_dedoublonnage": _tables(_dedoublonnage),
         "st3_flux_mensuel": _tables(_flux_mensuel),
