@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from terroir import catalog
 from terroir.plans.measures import Modele, ventes
 from terroir.params import Contexte
 from terroir.plans.warehouse import warehouse
@@ -16,9 +16,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - SKIP))
 def test_no_nested_loop_and_no_python(name, spark, sf):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(catalog.queries()[name](spark, sf))
     for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert node not in text
 
