@@ -107,5 +107,34 @@ FROM found JOIN sizes ON id = item_id WHERE n_found * 5 >= n * 4
 """
 
 
+#: Every string of 400 bytes is digested; those that occur again are covered, and what is left is joined.
+REPEATS_SQL = """
+WITH texts AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS bytes, hex(bytes) AS h FROM documents
+), strings AS (
+  SELECT doc_id, i, md5(array_slice(bytes, i + 1, i + 400)) AS m
+  FROM (SELECT doc_id, bytes, unnest(range(0, greatest(length(h) // 2 - 399, 0))) AS i FROM texts)
+), repeated AS (
+  SELECT m FROM strings GROUP BY m HAVING count(*) > 1
+), marked AS (
+  SELECT doc_id, i, i > lag(i, 1, -401) OVER (PARTITION BY doc_id ORDER BY i) + 400 AS opens
+  FROM strings SEMI JOIN repeated USING (m)
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT doc_id, i, sum(opens::int) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked)
+  GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS after FROM runs
+), cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS head
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::bigint AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION_SQL}
+    return {"op4_suffix_repeats": REPEATS_SQL, "op5_decontamination": DECONTAMINATION_SQL}

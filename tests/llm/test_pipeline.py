@@ -1,4 +1,5 @@
-import os
+import duckdb
+import pytest
 
 import corpus_pipeline
 from terroir.llm import queries
@@ -26,11 +27,12 @@ def test_every_operator_is_registered():
     assert "pipeline" in names and queries.oracle_sql().keys() <= names.keys()
 
 
-def test_decontamination_equals_its_statement(spark, sf):
-    import duckdb
-
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_equal_their_statements(spark, sf, name):
     db = duckdb.connect()
     for table in ("documents", "benchmark"):
-        db.execute(f"create view {table} as select * from '{os.path.join(sf, table)}.parquet'")
-    expected = sorted(db.execute(queries.DECONTAMINATION_SQL).fetchall())
-    assert sorted(map(tuple, queries.op5_decontamination(spark, sf).collect())) == expected
+        db.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
+    result = db.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    expected = sorted(result.fetchall())
+    assert expected and sorted(map(tuple, queries.queries()[name](spark, sf).select(*names).collect())) == expected

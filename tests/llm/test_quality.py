@@ -123,7 +123,7 @@ def test_no_labels_and_no_documents(spark, documents):
 def test_null_language_has_its_own_limit(spark, documents):
     docs = documents([prose(30) for _ in range(150)]).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, None).otherwise("en"))
     rows = q.classify(docs, spark.createDataFrame([(i, 1, 0) for i in range(30)], LABELS)).collect()
-    assert len(rows) == 30 and len({r["threshold"] for r in rows}) == 2
+    assert len(rows) == 150 and len({r["threshold"] for r in rows}) == 2
 
 
 def test_held_out_accuracy(spark):
