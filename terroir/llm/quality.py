@@ -11,8 +11,8 @@ How texts meet the model without either being sent whole:
 1. Documents are dealt to buckets by a hash of their id, packed and compressed, together with the trusted ids of the
    bucket. Each bucket's task counts the grams of its training documents and lists the distinct grams of all of them.
 2. Counts are summed per gram; the wanted grams, distinct over all buckets, are joined with the tables of counts and
-   of contexts, order by order, which gives each its probability. Tables keyed by at most two bytes (65,536 rows) are
-   broadcast, the others are joined by shuffle.
+   of contexts, order by order, which gives each its probability. Probabilities of two bytes and contexts of two bytes
+   are at most 65,536 rows and broadcast; the other tables are joined by shuffle.
 3. The probabilities of the grams that a bucket listed go to the bucket, documents are dealt again, and each document's
    log probabilities are summed over its whole text.
 
@@ -48,6 +48,8 @@ QUANTILE, SLACK = 0.99, 1.0
 CALIBRATING = 5
 #: Standard errors by which a text's mean log probability must miss the limit: few bytes prove little.
 ERRORS = 1.0
+#: Bytes of text in a bucket, about. A task streams them; what it holds is the bucket's distinct grams.
+BUCKET_BYTES = 16 << 20
 #: Bytes of text in a pack before it is compressed.
 PACK_BYTES = 8 << 20
 #: Grams gathered in a task before they are made distinct again.
@@ -203,10 +205,8 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return record_batches(rows(), SCORES, 5_000)
 
 
-def _discounts(table: DataFrame) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts for counts 1, 2 and from 3, from the counts of counts of ``table`` (n)."""
-    row = table.agg(*(F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4))).first()
-    n1, n2, n3, n4 = row
+def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """Modified Kneser-Ney discounts for counts 1, 2 and from 3, from the counts of counts of an order."""
     if not n1 or not n2:
         return 0.5, 0.5, 0.5
     y = n1 / (n1 + 2 * n2)
@@ -214,15 +214,19 @@ def _discounts(table: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), float(k)) for k, d in enumerate(found, 1))
 
 
-def _level(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of the grams of one order (gram, n): contexts with total and weight left for shorter grams; discounted grams."""
-    d1, d2, d3 = _discounts(table)
-    n = F.col("n")
-    discount = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
-    contexts = table.groupBy(F.shiftright("gram", 8).alias("context")).agg(
-        F.sum("n").alias("total"), (F.sum(discount) / F.sum("n")).alias("left")
-    )
-    return contexts, table.select("gram", F.greatest(n - discount, F.lit(0.0)).alias("mass"))
+def _short(pairs: np.ndarray) -> np.ndarray:
+    """Probabilities of all two-byte grams, interpolated down to the uniform one, from their 65,536 counts."""
+    value = np.full(1, 1 / 256)
+    for n in (np.count_nonzero(pairs.reshape(256, 256), axis=0), pairs):
+        discounts = np.array([0.0, *_discounts(*(int((n == k).sum()) for k in (1, 2, 3, 4)))])
+        discount = discounts[np.minimum(n, 3)].reshape(-1, 256)
+        n = n.reshape(-1, 256)  # a row for each context
+        total = n.sum(axis=1, keepdims=True)
+        seen = np.maximum(total, 1)
+        left = np.where(total > 0, discount.sum(axis=1, keepdims=True) / seen, 1.0)
+        # Shorter grams follow by the last byte.
+        value = (np.maximum(n - discount, 0) / seen + left * value.reshape(1, -1)).ravel()
+    return value
 
 
 def probabilities(wanted: DataFrame, counts: DataFrame) -> DataFrame:
@@ -231,32 +235,43 @@ def probabilities(wanted: DataFrame, counts: DataFrame) -> DataFrame:
     ``counts`` (gram, n) are the counts of grams of ``ORDER`` bytes in the training text.
     """
     tables = {ORDER: counts}
-    for order in range(ORDER - 1, 0, -1):
+    for order in range(ORDER - 1, 1, -1):
         # Distinct grams that end in this one: one for each byte seen to its left.
         ends = F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")
         shorter = tables[order + 1].groupBy(ends).agg(F.count("*").alias("n"))
         tables[order] = written(shorter, "quality-grams")
-    found = wanted.select("gram").distinct()
-    value = F.lit(1 / 256)
-    for order in range(1, ORDER + 1):
-        contexts, masses = _level(tables[order])
-        if 8 * order <= 16:
-            masses = F.broadcast(masses)  # at most 65,536 rows
-        if 8 * (order - 1) <= 16:
-            contexts = F.broadcast(contexts)
+    # At most 65,536 rows, whatever the input.
+    pairs = np.zeros(1 << 16, np.int64)
+    for row in tables[2].toLocalIterator():
+        pairs[row["gram"]] = row["n"]
+    short = pa.table({"end": np.arange(1 << 16), "value": _short(pairs)})
+    session = wanted.sparkSession
+    end = F.col("gram").bitwiseAND((1 << 16) - 1)
+    found = wanted.select("gram").distinct().withColumn("end", end).join(F.broadcast(session.createDataFrame(short)), "end").drop("end")
+    for order in range(3, ORDER + 1):
+        n = F.col("n")
+        seen = tables[order].agg(*(F.count_if(n == k) for k in (1, 2, 3, 4))).first()
+        d1, d2, d3 = _discounts(*seen)
+        discount = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
+        contexts = tables[order].groupBy(F.shiftright("gram", 8).alias("before")).agg(
+            F.sum("n").alias("total"), (F.sum(discount) / F.sum("n")).alias("left")
+        )
+        if order == 3:
+            contexts = F.broadcast(contexts)  # contexts of two bytes: at most 65,536 rows
+        masses = tables[order].select(F.col("gram").alias("end"), F.greatest(n - discount, F.lit(0.0)).alias("mass"))
         found = found.withColumn("end", F.col("gram").bitwiseAND((1 << 8 * order) - 1))
-        found = found.withColumn("before", F.shiftright("end", 8))
-        found = found.join(masses.withColumnRenamed("gram", "end"), "end", "left")
-        found = found.join(contexts.withColumnRenamed("context", "before"), "before", "left")
+        found = found.join(masses, "end", "left").withColumn("before", F.shiftright("end", 8)).join(contexts, "before", "left")
         part = F.coalesce(F.col("mass") / F.col("total"), F.lit(0.0))
-        value = part + F.coalesce("left", F.lit(1.0)) * value
-        found = found.withColumn(f"p{order}", value).drop("end", "before", "mass", "total", "left")
-        value = F.col(f"p{order}")
-    return found.select("gram", F.log(value).alias("value"))
+        found = found.select("gram", (part + F.coalesce("left", F.lit(1.0)) * F.col("value")).alias("value"))
+    return found.select("gram", F.log("value").alias("value"))
 
 
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+def _bucket(buckets: int, otherwise: str | None = None) -> Column:
+    """Bucket of a row by ``doc_id``; by column ``otherwise`` where it has none, as no trusted id is there to meet."""
+    key = F.xxhash64("doc_id")
+    if otherwise:
+        key = F.when(F.col("doc_id").isNull(), F.xxhash64(otherwise)).otherwise(key)
+    return F.pmod(key, F.lit(buckets)).cast("int")
 
 
 def _dealt_ids(ids: DataFrame, buckets: int, name: str) -> DataFrame:
@@ -287,10 +302,11 @@ def score_documents(docs: DataFrame, training: DataFrame, marked: DataFrame) ->
     ``docs`` has doc_id, lang and text. ``training`` and ``marked`` (doc_id, distinct) name the documents to train on and
     those to mark in the result.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text"), F.lit(""))
+    size = only(docs, text="string").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + size // BUCKET_BYTES
     rows = only(docs, doc_id="long", lang="string", text="string").select(
-        _bucket(buckets).alias("bucket"), "doc_id", "lang", F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text")
+        _bucket(buckets, "text").alias("bucket"), "doc_id", "lang", F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text")
     )
     packs = rows.mapInArrow(_pack, DEALT_SQL)
 
