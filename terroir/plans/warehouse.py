@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from terroir.params import Params
 from terroir.plans import intermediate, marts, staging
 from terroir.sources import adapters, seeds
-from terroir.storage import shared_dir
+from terroir.storage import remove, shared_dir
 
 # The calendar of the registered queries ends in a fixed year, so that results are comparable.
 AS_OF = dt.date(2026, 6, 30)
@@ -97,9 +97,7 @@ class Warehouse:
 
     def remove(self) -> None:
         """Delete the tables of this build; raw tables stay."""
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.root)
         self._written, self._files = {}, None
 
     def _departements(self) -> DataFrame:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_SCRATCH: list[str] = []
 
 
 def _local(application: str) -> str:
@@ -29,8 +32,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the application's shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path in the current scratch folder, or the application's shared folder, that nothing else uses."""
+    return f"{_SCRATCH[-1] if _SCRATCH else shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in the file system of its path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go to a folder of their own, which is deleted at the end: write results before that."""
+    folder = new_path(spark, "scratch")
+    _SCRATCH.append(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(folder)
+        remove(spark, folder)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
