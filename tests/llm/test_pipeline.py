@@ -1,8 +1,11 @@
+import os
+
 import duckdb
 import pytest
 
 import corpus_pipeline
 from terroir.llm import queries
+from terroir.storage import shared_dir, written
 
 STAGES = ["quality", "near_duplicates", "repeats", "benchmark", "tokens"]
 
@@ -13,12 +16,16 @@ def test_stages_keep_the_columns_of_documents(spark, sf):
     assert [name for name, _ in corpus_pipeline.STAGES] == STAGES
     for name, stage in corpus_pipeline.STAGES[:-1]:
         columns = docs.dtypes
-        docs = corpus_pipeline.written(stage(spark, docs, sf), f"test-{name}")
+        docs = written(stage(spark, docs, sf), f"test-{name}")
         assert docs.dtypes == columns
         counts.append(docs.count())
     assert counts[1] < counts[0] and counts[2] < counts[1] and counts[3] == counts[2]
     final = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
-    assert final.count() == counts[4]
+    whole = corpus_pipeline.run(spark, sf)
+    rows = [sorted(map(str, x.select("doc_id", "n_tokens", "ids_sha256").collect())) for x in (final, whole)]
+    assert len(rows[0]) == counts[4] and rows[0] == rows[1]
+    left = [x for x in os.listdir(shared_dir(spark)) if x.startswith(("scratch", "stage"))]
+    assert len(left) == 1 and left[0].startswith("stage-tokens")
 
 
 def test_every_operator_is_registered():
