@@ -101,6 +101,11 @@ class Bpe:
         """Ids of each text."""
         return [np.frombuffer(x, "<u4") for x in self._encodings.of_many(texts)]
 
+    def forget(self) -> None:
+        """Give the dictionaries' memory back; later stages run in the same worker."""
+        self._words = {}
+        self._encodings.forget()
+
     def _pieces(self, texts: list[str]) -> list[bytes]:
         split = [self._split(text) for text in texts]
         words = set().union(*split)
@@ -189,7 +194,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep_ids: bool =
                             hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
                         )
 
-        return record_batches(rows(), RESULT, 500)
+        yield from record_batches(rows(), RESULT, 500)
+        bpe.forget()
 
     schema = "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return only(docs, doc_id="long", text="string").mapInArrow(run, schema)

@@ -10,8 +10,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-#: Entries after which a dictionary keeps only those in use: some 150 MB with their encodings.
-KEPT = 700_000
+#: Entries after which a dictionary keeps only those in use: some 100 MB with their encodings.
+KEPT = 500_000
 
 #: A letter and one of these are never in one token.
 MARKS = frozenset(",.;:!?")
@@ -73,6 +73,9 @@ class Encodings:
         get = self._known.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
+    def forget(self) -> None:
+        self._known = {}
+
     def _learn(self, new: list[str]) -> None:
         mark = len(self.FIRST)
         for i in range(0, len(new), 20_000):

@@ -53,7 +53,7 @@ BUCKET_BYTES = 16 << 20
 #: Bytes of text in a pack before it is compressed.
 PACK_BYTES = 8 << 20
 #: Grams gathered in a task before they are made distinct again.
-GATHERED = 4_000_000
+GATHERED = 1_500_000
 
 PACK = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text_hash", pa.int64()), ("text", pa.binary())])
 DEALT_SQL = "bucket int, kind int, gram long, value double, ids array<long>, pack binary"

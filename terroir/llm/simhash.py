@@ -35,7 +35,9 @@ from terroir.storage import written
 KEY_BITS = 16
 SEED = 42
 #: Variants listed at once in a task, 8 bytes each.
-BATCH = 1 << 21
+BATCH = 1 << 20
+#: Fingerprints whose low parts are listed at once: 137 of 20 bytes each.
+EMITTED = 20_000
 SLAB = 1 << 16
 
 
@@ -95,8 +97,8 @@ def _emit(half: int):
         """Fingerprints by low part of their variants, packed per batch of input."""
         for batch in batches:
             all_fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(all_fps), 50_000):
-                fps = all_fps[i : i + 50_000]
+            for i in range(0, len(all_fps), EMITTED):
+                fps = all_fps[i : i + EMITTED]
                 keys = (fps[:, None] & low ^ flips[None, :]).astype(np.int32).ravel()
                 order = np.argsort(keys, kind="stable")
                 keys = keys[order]
