@@ -24,8 +24,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that occur again."""
-    return repeats.without_repeats(docs, length=400)
+    """Texts without passages of over 50 words, or strings of 400 bytes, that occur again."""
+    return repeats.without_repeats(docs, length=400, words=51)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

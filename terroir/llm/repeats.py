@@ -17,6 +17,12 @@ Contexts of one hash are compared in three steps:
 * A hash with more than ``GROUP`` distinct contexts is never collected: there the roots of the interval trees (strings of
   exactly ``length`` bytes) are counted by digest, pre-aggregated.
 
+:func:`without_repeats` can also remove repeats of a number of words, whatever their bytes. There a text is the row of its
+words' 8-byte digests (what stands between words doesn't count; a character of a script without spaces is a word), and
+the same search runs over these bytes with ``8 * words`` as the length: found spans are rounded to whole words. A string
+of ``length`` bytes that has that many whole words inside is then left to the search by words; the search by bytes looks
+only where a string has fewer.
+
 The spans of maximal repeats are what is removed. Texts meet their spans by ``doc_id`` and a 64-bit hash of the text, so
 that rows which share an id keep apart.
 
@@ -27,6 +33,7 @@ equal texts; null and repeated ``doc_id`` pass through; other columns are not re
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +52,11 @@ HASHED = 32
 GROUP = 32768
 SLAB = 1 << 19
 _LOCAL = np.uint64((1 << 20) - 1)
+#: Bytes of a word's digest.
+DIGEST = 8
+#: Thai, Lao, Burmese, Khmer, kana and Han: no spaces between words.
+_DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(f"[{_DENSE}]|[^\\W{_DENSE}]+")
 
 
 def _rolled(data: np.ndarray) -> np.ndarray:
@@ -172,14 +184,52 @@ def _signed(digest: int) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def _anchor_rows(length: int):
+def _digests(text: str) -> bytes:
+    """The digests of the words of ``text``, one after the other."""
+    return b"".join(map(xxhash.xxh3_64_digest, _WORD.findall(text)))
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word, and the byte after its last."""
+    places = np.fromiter((x for m in _WORD.finditer(text) for x in m.span()), np.int64)
+    if not text.isascii():
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        sizes = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+        places = np.r_[0, np.cumsum(sizes)][places]
+    return places[::2], places[1::2]
+
+
+def sparse_starts(text: str, length: int, words: int) -> np.ndarray:
+    """Whether fewer than ``words`` words are inside of the string of ``length`` bytes from each byte.
+
+    Inside is four bytes (a character) from its ends, so that equal strings have the same words inside.
+    """
+    starts, ends = word_places(text)
+    size = len(text.encode())
+    begun, done = (np.cumsum(np.bincount(x, minlength=size + 1), dtype=np.int32) for x in (starts, ends))
+    n = max(0, size - length + 1)
+    return done[length - 4 : length - 4 + n] - begun[3 : 3 + n] < words
+
+
+def _data(text: pa.StringScalar, digests: bool) -> bytes:
+    return _digests(text.as_py()) if digests else text.as_buffer().to_pybytes()
+
+
+def _anchor_rows(length: int, words: int | None, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             digest = xxhash.xxh3_64_intdigest
             for batch in batches:
                 for doc, text_hash, text in zip(*batch.columns, strict=True):
-                    data, key = text.as_buffer().to_pybytes(), (doc.as_py(), text_hash.as_py())
+                    data, key = _data(text, digests), (doc.as_py(), text_hash.as_py())
+                    sparse = None
+                    if words and len(data) >= length:
+                        sparse = np.r_[0, np.cumsum(sparse_starts(text.as_py(), length, words))]
+                        if not sparse[-1]:
+                            continue
                     for h, at, first, last in anchors(data, length):
+                        if sparse is not None and sparse[first] == sparse[last + 1]:
+                            continue
                         context = _signed(digest(data[first : last + length]))
                         yield h, context, *key, first << 32 | at - first << 16 | last - first
 
@@ -188,14 +238,14 @@ def _anchor_rows(length: int):
     return run
 
 
-def _context_rows(length: int):
+def _context_rows(length: int, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The wanted contexts of each text."""
 
         def rows():
             for batch in batches:
                 for doc, text_hash, text, wanted in zip(*batch.columns, strict=True):
-                    data, key = text.as_buffer().to_pybytes(), (doc.as_py(), text_hash.as_py())
+                    data, key = _data(text, digests), (doc.as_py(), text_hash.as_py())
                     for w in wanted.as_py():
                         first, _, last = unpacked(w["place"])
                         yield w["hash"], w["single"], *key, w["place"], data[first : first + last + length]
@@ -294,14 +344,18 @@ def _root_rows(length: int):
 
 
 class Repeats:
-    """The repeats of ``length`` bytes or more in a table of documents (doc_id, text)."""
+    """The repeats of ``length`` bytes or more in a table of documents (doc_id, text).
+
+    With ``digests``, of that many bytes in the row of their words' digests. With ``words``, only contexts with a string
+    that has fewer words inside.
+    """
 
-    def __init__(self, docs: DataFrame, length: int = LENGTH, group: int = GROUP):
+    def __init__(self, docs: DataFrame, length: int = LENGTH, group: int = GROUP, words: int | None = None, digests: bool = False):
         if not HASHED < length < 1 << 16:
             raise ValueError(f"length must be above {HASHED} and below {1 << 16}")
-        self.length, self.group = length, group
+        self.length, self.group, self.digests = length, group, digests
         self.docs = _hashed(docs)
-        anchored = written(self.docs.mapInArrow(_anchor_rows(length), ANCHORS_SQL), "repeat-anchors")
+        anchored = written(self.docs.mapInArrow(_anchor_rows(length, words, digests), ANCHORS_SQL), "repeat-anchors")
         # Written, so that the join has shuffles of its own on both sides and splits a hot hash.
         often = written(anchored.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeat-often")
         self.repeated = written(anchored.join(often, "hash"), "repeat-again")
@@ -319,7 +373,7 @@ class Repeats:
         wanted = wanted.groupBy("doc_id", "text_hash").agg(what)
         same = [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("doc_id", "text_hash")]
         texts = self.docs.alias("d").join(wanted.alias("w"), same).select("d.*", "w.wanted")
-        return texts.mapInArrow(_context_rows(self.length), CONTEXTS_SQL)
+        return texts.mapInArrow(_context_rows(self.length, self.digests), CONTEXTS_SQL)
 
     def _by_hash(self) -> DataFrame:
         ordinary = self.contexts(f"kinds <= {self.group}")
@@ -387,10 +441,18 @@ def removal_report(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     return _spanned(found.docs, found.spans(), "doc_id", "text").mapInArrow(_report, RESULT_SQL)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
+def _word_runs(text: str, spans: list[dict]) -> list[dict]:
+    """The bytes of the whole words that ``spans`` over digests cover."""
+    starts, ends = word_places(text)
+    runs = [(-(-a // DIGEST), b // DIGEST) for a, b in merged([(s["a"], s["b"]) for s in spans])]
+    return [{"a": int(starts[a]), "b": int(ends[b - 1])} for a, b in runs if a < b]
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, words: int | None = None) -> DataFrame:
     """``docs`` with all columns, its ``text`` without repeats and ``n_chars``, if there, counted anew.
 
-    A character of which a byte is removed goes as a whole.
+    Repeats have ``length`` bytes or more; or, if given, ``words`` words or more. A character of which a byte is removed
+    goes as a whole.
     """
     schema = StructType(docs.schema.fields)
     names = docs.columns
@@ -402,7 +464,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -
             texts = []
             for text, found in zip(columns["text"], spans, strict=True):
                 if found.is_valid and text.is_valid:
-                    texts.append(_kept(text.as_buffer().to_pybytes(), found.as_py())[0].decode(errors="ignore"))
+                    every = found.as_py()
+                    plain = [s for s in every if not s["digests"]]
+                    plain += _word_runs(text.as_py(), [s for s in every if s["digests"]])
+                    texts.append(_kept(text.as_buffer().to_pybytes(), plain)[0].decode(errors="ignore"))
                 else:
                     texts.append(text.as_py())
             columns["text"] = pa.array(texts, columns["text"].type)
@@ -411,6 +476,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -
                 columns["n_chars"] = pa.array(counts, pa.int64()).cast(columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
+    def spans(found: Repeats) -> DataFrame:
+        each = found.spans().select("doc_id", "text_hash", F.explode("spans").alias("s"))
+        return each.select("doc_id", "text_hash", F.struct("s.a", "s.b", F.lit(found.digests).alias("digests")).alias("s"))
+
+    every = spans(Repeats(docs, length, group, words))
+    if words:
+        every = every.unionByName(spans(Repeats(docs, DIGEST * words, group, digests=True)))
+    every = every.groupBy("doc_id", "text_hash").agg(F.collect_list("s").alias("spans"))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(text).alias("text_hash"))
-    return _spanned(rows, Repeats(docs, length, group).spans(), "row").mapInArrow(run, schema)
+    return _spanned(rows, every, "row").mapInArrow(run, schema)

@@ -1,4 +1,5 @@
 import os
+import random
 
 import duckdb
 import pytest
@@ -43,3 +44,19 @@ def test_queries_equal_their_statements(spark, sf, name):
     names = [d[0] for d in result.description]
     expected = sorted(result.fetchall())
     assert expected and sorted(map(tuple, queries.queries()[name](spark, sf).select(*names).collect())) == expected
+
+
+def test_repeated_passages_of_51_words_go(spark):
+    """A passage of short words, far below 400 bytes, between texts that share nothing else; one of 50 words stays."""
+
+    def words(seed, n):
+        draw = random.Random(seed)
+        return " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 4))) for _ in range(n))
+
+    passage, short = words(1, 51), words(2, 50)
+    assert len(passage) < 300
+    texts = [f"{words(i, 70)} {passage if i % 2 else short} {words(100 + i, 80)}" for i in range(10, 16)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    left = [r["text"] for r in corpus_pipeline.drop_repeats(spark, docs, "").collect()]
+    assert sum(short in t for t in left) == 3 and not any(passage[20:60] in t for t in left)
+    assert sorted(left) == sorted(t.replace(passage, "") for t in texts)

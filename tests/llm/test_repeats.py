@@ -95,3 +95,39 @@ def test_texts_without_repeats(documents):
 
 def test_empty_table(documents):
     assert r.removal_report(documents([])).collect() == []
+
+
+def brute_words(texts, words, length):
+    """Texts without repeats of ``words`` words, nor of ``length`` bytes, by counting every one of them."""
+    split = [[m.span() for m in r._WORD.finditer(t)] for t in texts]
+    runs = [[tuple(t[a:b] for a, b in s[i : i + words]) for i in range(len(s) - words + 1)] for t, s in zip(texts, split, strict=True)]
+    counts, long = Counter(x for y in runs for x in y), Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    for t, s, own in zip(texts, split, runs, strict=True):
+        gone = bytearray(len(t))
+        for i in [i for i, x in enumerate(own) if counts[x] > 1]:
+            gone[s[i][0] : s[i + words - 1][1]] = b"\1" * (s[i + words - 1][1] - s[i][0])
+        for i in range(len(t) - length + 1):
+            inside = [1 for a, b in s if a >= i + 4 and b <= i + length - 4]
+            if long[t[i : i + length]] > 1 and len(inside) < words:
+                gone[i : i + length] = b"\1" * length
+        yield "".join(c for c, g in zip(t, gone, strict=True) if not g)
+
+
+@pytest.mark.parametrize("group", [r.GROUP, 1])
+def test_repeats_of_words_equal_counting_all(documents, group):
+    def prose(n):
+        return SEED.choice([" ", ", ", "\n"]).join("".join(SEED.choice("abcd") for _ in range(SEED.randint(1, 4))) for _ in range(n))
+
+    shared, blob = [prose(30) for _ in range(4)], "".join(SEED.choice("abcdef") for _ in range(90))
+    texts = []
+    for _ in range(60):
+        part = " ".join(SEED.choice(shared).split()[SEED.randint(0, 8) :][: SEED.randint(8, 30)])
+        texts.append(f"{prose(SEED.randint(0, 30))} {part}{SEED.choice(['', '.', ' x ', blob])} {prose(SEED.randint(0, 9))}")
+    texts += [prose(5) + " 日本語の文章がここにあります。" + prose(3) for _ in range(2)] + ["spam " * 30, ""]
+    expected = list(brute_words(texts, 12, 80))
+    assert [r for t, r in zip(texts, expected, strict=True) if r != t and len(r) > 20]
+    rows = {x["doc_id"]: x["text"] for x in r.without_repeats(documents(texts), 80, group, 12).collect()}
+    for i, t in enumerate(texts):
+        # The search by bytes may take more of a string it has found, and never anything that occurs once.
+        assert len(rows[i]) <= len(expected[i]), (t, rows[i], expected[i])
+        assert blob in t or rows[i] == expected[i]
