@@ -5,6 +5,12 @@ others, with the rank of the token. A batch's distinct words become token-positi
 query joins neighbouring tokens with the merge table and contracts the leftmost pair of minimum rank of each word,
 step by step, until no pair of the word is in the table. Words done in fewer steps leave the recursion.
 
+The recursion keeps the rows of all its steps, about half the square of a word's bytes. So the words of one query are
+bounded by the sum of their squares, and a word of over ``LONG_BYTES`` is contracted by a loop of statements instead,
+each of which replaces the word's token table. A step there contracts all places of the least rank at once, the first,
+third, … of a run of overlapping ones, up to the first where the new token and a neighbour are a pair of lower rank:
+that pair would be taken next, and before it the leftmost place again and again.
+
 Decoding joins a batch's (document, position, id) rows with the token table and concatenates the tokens in order of
 position.
 
@@ -34,8 +40,11 @@ from terroir.llm.pieces import KEPT, Encodings, grouped, retained
 # The characters of Unicode's White_Space property, which is what \s means to the reference library.
 WHITE = r"\t-\r \x85\xa0  -     　"
 
-#: Bytes of words contracted by one query; a single longer word is a query of its own.
+#: Bytes of the words contracted by one query, and the sum of their squares: twice the rows that its recursion keeps.
 CHUNK_BYTES = 400_000
+CHUNK_SQUARES = 3_000_000
+#: Longer words are contracted by a loop of statements.
+LONG_BYTES = 1_500
 
 CONTRACT = """
 with recursive tokens(w, step, pos, prior, id) as (
@@ -59,6 +68,39 @@ from tokens join (select w, max(step) as step from tokens group by w) using (w,
 group by w
 """
 
+#: One step for a long word, from table tokens (pos, id) to the next one. Least are its pairs of least rank, by place.
+LEAST = """
+create or replace temp table least as
+with pairs as (
+  select place, gone, nth, rank, before, after
+  from (select pos as place, id as left_id, lead(pos) over o as gone, lead(id) over o as right_id,
+               row_number() over o as nth, lag(id) over o as before, lead(id, 2) over o as after
+        from tokens window o as (order by pos)) join merges using (left_id, right_id)
+)
+select * from pairs where rank = (select min(rank) from pairs)
+"""
+
+STEP = """
+create or replace temp table next_tokens as
+with runs as (
+  select *, nth - row_number() over (order by nth) as run from least
+), turns as (
+  select *, row_number() over (partition by run order by nth) as turn from runs
+), chosen as (
+  select place, gone, nth, rank, if(turn > 1, rank, before) as before, after from turns where turn % 2 = 1
+), last as (
+  select min(nth) as nth from (
+    select nth from chosen c join lowering l on l.left_id = c.before and l.right_id = c.rank and l.rank < c.rank
+    union all
+    select nth from chosen c join lowering l on l.left_id = c.rank and l.right_id = c.after and l.rank < c.rank)
+), done as (
+  select place, gone, rank from chosen where nth <= coalesce((select nth from last), nth)
+)
+select t.pos, coalesce(c.rank, t.id) as id
+from tokens t left join done c on c.place = t.pos left join done g on g.gone = t.pos
+where g.gone is null
+"""
+
 DECODE = """
 select d, string_agg(token, '' order by pos) as hex
 from (select ids.d, ids.pos, vocabulary.token from ids join vocabulary using (id))
@@ -90,6 +132,8 @@ class Bpe:
         first, second, rank = (pa.array(x, pa.int64()) for x in zip(*cuts, strict=True))
         self._db.register("m", pa.table({"left_id": first, "right_id": second, "rank": rank}))
         self._db.execute("create table merges as select * from m")
+        # Pairs that make a token of lower rank than one of theirs.
+        self._db.execute("create table lowering as select * from merges where rank < greatest(left_id, right_id)")
         names = pa.table({"id": pa.array([r for _, r in tokens], pa.int64()), "token": [t.hex() for t, _ in tokens]})
         self._db.register("v", names)
         self._db.execute("create table vocabulary as select * from v")
@@ -118,15 +162,41 @@ class Bpe:
 
     def contract(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, as bytes of little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        start = size = 0
+        out = [b""] * len(words)
+        chunk: list[int] = []
+        size = squares = 0
         for i, word in enumerate(words):
-            size += len(word)
-            if size >= CHUNK_BYTES or i == len(words) - 1:
-                out += self._contract(words[start : i + 1])
-                start, size = i + 1, 0
+            n = len(word)
+            if n > LONG_BYTES:
+                out[i] = self._contract_long(word)
+                continue
+            if chunk and (size + n > CHUNK_BYTES or squares + n * n > CHUNK_SQUARES):
+                self._contract_into(out, words, chunk)
+                chunk, size, squares = [], 0, 0
+            chunk.append(i)
+            size, squares = size + n, squares + n * n
+        if chunk:
+            self._contract_into(out, words, chunk)
         return out
 
+    def _contract_into(self, out: list[bytes], words: list[bytes], chunk: list[int]) -> None:
+        for i, ids in zip(chunk, self._contract([words[i] for i in chunk]), strict=True):
+            out[i] = ids
+
+    def _contract_long(self, word: bytes) -> bytes:
+        flat = np.frombuffer(word, np.uint8)
+        self._db.register("start", pa.table({"pos": np.arange(len(flat)), "id": self._byte[flat]}))
+        self._db.execute("create or replace temp table tokens as select * from start")
+        self._db.unregister("start")
+        while self._db.execute(LEAST).fetchall()[0][0]:
+            self._db.execute(STEP)
+            self._db.execute("drop table tokens")
+            self._db.execute("alter table next_tokens rename to tokens")
+        ids = self._db.execute("select id from tokens order by pos").fetchnumpy()["id"]
+        self._db.execute("drop table tokens")
+        self._db.execute("drop table least")
+        return ids.astype("<u4").tobytes()
+
     def _contract(self, words: list[bytes]) -> list[bytes]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths)

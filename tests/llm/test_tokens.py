@@ -113,3 +113,15 @@ def test_records_round_trip(spark, documents, tmp_path):
 
 def test_no_documents(documents):
     assert records.token_records(documents([]), JSON, 2).collect() == []
+
+
+@pytest.mark.parametrize("limit", [bpe.LONG_BYTES, 3])
+def test_words_of_any_length(reference, monkeypatch, limit):
+    """Words of 50,000 bytes, a chunk's worth of words of 100 bytes, and ordinary words as if they were long."""
+    monkeypatch.setattr(bpe, "LONG_BYTES", limit)
+    codec = bpe.Bpe(RANKS, public_tokenizers.PATTERN)
+    given = ["x" * 50_000, " " * 50_000 + "a", "=" * 6_001, "ab" * 20_000, "".join(SEED.choice("aben") for _ in range(2_000))]
+    given += texts()[-10:] + texts()[:20]
+    if limit > 3:
+        given.append(" ".join("".join(SEED.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(97)) for _ in range(4_000)))
+    assert [list(x) for x in codec.encode(given)] == [reference.encode_ordinary(t) for t in given]
