@@ -1,8 +1,11 @@
 """Benchmark decontamination: size-partitioned MinHash containment search, verified by exact shingle containment.
 
-Texts become sets of word shingles (lower case, five words; a shorter text is one shingle of all its words). An item is
-found in a document if at least ``SIMILARITY`` of the item's shingles are among the document's, however long the
-document is.
+Texts become sets of word shingles (lower case, five words). An item is found in a document if at least ``SIMILARITY``
+of the item's shingles are among the document's, however long the document is. An item of n < 5 words is one shingle of
+all its words, and is looked for among the document's shingles of n words.
+
+An item of under five words that holds a script without spaces (Chinese, Japanese, Thai, ...) is cut into characters of
+that script and words of others, and so are the documents that hold such a script; the same rules hold for these units.
 
 The items are the smaller sets, so their sketches decide: the item's MinHash values, that is its shingles of least hash.
 Items are partitioned by size. An item of n shingles may miss at most (1 - similarity) n of them, so if it is contained,
@@ -38,11 +41,18 @@ SIMILARITY = 0.8
 BLOCK_CHARS = 1 << 20
 
 _WORD = re.compile(r"\w+")
+#: Thai, Lao, Burmese, Khmer, kana and Han: no spaces between words.
+_RANGES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_DENSE = re.compile(f"[{_RANGES}]")
+_UNIT = re.compile(f"[{_RANGES}]|[^\\W{_RANGES}]+")
 
 
-def shingle_list(text: str, words: int = WORDS) -> list[str]:
+def shingle_list(text: str, words: int = WORDS, unit: re.Pattern = _WORD) -> list[str]:
     """Shingles in order, repeats included."""
-    found = _WORD.findall(text.lower())
+    return _joined(unit.findall(text.lower()), words)
+
+
+def _joined(found: list[str], words: int) -> list[str]:
     if len(found) <= words:
         return [" ".join(found)] if found else []
     # Slices of one joined string: from the start of a word to the end of the last word of its shingle.
@@ -55,23 +65,45 @@ def shingle_list(text: str, words: int = WORDS) -> list[str]:
     return [joined[a:b] for a, b in zip(starts, ends, strict=False)]
 
 
+class _Parts:
+    """Inverted indexes of the items cut in one way: one for each size partition, and one for each length below ``words``."""
+
+    def __init__(self):
+        self.sizes: dict[int, dict[str, list[int]]] = defaultdict(lambda: defaultdict(list))
+        self.short: dict[int, dict[str, list[int]]] = defaultdict(lambda: defaultdict(list))
+
+
 class Block:
-    """Index of the items of a block: one inverted index for each size partition."""
+    """Index of the items of a block."""
 
     def __init__(self, items: list[tuple[int | None, str]], similarity: float = SIMILARITY, words: int = WORDS):
         self.similarity, self.words = similarity, words
-        ids: dict[frozenset[str], list[int | None]] = defaultdict(list)
+        ids: dict[tuple[bool, int, frozenset[str]], list[int | None]] = defaultdict(list)
         for item, text in items:
-            if shingles := frozenset(shingle_list(text, words)):
-                ids[shingles].append(item)
-        self.entries = list(ids.items())
-        parts: dict[int, dict[str, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for entry, (shingles, _) in enumerate(self.entries):
+            found = _WORD.findall(text.lower())
+            dense = len(found) < words and _DENSE.search(text) is not None
+            if dense:
+                found = _UNIT.findall(text.lower())
+            if found:
+                ids[dense, min(len(found), words), frozenset(_joined(found, words))].append(item)
+        self.entries = [(shingles, items) for (_, _, shingles), items in ids.items()]
+        parts = {False: _Parts(), True: _Parts()}
+        for entry, (dense, length, shingles) in enumerate(ids):
+            if length < words:
+                parts[dense].short[length][next(iter(shingles))].append(entry)
+                continue
             n = len(shingles)
             sketch = sorted(shingles, key=lambda s: (xxhash.xxh3_64_intdigest(s), s))
             for shingle in sketch[: n - self.needed(n) + 1]:
-                parts[n.bit_length()][shingle].append(entry)
-        self.parts = {size: dict(index) for size, index in sorted(parts.items())}
+                parts[dense].sizes[n.bit_length()][shingle].append(entry)
+        # Plain dictionaries: the block is broadcast.
+        self.parts = {
+            dense: (
+                {size: dict(index) for size, index in sorted(p.sizes.items())},
+                {n: dict(index) for n, index in p.short.items()},
+            )
+            for dense, p in parts.items()
+        }
 
     def needed(self, n: int) -> int:
         """Shingles of an item of ``n`` that a document must have; exact for decimal similarities."""
@@ -79,17 +111,24 @@ class Block:
 
     def hits(self, text: str) -> list[tuple[int, int]]:
         """Entries contained in ``text``, each with the number of its shingles that were found."""
-        own = set(shingle_list(text, self.words))
         found = []
-        for size, index in self.parts.items():
-            if len(own) < self.needed(1 << (size - 1)):
-                break  # too small for this and all larger partitions
-            candidates = {e for shingle in index.keys() & own for e in index[shingle]}
-            for entry in sorted(candidates):
-                shingles = self.entries[entry][0]
-                n = len(shingles & own)
-                if n >= self.needed(len(shingles)):
-                    found.append((entry, n))
+        for dense, (sizes, short) in self.parts.items():
+            if not sizes and not short or dense and not _DENSE.search(text):
+                continue
+            words = (_UNIT if dense else _WORD).findall(text.lower())
+            for n, index in short.items():
+                if len(words) >= n:
+                    found += [(e, 1) for shingle in index.keys() & set(_joined(words, n)) for e in index[shingle]]
+            own = set(_joined(words, self.words))
+            for size, index in sizes.items():
+                if len(own) < self.needed(1 << (size - 1)):
+                    break  # too small for this and all larger partitions
+                candidates = {e for shingle in index.keys() & own for e in index[shingle]}
+                for entry in sorted(candidates):
+                    shingles = self.entries[entry][0]
+                    n = len(shingles & own)
+                    if n >= self.needed(len(shingles)):
+                        found.append((entry, n))
         return found
 
 

@@ -66,3 +66,20 @@ def test_empty_tables(spark, documents):
     assert c.find_contamination(documents(["a b c d e f"]), none).collect() == []
     assert c.decontaminated(documents(["a b c d e f"]), none).count() == 1
     assert c.find_contamination(documents([]), none).collect() == []
+
+
+def test_items_under_five_words_are_found_in_long_documents(spark, documents):
+    items = [(1, "Quantum Foam"), (2, "answer"), (3, "北京大学"), (4, "北京大学在中国的首都北京"), (5, "four words in all"), (6, "foam quantum")]
+    pairs = [
+        (0, "a long text that speaks of quantum foam, and then of more"),
+        (1, "the answer"), (2, "an answered question of six words"), (3, "quantum and foam are words apart here"),
+        (4, "我在北京大学学习了四年时间。"), (5, "他说北京大学在中国的首都北京市里面"), (6, "大学北京, 北京 大 学 apart"),
+        (7, "one two Four words, in all six"), (8, "quantum"), (9, None), (10, ""),
+    ]
+    benchmark = spark.createDataFrame([(*x, "x") for x in items], ITEMS)
+    rows = c.find_contamination(documents(pairs), benchmark).collect()
+    got = {(r["doc_id"], r["item_id"], r["containment"]) for r in rows}
+    # Document 6 has the four characters in order, whatever stands between them.
+    assert got == {(0, 1, 1.0), (1, 2, 1.0), (4, 3, 1.0), (5, 3, 1.0), (5, 4, 1.0), (6, 3, 1.0), (7, 5, 1.0)}
+    kept = c.decontaminated(documents(pairs), benchmark, block_chars=5).collect()
+    assert sorted(r["doc_id"] for r in kept) == [2, 3, 8, 9, 10]
