@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm import bpe, contamination, extraction, fingerprints, quality, records, repeats, sharding, simhash, urls
+from terroir.llm import (
+    bpe,
+    contamination,
+    extraction,
+    fingerprints,
+    prefixes,
+    quality,
+    records,
+    repeats,
+    sharding,
+    simhash,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +88,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, labelled.join(labels, "doc_id"), URL_RULES)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("key", "parent_key")
+
+
 def queries() -> dict[str, Query]:
     # The pipeline's file stands beside the packages and imports them.
     import corpus_pipeline
@@ -136,5 +152,59 @@ FROM texts LEFT JOIN cut USING (doc_id)
 """
 
 
+#: Prefixes as digests of their turns' digests; each node is summed over the pairs of a node and one below it.
+CONVERSATIONS_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, strlen(coalesce(text, '')) AS size,
+         md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, digest, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest, size) AS p FROM turns
+), bytes AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, conv_id::varchar AS name, range(0, strlen(conv_id::varchar)) AS places
+  FROM (SELECT DISTINCT conv_id FROM own)
+), heads AS (
+  SELECT conv_id, base, list_reduce(list_prepend(4294967295::bigint, list_transform(places, lambda i: ascii(name[i + 1])::bigint)),
+    lambda c, b: list_reduce([xor(c, b), 0::bigint, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+      CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::bigint) ELSE x // 2 END)) AS state
+  FROM bytes
+), convs AS (
+  SELECT conv_id, base, xor(state, 4294967295::bigint) % 9 AS h FROM heads
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS side, p, digest, size FROM convs c JOIN own o ON o.conv_id = c.base AND p <= h
+  UNION ALL
+  SELECT c.conv_id, 1, p, digest, size FROM convs c JOIN own o ON o.conv_id = c.conv_id AND p > h
+), placed AS (
+  SELECT conv_id, digest, size, row_number() OVER (PARTITION BY conv_id ORDER BY side, p) AS depth FROM rebuilt
+), paths AS (
+  SELECT conv_id, depth, size, md5(string_agg(digest, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS path FROM placed
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM convs
+), lengths AS (
+  SELECT conv_id, max(depth) AS length FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, min(size) AS size,
+         string_agg(CASE WHEN depth = length THEN conv_id END, ',' ORDER BY conv_id) AS ends,
+         bool_and(depth = length) AS childless
+  FROM paths JOIN lengths USING (conv_id) GROUP BY depth, path
+), pairs AS (
+  SELECT DISTINCT a.depth, a.path, b.depth AS lower_depth, b.path AS lower_path
+  FROM paths a JOIN paths b ON a.conv_id = b.conv_id AND b.depth >= a.depth
+), below AS (
+  SELECT p.depth, p.path, count(*) FILTER (lower_depth = p.depth + 1) AS n_children,
+         count(*) FILTER (childless) AS n_leaves, sum((n_convs - 1) * size)::bigint AS saved_tokens
+  FROM pairs p JOIN nodes n ON n.depth = lower_depth AND n.path = lower_path GROUP BY p.depth, p.path
+), parents AS (
+  SELECT DISTINCT lower_depth AS depth, lower_path AS path, n.conv_id AS parent_conv_id
+  FROM pairs p JOIN nodes n ON n.depth = p.depth AND n.path = p.path WHERE lower_depth = p.depth + 1
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM nodes JOIN below USING (depth, path) LEFT JOIN parents USING (depth, path)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_suffix_repeats": REPEATS_SQL, "op5_decontamination": DECONTAMINATION_SQL}
+    return {
+        "op4_suffix_repeats": REPEATS_SQL,
+        "op5_decontamination": DECONTAMINATION_SQL,
+        "op12_prefix_trie": CONVERSATIONS_SQL,
+    }
