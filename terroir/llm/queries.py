@@ -15,6 +15,7 @@ from terroir.llm import (
     fingerprints,
     prefixes,
     quality,
+    ranking,
     records,
     repeats,
     sharding,
@@ -92,6 +93,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("key", "parent_key")
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(ranking.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Query]:
     # The pipeline's file stands beside the packages and imports them.
     import corpus_pipeline
@@ -202,9 +207,44 @@ FROM nodes JOIN below USING (depth, path) LEFT JOIN parents USING (depth, path)
 """
 
 
+#: Every document that shares a term with an item is scored.
+RANKING_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS nr, text FROM documents
+  UNION ALL SELECT 'i', item_id, 0, text FROM benchmark
+), words AS (
+  SELECT side, id, nr, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts
+), counted AS (
+  SELECT id AS doc_id, nr, term, count(*) AS tf FROM words WHERE side = 'd' GROUP BY ALL
+), lengths AS (
+  SELECT nr, sum(tf)::bigint AS n FROM counted GROUP BY nr
+), corpus AS (
+  SELECT count(*) AS docs, sum(n)::bigint AS terms FROM lengths
+), frequencies AS (
+  SELECT term, count(*) AS df FROM counted GROUP BY term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint AS w FROM frequencies, corpus
+), impacts AS (
+  SELECT doc_id, nr, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS impact
+  FROM counted JOIN lengths USING (nr) JOIN weights USING (term), corpus
+), items AS (
+  SELECT DISTINCT id AS item_id, term FROM words WHERE side = 'i'
+), scored AS (
+  SELECT item_id, doc_id, nr, sum(impact)::bigint AS score FROM items JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, nr)::int AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_suffix_repeats": REPEATS_SQL,
         "op5_decontamination": DECONTAMINATION_SQL,
         "op12_prefix_trie": CONVERSATIONS_SQL,
+        "op13_ranked_search": RANKING_SQL,
     }
