@@ -13,6 +13,7 @@ from terroir.llm import (
     contamination,
     extraction,
     fingerprints,
+    languages,
     prefixes,
     quality,
     ranking,
@@ -89,6 +90,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, labelled.join(labels, "doc_id"), URL_RULES)
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("key", "parent_key")
 
