@@ -204,6 +204,12 @@ def statements() -> dict[str, str]:
         "st1_ingestion": with_ctes("select * exclude (replica) from dpe_raw", "dpe_raw"),
         "st2_dedoublonnage": with_ctes("select * from stg_dpe", "stg_dpe"),
         "st3_flux_mensuel": with_ctes("select * from fct_dpe_mensuel", "fct_dpe_mensuel"),
+        "st3_flux_compacte": with_ctes("select * from fct_dpe_mensuel", "fct_dpe_mensuel"),
+        "st3_flux_journalier": with_ctes(
+            """select date_etablissement_dpe as jour, etiquette_dpe, count(*) as nb_dpe from stg_dpe
+               where date_etablissement_dpe is not null group by all""",
+            "stg_dpe",
+        ),
         "st4_dernier_courant": with_ctes("select * from dpe_dernier", "dpe_dernier"),
         "st5_historique": with_ctes(history, "stg_dpe"),
     }

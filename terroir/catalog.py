@@ -153,20 +153,21 @@ def _published(name: str) -> Callable[[Warehouse], DataFrame]:
 
 
 def _landed(name: str) -> Callable[[Warehouse], DataFrame]:
-    """The rows of a raw table as written by a second full refresh."""
+    """The rows of a raw table as written by a second full refresh; a reader of the first keeps its version."""
 
     def run(w: Warehouse) -> DataFrame:
         out, raw = w.scratch("raw"), L.read_raw(w.spark, w.files())
         L.land({name: raw[name].limit(0)}, out)
         L.land({name: raw[name]}, out)
-        return w.spark.read.parquet(f"{out}/{name}").drop("filename", "_loaded_at")
+        return L.read_landed(w.spark, out, name).drop("filename", "_loaded_at")
 
     return run
 
 
-def _stream(w: Warehouse) -> tuple[DataFrame, str, str]:
+def _stream(w: Warehouse, files_per_batch: int = 1000) -> tuple[DataFrame, str, str]:
     base = w.scratch("flux")
-    return S.landing_stream(w.spark, f"{w.files()}/{L.MOTIF_DPE}"), f"{base}/out", f"{base}/checkpoint"
+    stream = S.landing_stream(w.spark, f"{w.files()}/{L.MOTIF_DPE}", files_per_batch)
+    return stream, f"{base}/out", f"{base}/checkpoint"
 
 
 def _ingestion(w: Warehouse) -> DataFrame:
@@ -178,19 +179,35 @@ def _ingestion(w: Warehouse) -> DataFrame:
 
 
 def _dedoublonnage(w: Warehouse) -> DataFrame:
-    stream, out, checkpoint = _stream(w)
+    stream, out, checkpoint = _stream(w, 4)
     S.append_unseen(stream, out, checkpoint)
-    return S.lots(w.spark, f"{out}/nouveaux").drop("_loaded_at")
+    return S.lots(w.spark, out).drop("_loaded_at")
 
 
 def _flux_mensuel(w: Warehouse) -> DataFrame:
     stream, out, checkpoint = _stream(w)
     S.append_unseen(stream, out, checkpoint, {"mois": S.monthly_partial(w.params)})
-    return S.monthly_counts(w.spark, f"{out}/mois")
+    return S.monthly_counts(w.spark, out)
+
+
+def _flux_compacte(w: Warehouse) -> DataFrame:
+    """The flow from lots of few files, merged afterwards."""
+    stream, out, checkpoint = _stream(w, 4)
+    S.append_unseen(stream, out, checkpoint, {"mois": S.monthly_partial(w.params)})
+    S.compact(w.spark, out, "mois", S.monthly_sums)
+    return S.monthly_counts(w.spark, out)
+
+
+def _flux_journalier(w: Warehouse) -> DataFrame:
+    """Days from two landings: windows closed behind the watermark, late rows from the side table, open days."""
+    stream, out, checkpoint = _stream(w, 4)
+    S.append_unseen(stream, out, checkpoint)
+    S.close_days(w.spark, out, f"{checkpoint}-jours")
+    return S.daily_counts(w.spark, out)
 
 
 def _dernier_courant(w: Warehouse) -> DataFrame:
-    stream, out, checkpoint = _stream(w)
+    stream, out, checkpoint = _stream(w, 4)
     S.merge_latest(stream, out, checkpoint)
     return S.current_rows(w.spark, out)
 
@@ -280,6 +297,8 @@ def queries() -> dict[str, Query]:
         "st1_ingestion": _tables(_ingestion),
         "st2_dedoublonnage": _tables(_dedoublonnage),
         "st3_flux_mensuel": _tables(_flux_mensuel),
+        "st3_flux_compacte": _tables(_flux_compacte),
+        "st3_flux_journalier": _tables(_flux_journalier),
         "st4_dernier_courant": _tables(_dernier_courant),
         "st5_historique": _tables(_historique),
     }

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terroir.sinks.versions import expire, new_version, read_current, switch
+
 # Types a published table may have.
 TYPES_PUBLIABLES = (
     T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.ByteType, T.ShortType,
     T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.DecimalType,
 )
-POINTEUR = "current.txt"
 
 
 def check_types(df: DataFrame) -> None:
@@ -24,31 +24,18 @@ def check_types(df: DataFrame) -> None:
         raise TypeError(f"unsupported column types: {', '.join(unknown)}")
 
 
-def _switch(spark: SparkSession, root: str, table: str, version: str) -> None:
-    """Replace the table's pointer file by rename, so readers see the old or the new version."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{POINTEUR}")
-    staged = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{POINTEUR}-{version}")
-    out = target.getFileSystem(conf).create(staged, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    rename = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
-    context.rename(staged, target, options)
-
-
-def publish(tables: Mapping[str, DataFrame], root: str, only: Sequence[str] | None = None) -> dict[str, int]:
+def publish(
+    tables: Mapping[str, DataFrame], root: str, only: Sequence[str] | None = None, keep: int = 10
+) -> dict[str, int]:
     """Write the chosen tables as a new version and switch to it; returns the rows written per table.
 
-    A failure before the switch leaves the published version untouched.
+    A failure before the switch leaves the published version untouched. The ``keep`` newest versions stay for readers.
     """
     names = list(tables if only is None else only)
     missing = [n for n in names if n not in tables]
     if missing:
         raise KeyError(f"unknown tables: {', '.join(missing)}")
-    version = f"v-{uuid.uuid4().hex}"
+    version = new_version()
     counts: dict[str, int] = {}
     for name in names:
         check_types(tables[name])
@@ -57,13 +44,14 @@ def publish(tables: Mapping[str, DataFrame], root: str, only: Sequence[str] | No
         tables[name].observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{root}/{name}/{version}")
         counts[name] = seen.get["rows"]
     for name in names:
-        _switch(tables[name].sparkSession, root, name, version)
+        switch(tables[name].sparkSession, f"{root}/{name}", version)
+    for name in names:
+        expire(tables[name].sparkSession, f"{root}/{name}", keep)
     return counts
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    version = spark.read.text(f"{root}/{table}/{POINTEUR}").first()[0]
-    return spark.read.parquet(f"{root}/{table}/{version}")
+    return read_current(spark, f"{root}/{table}")
 
 
 def publish_jdbc(df: DataFrame, url: str, schema: str, table: str, properties: Mapping[str, str]) -> None:

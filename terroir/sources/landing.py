@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terroir.sinks.versions import expire, new_version, read_current, switch
+
 # Fixed values -- fields kept from the diagnostics source.
 CHAMPS_DPE = (
     "numero_dpe",
@@ -41,40 +44,53 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a glob, through Spark's own listing; file contents are not read."""
-    try:
-        return sorted(r.path for r in spark.read.format("binaryFile").load(pattern).select("path").collect())
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-
-
 def any_file(spark: SparkSession, pattern: str) -> bool:
     """Whether a glob matches anything, by the file system's listing alone."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
 
 
-def read_csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All-text CSV files united by column name.
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that isn't blank; the file is read no further than the batch that holds it."""
+    for batch in batches:
+        for i, line in enumerate(batch.column(0).to_pylist()):
+            if line.strip():
+                yield batch.slice(i, 1)
+                return
+
+
+def headers(spark: SparkSession, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header, from one job over all files of a glob; no file matching is no header.
 
-    One read binds columns by position, so files are grouped by their header line (only that line of
-    each file is read here) and every distinct header gets its own schema.
+    Every file is a task of its own there, which ends with the file's first line. A file without lines has no header and
+    no rows, and is left out.
     """
+    own = spark.newSession()  # the settings below are for this read alone
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.set("spark.sql.files.maxPartitionNum", 2**31 - 1)
+    try:
+        lines = own.read.text(pattern).filter(F.col("_metadata.file_block_start") == 0).select(
+            "value", F.col("_metadata.file_path").alias("path")
+        )
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    found: dict[tuple[str, ...], list[str]] = {}
+    for line, path in lines.mapInArrow(_first_lines, "value string, path string").collect():
+        names = tuple(next(csv.reader([line.removeprefix("\ufeff")])))
+        found.setdefault(names, []).append(unquote(path))
+    return {names: sorted(paths) for names, paths in sorted(found.items())}
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(path).columns)
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(header, paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for h, p in zip(headers, paths):
-        groups.setdefault(h, []).append(p)
+def read_csv_by_name(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """All-text CSV files of a glob united by column name; None where there is no row.
 
+    One read binds columns by position, so files are grouped by their header and every distinct header gets its own
+    schema.
+    """
     parts = []
-    for columns, members in groups.items():
+    for columns, members in headers(spark, pattern).items():
         df = (
             spark.read.schema(text_schema(columns))
             .option("header", True)
@@ -90,7 +106,7 @@ def read_csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
                 F.col("_metadata.file_path").alias("filename"),
             )
         )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
 
 def _year_of_folder(path: str) -> Column:
@@ -100,14 +116,10 @@ def _year_of_folder(path: str) -> Column:
 
 
 def read_dvf(spark: SparkSession, root: str) -> DataFrame | None:
-    paths = files(spark, f"{root}/{MOTIF_DVF}")
-    if not paths:
+    lines = read_csv_by_name(spark, f"{root}/{MOTIF_DVF}")
+    if lines is None:
         return None
-    return read_csv_by_name(spark, paths).select(
-        "*",
-        _year_of_folder("filename").alias("_annee_fichier"),
-        F.current_timestamp().alias("_loaded_at"),
-    )
+    return lines.select("*", _year_of_folder("filename").alias("_annee_fichier"), F.current_timestamp().alias("_loaded_at"))
 
 
 def read_dpe(spark: SparkSession, root: str) -> DataFrame | None:
@@ -157,32 +169,27 @@ def files_read(raw: dict[str, DataFrame]) -> dict[str, int]:
     return {name: len(set(df.inputFiles())) for name, df in raw.items()}
 
 
-def _replace(spark: SparkSession, staged: str, target: str) -> None:
-    """Move a completely written folder to its place; the one it replaces goes only after that."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    new, here, old = path(staged), path(target), path(f"{staged}-old")
-    system = here.getFileSystem(spark._jsc.hadoopConfiguration())
-    replaced = system.exists(here) and system.rename(here, old)
-    if not system.rename(new, here):
-        if replaced:
-            system.rename(old, here)
-        raise OSError(f"{staged} could not be moved to {target}")
-    if replaced:
-        system.delete(old, True)
-
-
-def land(raw: dict[str, DataFrame], out: str, rows_per_file: int = 1_000_000) -> dict[str, int]:
+def land(raw: dict[str, DataFrame], out: str, rows_per_file: int = 1_000_000, keep: int = 2) -> dict[str, int]:
     """Full refresh of the raw layer as Parquet; returns the rows written per table.
 
     A gzip file is one task whatever its size; bounding the rows per output file keeps the tables
-    splittable from here on without a shuffle. Each table is written beside the old one, which a failure leaves as it is.
+    splittable from here on without a shuffle. Every table is written as a new version first; then each is switched to
+    by replacing its pointer. So a failure leaves all tables as they were, and there is no moment without a table.
+    The ``keep`` newest versions stay for readers that began earlier.
     """
-    counts = {}
+    counts, version = {}, new_version()
     for name, df in raw.items():
         seen = Observation(name)
-        staged = f"{out}/_{name}-{uuid.uuid4().hex[:12]}"
         observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        observed.write.option("maxRecordsPerFile", rows_per_file).parquet(staged)
-        _replace(df.sparkSession, staged, f"{out}/{name}")
+        observed.write.option("maxRecordsPerFile", rows_per_file).parquet(f"{out}/{name}/{version}")
         counts[name] = seen.get["rows"]
+    for name, df in raw.items():
+        switch(df.sparkSession, f"{out}/{name}", version)
+    for name, df in raw.items():
+        expire(df.sparkSession, f"{out}/{name}", keep)
     return counts
+
+
+def read_landed(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """A table of the raw layer, as of its current version."""
+    return read_current(spark, f"{out}/{name}")

@@ -6,11 +6,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from terroir.plans import intermediate, staging
 from terroir.plans.warehouse import Warehouse, warehouse
 from terroir.sinks import publish as K
+from terroir.sinks import versions as V
 from terroir.sources import landing as L
-from terroir.streaming import incremental as S
 
 
 def gz(path, *members):
@@ -52,7 +51,7 @@ def test_absent_sources_are_skipped_unless_all_are(spark, tmp_path):
     out = str(tmp_path / "raw")
     assert L.land(raw, out) == {"dpe_logements": 1}
     assert L.land(raw, out) == {"dpe_logements": 1}
-    assert spark.read.parquet(f"{out}/dpe_logements").count() == 1
+    assert L.read_landed(spark, out, "dpe_logements").count() == 1
 
 
 def test_publication_is_all_or_nothing(spark, tmp_path):
@@ -74,60 +73,6 @@ def test_unsupported_types_are_refused(spark):
         K.check_types(spark.range(1).withColumn("tags", F.array(F.lit(1))))
 
 
-def lines(path, rows):
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text("".join(json.dumps(r) + "\n" for r in rows))
-
-
-def diag(i, day, label="C", ban="BAN1"):
-    return {
-        "numero_dpe": f"DPE{i}", "date_etablissement_dpe": day, "code_insee_ban": "59001", "nom_commune_ban": "Un",
-        "code_departement_ban": "59", "identifiant_ban": ban, "type_batiment": "Maison", "etiquette_dpe": label,
-        "surface_habitable_logement": 40.0,
-    }
-
-
-def test_two_drops_equal_one_batch(spark, tmp_path, sf):
-    w = warehouse(spark, sf)
-    drop = tmp_path / "drop"
-    stream = lambda: S.without_duplicates(S.landing_stream(spark, str(drop), files_per_batch=1))
-    outs = {k: (str(tmp_path / k / "out"), str(tmp_path / k / "checkpoint")) for k in ("month", "latest")}
-
-    def run():
-        S.write_lots(stream(), S.monthly_partial(w.params), *outs["month"])
-        S.write_lots(stream(), S.latest_partial, *outs["latest"])
-
-    first = [diag(1, "2023-01-05"), diag(2, "2023-01-20", "F"), diag(1, "2023-01-05"), diag(9, "inconnue")]
-    second = [diag(2, "2023-01-20", "F"), diag(3, "2023-02-01", "G"), diag(4, "2022-12-01", "A", "BAN2")]
-    lines(drop / "1.json", first)
-    run()
-    lines(drop / "2.json", second)
-    run()
-    run()  # nothing new
-
-    months = {(str(r.mois), r.etiquette_dpe): r.nb_dpe for r in S.monthly_counts(spark, outs["month"][0]).collect()}
-    assert months == {("2023-01-01", "C"): 1, ("2023-01-01", "F"): 1, ("2023-02-01", "G"): 1, ("2022-12-01", "A"): 1}
-    latest = S.latest_rows(spark, outs["latest"][0])
-    raw = spark.read.schema(L.text_schema(L.CHAMPS_DPE)).json(str(drop)).withColumn("_loaded_at", F.current_timestamp())
-    batch = intermediate.dpe_dernier(staging.stg_dpe(raw))
-    assert sorted(map(str, latest.collect())) == sorted(map(str, batch.collect()))
-
-
-def test_daily_counts_are_final_behind_the_watermark(spark, tmp_path):
-    drop, out, ck = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "ck")
-    lines(drop / "1.json", [diag(1, "2023-01-01"), diag(2, "2023-01-01"), diag(3, "2023-03-15", "F")])
-
-    def run():
-        typed = staging.dpe_types(S.landing_stream(spark, str(drop), files_per_batch=1))
-        S.append_once(S.daily_counts(typed), out, ck)
-
-    run()
-    lines(drop / "2.json", [diag(4, "2023-01-01"), diag(5, "2023-03-15", "F")])  # the first is too late
-    run()
-    got = [(str(r.jour), r.etiquette_dpe, r.nb_dpe) for r in spark.read.parquet(out).collect()]
-    assert got == [("2023-01-01", "C", 2)]
-
-
 def test_line_breaks_in_quotes_and_file_counts(spark, tmp_path):
     gz(tmp_path / "dvf/2021/02.csv.gz", 'id_mutation,nom\n1,"a\nb"\n2,"c, ""d"""\n')
     gz(tmp_path / "dvf/2021/59.csv.gz", "id_mutation,nom\n3,e\n")
@@ -136,15 +81,74 @@ def test_line_breaks_in_quotes_and_file_counts(spark, tmp_path):
     assert L.files_read({"dvf_mutations": df}) == {"dvf_mutations": 2}
 
 
-def test_a_failed_refresh_leaves_the_old_table(spark, tmp_path):
+def test_a_failed_refresh_leaves_the_old_tables(spark, tmp_path):
     out = str(tmp_path / "raw")
     good = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
-    assert L.land({"x": good}, out) == {"x": 2}
+    broken = good.withColumn("id", F.expr("cast(raise_error('panne') as int)"))
+    assert L.land({"x": good, "y": good}, out) == {"x": 2, "y": 2}
     with pytest.raises(Exception, match="panne"):
-        L.land({"x": good.withColumn("id", F.expr("cast(raise_error('panne') as int)"))}, out)
-    assert spark.read.parquet(f"{out}/x").count() == 2
+        L.land({"x": good.limit(1), "y": broken}, out)
+    assert [L.read_landed(spark, out, t).count() for t in "xy"] == [2, 2]
     assert L.land({"x": good.limit(1)}, out) == {"x": 1}
-    assert spark.read.parquet(f"{out}/x").count() == 1
+    assert L.read_landed(spark, out, "x").count() == 1
+
+
+def test_a_refresh_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """At every moment of a refresh, a crash included, readers find the old table or the new one."""
+    out = str(tmp_path / "raw")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
+    L.land({"x": good}, out)
+    pinned, seen = L.read_landed(spark, out, "x"), []
+    replace = V.replace_file
+
+    def watched(session, path, text):
+        seen.append(L.read_landed(spark, out, "x").count())
+        replace(session, path, text)
+        seen.append(L.read_landed(spark, out, "x").count())
+
+    def fails(*_):
+        raise OSError("no pointer")
+
+    monkeypatch.setattr(V, "replace_file", watched)
+    L.land({"x": good.limit(1)}, out)
+    assert seen == [2, 1] and pinned.count() == 2
+    monkeypatch.setattr(V, "replace_file", fails)
+    with pytest.raises(OSError, match="no pointer"):
+        L.land({"x": good.unionByName(good)}, out)
+    assert L.read_landed(spark, out, "x").count() == 1
+    monkeypatch.setattr(V, "replace_file", replace)
+    L.land({"x": good.unionByName(good)}, out)
+    assert L.read_landed(spark, out, "x").count() == 4
+    # The first version has expired, the one before is still there; what failed is named nowhere.
+    assert len(V.versions(spark, f"{out}/x")) == 2
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        pinned.count()
+
+
+def test_a_table_without_a_version(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        L.read_landed(spark, str(tmp_path), "x")
+    with pytest.raises(ValueError, match="stays"):
+        V.expire(spark, str(tmp_path), 0)
+
+
+def test_headers_take_one_job(spark, tmp_path):
+    for i in range(40):
+        columns = ["id_mutation", "nom", *(["extra"] if i % 2 else [])][:: -1 if i % 3 == 0 else 1]
+        row = {"id_mutation": str(i), "nom": "", "extra": f"e, {i}"}
+        quoted = ",".join(f'"{row[c]}"' for c in columns)
+        gz(tmp_path / f"dvf/2021/{i:02d} a.csv.gz", ("\n" if i == 5 else "") + ",".join(columns) + f"\n{quoted}\n")
+    gz(tmp_path / "dvf/2021/empty.csv.gz", "")
+    gz(tmp_path / "dvf/2021/header only.csv.gz", '"id_mutation","nom","autre"\n')
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers of all files")
+    df = L.read_dvf(spark, str(tmp_path))
+    rows = {int(r.id_mutation): (r.nom, r.extra, r.autre) for r in df.collect()}
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows == {i: (None, f"e, {i}" if i % 2 else None, None) for i in range(40)}
+    # Listing more than 32 paths is a job of Spark's own.
+    assert jobs <= 4
 
 
 def test_given_raw_tables_are_read_in_place(spark, tmp_path, sf):
@@ -157,28 +161,3 @@ def test_given_raw_tables_are_read_in_place(spark, tmp_path, sf):
     assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "built").iterdir()] == ["stg_dpe_logements"]
     mine.remove()
     assert not (tmp_path / "built").exists()
-
-
-def test_a_copy_days_later_counts_once(spark, tmp_path, sf):
-    w = warehouse(spark, sf)
-    drop, out, ck, state = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "ck"), str(tmp_path / "state")
-
-    def run(day):
-        stream = S.landing_stream(spark, str(drop), files_per_batch=1).withColumn("_loaded_at", F.lit(day).cast("timestamp"))
-        S.append_unseen(stream, out, ck, {"mois": S.monthly_partial(w.params)})
-        S.merge_latest(S.landing_stream(spark, str(drop), files_per_batch=1), state, f"{ck}-2")
-
-    lines(drop / "1.json", [diag(1, "2023-01-05"), diag(2, "2023-01-20", "F"), diag(1, "2023-01-05")])
-    run("2024-01-01")
-    lines(drop / "2.json", [diag(2, "2023-01-20", "F"), diag(3, "2023-02-01", "G")])
-    run("2024-03-01")
-    lines(drop / "3.json", [diag(1, "2023-01-05"), diag(4, "2021-12-01", "A", "BAN2"), diag(5, "2020-01-01", "B")])
-    run("2025-01-01")
-    run("2025-01-02")  # nothing new
-    assert sorted(r.numero_dpe for r in S.lots(spark, f"{out}/nouveaux").collect()) == [f"DPE{i}" for i in range(1, 6)]
-    counts = S.monthly_counts(spark, f"{out}/mois").filter("mois >= '2022-01-01'").collect()
-    assert sorted((str(r.mois), r.nb_dpe) for r in counts) == [("2023-01-01", 1), ("2023-01-01", 1), ("2023-02-01", 1)]
-    raw = spark.read.schema(L.text_schema(L.CHAMPS_DPE)).json(str(drop)).withColumn("_loaded_at", F.current_timestamp())
-    batch = intermediate.dpe_dernier(staging.stg_dpe(raw))
-    assert sorted(map(str, S.current_rows(spark, state).collect())) == sorted(map(str, batch.collect()))
-    assert len(list((tmp_path / "state").glob("lot=*"))) <= 2
