@@ -169,11 +169,12 @@ def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFram
     guests = spark.createDataFrame(
         [(heads[i - 1][0], doc) for i, (_, doc) in enumerate(heads)], "to int, head long"
     )
-    own = dealt.select("part", F.lit(False).alias("guest"), "doc_id", "text")
-    # Guests with the same id as a head are all sent; the first in order is the one that is used.
-    sent = rows.join(guests, F.col("doc_id").eqNullSafe(F.col("head"))).select(
-        F.col("to").alias("part"), F.lit(True).alias("guest"), "doc_id", "text"
+    # A head's text goes to its own range and, as a guest, to the range before it. Guests with the same id as a head are all
+    # sent; the first in order is the one that is used.
+    found = dealt.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")), "left")
+    places = F.array(F.struct("part", F.lit(False).alias("guest")), F.struct(F.col("to").alias("part"), F.lit(True).alias("guest")))
+    both = found.select(F.explode(F.when(F.col("to").isNull(), F.slice(places, 1, 1)).otherwise(places)).alias("p"), "doc_id", "text").select(
+        "p.part", "p.guest", "doc_id", "text"
     )
-    both = own.unionByName(sent)
     ordered = both.repartition(parts, "part").sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), "text")
     return ordered.mapInArrow(_compare, RESULT_SQL)
