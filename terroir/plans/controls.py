@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terroir import params as P
@@ -72,39 +72,71 @@ def _t(w: Warehouse, name: str) -> DataFrame:
     return w.plan(name) if name in VUES else w.table(name)
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def _verify(w: Warehouse, checks: list[Q.Check]) -> DataFrame:
+    return Q.verify(lambda name: _t(w, name), checks)
+
+
+def _non_nuls() -> list[Q.Check]:
+    return [Q.not_null(t, c) for t, columns in NON_NULS.items() for c in columns]
+
+
+def _population() -> list[Q.Check]:
+    """Conditional check: one overseas department has no population in this edition."""
+    return [Q.not_null("int_insee_commune", "population", ~F.col("code_commune").startswith("976"))]
+
+
+def _uniques() -> list[Q.Check]:
+    return [Q.unique(*u) for u in UNIQUES]
+
+
+def _valeurs() -> list[Q.Check]:
+    return [Q.accepted_values(*v) for v in VALEURS]
+
+
+def _relations() -> list[Q.Check]:
+    return [Q.relationship(*r) for r in RELATIONS]
+
+
+def _combinaison() -> list[Q.Check]:
+    return [Q.unique_combination("fct_dpe_mensuel", CLES_FLUX)]
+
+
+def _prix_hors_bornes() -> Column:
+    """Median prices outside the plausible range."""
+    return ~F.col("prix_m2_median").between(P.PRIX_M2_MIN, P.PRIX_M2_MAX)
+
+
+def _parts_hors_bornes() -> Column:
+    """A ratio outside [0, 1]; NULL ratios pass."""
+    return reduce(lambda a, b: a | b, [F.coalesce(~F.col(c).between(0, 1), F.lit(False)) for c in PARTS])
 
 
 def non_nuls(w: Warehouse) -> DataFrame:
-    return _union([Q.not_null(_t(w, t), t, cols) for t, cols in NON_NULS.items()])
+    return _verify(w, _non_nuls())
 
 
 def population_renseignee(w: Warehouse) -> DataFrame:
-    """Conditional check: one overseas department has no population in this edition."""
-    insee = _t(w, "int_insee_commune")
-    return Q.not_null(insee, "int_insee_commune", ["population"], where=~F.col("code_commune").startswith("976"))
+    return _verify(w, _population())
 
 
 def uniques(w: Warehouse) -> DataFrame:
-    return _union([Q.unique(_t(w, t), t, c, s) for t, c, s in UNIQUES])
+    return _verify(w, _uniques())
 
 
 def valeurs(w: Warehouse) -> DataFrame:
-    return _union([Q.accepted_values(_t(w, t), t, c, v) for t, c, v in VALEURS])
+    return _verify(w, _valeurs())
 
 
 def relations(w: Warehouse) -> DataFrame:
-    return _union([Q.relationships(_t(w, t), t, c, _t(w, p), f, s) for t, c, p, f, s in RELATIONS])
+    return _verify(w, _relations())
 
 
 def combinaison(w: Warehouse) -> DataFrame:
-    return Q.unique_combination(_t(w, "fct_dpe_mensuel"), "fct_dpe_mensuel", CLES_FLUX)
+    return _verify(w, _combinaison())
 
 
 def prix_hors_bornes(w: Warehouse) -> DataFrame:
-    """Median prices outside the plausible range."""
-    return _t(w, "mart_prix_commune_annee").filter(~F.col("prix_m2_median").between(P.PRIX_M2_MIN, P.PRIX_M2_MAX))
+    return _t(w, "mart_prix_commune_annee").filter(_prix_hors_bornes())
 
 
 def natures_inconnues(w: Warehouse) -> DataFrame:
@@ -123,18 +155,16 @@ def natures(w: Warehouse) -> DataFrame:
 
 
 def parts_hors_bornes(w: Warehouse) -> DataFrame:
-    """Communes with a ratio outside [0, 1]; NULL ratios pass."""
-    outside = reduce(lambda a, b: a | b, [~F.col(c).between(0, 1) for c in PARTS])
-    return _t(w, "mart_logement_commune").filter(outside).select("code_commune", "nom_commune")
+    """Communes with a ratio outside [0, 1]."""
+    return _t(w, "mart_logement_commune").filter(_parts_hors_bornes()).select("code_commune", "nom_commune")
 
 
 def tous(w: Warehouse) -> DataFrame:
-    """All checks with their status."""
+    """All checks with their status, from one pass over each table."""
     singular = [
-        Q.rows_failing(prix_hors_bornes(w), "prix_hors_bornes", "mart_prix_commune_annee"),
-        Q.rows_failing(natures_inconnues(w), "natures_inconnues", "stg_dvf_mutations"),
-        Q.rows_failing(parts_hors_bornes(w), "parts_hors_bornes", "mart_logement_commune"),
+        Q.rows_failing("prix_hors_bornes", "mart_prix_commune_annee", _prix_hors_bornes()),
+        Q.values_failing("natures_inconnues", "stg_dvf_mutations", "nature_mutation", P.NATURES_MUTATION),
+        Q.rows_failing("parts_hors_bornes", "mart_logement_commune", _parts_hors_bornes()),
     ]
-    return Q.with_status(
-        _union([non_nuls(w), population_renseignee(w), uniques(w), valeurs(w), relations(w), combinaison(w), *singular])
-    )
+    checks = [*_non_nuls(), *_population(), *_uniques(), *_valeurs(), *_relations(), *_combinaison(), *singular]
+    return Q.with_status(_verify(w, checks))

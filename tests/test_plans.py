@@ -5,6 +5,7 @@ import re
 import pytest
 
 from terroir import catalog
+from terroir.plans import controls
 from terroir.plans.measures import Modele, ventes
 from terroir.params import Contexte
 from terroir.plans.warehouse import warehouse
@@ -38,3 +39,12 @@ def test_sales_take_one_preaggregated_shuffle(spark, sf):
     assert body.count("Exchange hashpartitioning") == 1
     assert "partial_min" in body
     assert "Join" not in body
+
+
+def test_all_checks_take_one_scan_of_each_table(spark, sf):
+    w = warehouse(spark, sf)
+    df = controls.tous(w)
+    text = plan(df)
+    # The departments are a seed, without a file.
+    assert text.count("FileScan") == len(controls.NON_NULS) - 1
+    assert text.count("Exchange") <= 3

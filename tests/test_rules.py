@@ -1,6 +1,7 @@
 """Edge cases of the business rules on small literal tables."""
 
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -268,19 +269,32 @@ def test_not_in_ignores_null_keys(spark):
 def test_checks_find_failures(spark):
     df = spark.createDataFrame([("a", "A"), ("a", None), (None, "Z"), ("c", "Z")], "k string, l string")
     parent = spark.createDataFrame([("a",)], "p string")
-    checks = (
-        Q.not_null(df, "t", ["k", "l"])
-        .unionByName(Q.unique(df, "t", "k"))
-        .unionByName(Q.accepted_values(df, "t", "l", ["A"]))
-        .unionByName(Q.relationships(df, "t", "k", parent, "p", Q.ALERTE))
-        .unionByName(Q.unique_combination(df.select("l"), "t", ["l"]))
-        .unionByName(Q.not_null(df, "t", ["l"], where=F.col("k") == "c"))
-    )
-    got = [(r.controle, r.echecs, r.statut) for r in Q.with_status(checks).collect()]
-    assert got == [
-        ("not_null", 1, "error"), ("not_null", 1, "error"), ("unique", 1, "error"), ("accepted_values", 1, "error"),
-        ("relationships", 1, "warn"), ("unique_combinaison", 1, "error"), ("not_null", 0, "ok"),
-    ]
+    checks = [
+        Q.not_null("t", "k"), Q.not_null("t", "l"), Q.unique("t", "k"), Q.accepted_values("t", "l", ["A"]),
+        Q.relationship("t", "k", "parents", "p", Q.ALERTE), Q.unique_combination("t", ["l"]),
+        Q.not_null("t", "l", F.col("k") == "c"), Q.unique_combination("t", ["k", "l"]),
+        Q.rows_failing("lignes", "t", F.col("l") == "Z"), Q.values_failing("valeurs", "t", "l", ["A"]),
+    ]
+    rows = Q.with_status(Q.verify({"t": df, "parents": parent}.__getitem__, checks)).collect()
+    assert Counter((r.controle, r.colonne, r.echecs, r.statut) for r in rows) == Counter([
+        ("not_null", "k", 1, "error"), ("not_null", "l", 1, "error"), ("unique", "k", 1, "error"),
+        ("accepted_values", "l", 1, "error"), ("relationships", "k", 1, "warn"), ("unique_combinaison", "l", 1, "error"),
+        ("not_null", "l", 0, "ok"), ("unique_combinaison", "k,l", 0, "ok"), ("lignes", "", 2, "error"),
+        ("valeurs", "", 1, "error"),
+    ])
+
+
+def test_checks_of_empty_tables_pass(spark):
+    empty = spark.createDataFrame([], "k string, p string")
+    checks = [Q.not_null("t", "k"), Q.unique("t", "k"), Q.relationship("t", "k", "t", "p")]
+    assert [r.echecs for r in Q.verify(lambda _: empty, checks).collect()] == [0, 0, 0]
+
+
+def test_repeated_parents_and_hot_children(spark):
+    child = spark.range(1000).select(F.when(F.col("id") > 2, "hot").when(F.col("id") > 0, "lost").alias("k"))
+    parent = spark.createDataFrame([("hot",), ("hot",), (None,)], "p string")
+    checks = [Q.relationship("c", "k", "p", "p")]
+    assert Q.verify({"c": child, "p": parent}.__getitem__, checks).first().echecs == 2
 
 
 def test_history_versions(spark):
