@@ -3,15 +3,16 @@
 The built-in ``percentile`` keeps every distinct value of a group in one task's map. Here, for every size of input, in
 one lazy plan:
 
-1. rows are counted per group and value with map-side combine, so a hot value is one row per map task, and the counts
-   are spread over tasks by value, not by group;
-2. the counts are summed per slice of the value range; the running sum of these few rows per group locates the slices
-   that hold the wanted positions;
-3. only counts in located slices go on. They are summed per finer slice (a slice's value range cut in 1024) and located
-   again in the same way;
-4. what is left, a millionth or so of a group's range, is ranked per finer slice.
-
-So a hot group spreads over its values and slices. NaN sorts last and has a slice of its own, as every infinity has.
+1. rows are counted per group and value with map-side combine, so a hot value is one row per map task (a histogram,
+   given with its ``weight``, is this step's result already);
+2. these counts are dealt by group and slice of the value range, a thousandth of a value wide, and summed per slice;
+3. the running sum over the few sums of a group locates the slices that hold the wanted positions;
+4. the counts of located slices go on to the built-in ``percentile``, which combines before it shuffles. Each of the two
+   values around a wanted position is asked for as a median: a count at minus infinity and one at NaN stand for what
+   lies below and above its slice, and put the value exactly in the middle. So it is an element, not interpolated yet.
+
+That is four shuffles with the one that counts, and one more where the located slices are too many to broadcast. A hot group spreads over its values and slices; one task gets a slice of
+it, some thousandth of its distinct values. NaN sorts last and has a slice of its own, as every infinity has.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 class Pct:
     """One wanted percentile: output ``name``, ``value`` column, position ``p`` and slice ``width``.
 
-    ``width`` is the linear slice width in units of the value; without it slices are logarithmic (about 3 % wide).
+    ``width`` is the linear slice width in units of the value; without it slices are logarithmic (about 0.1 % wide).
     """
 
     name: str
@@ -36,48 +37,38 @@ class Pct:
 
 
 def _slice(width: float | None) -> str:
-    inner = "signum(x) * floor(log1p(abs(x)) * 32)" if width is None else f"floor(x / {float(width)!r}D)"
+    inner = "signum(x) * floor(log1p(abs(x)) * 1024)" if width is None else f"floor(x / {float(width)!r}D)"
     return f"if(isnan(x), double('infinity'), cast({inner} as double))"
 
 
+#: The counts are read twice, for the sums and for the located slices. Both name the same columns (``least`` is there for
+#: that alone) and compare null-safely, which adds no filter, so Spark deals the counts once and reuses the exchange.
 _PLAN = """
 with stacked as (
   select * from (select {k}, {rows} as w, inline(array({entries})) from {{df}}) where x is not null
 ),
-counted as (
-  select {k}, m, s, x, sum(w) as n from (select {k}, m, case m {slices} end as s, x, w from stacked) group by {k}, m, s, x
+counted as ({counted}),
+dealt as (
+  select /*+ repartition({k}, m, s) */ * from (select {k}, m, case m {slices} end as s, x, n from counted)
 ),
 slices as (
-  select {k}, m, s, sum(n) as c, min(x) as low, max(x) as high from counted group by {k}, m, s
+  select {k}, m, s, sum(n) as c, min(x) as least from dealt group by {k}, m, s
 ),
-located as (
-  select * from (
-    select {k}, m, s, c, low, high, sum(c) over (partition by {k}, m) as total,
-           sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before
-    from slices
-  ) where {hit}
-),
-narrowed as (
-  select {hk}, h.m, h.s, t.before as base, t.total, h.x, h.n,
-         if(t.high > t.low, floor((h.x - t.low) / (t.high - t.low) * 1023), 0L) as f
-  from counted h join located t on {same}
-),
-finer as (
-  select {k}, m, s, f, base, total, sum(n) as c from narrowed group by {k}, m, s, f, base, total
+placed as (
+  select {k}, m, s, c, least, sum(c) over (partition by {k}, m) as total,
+         sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before
+  from slices
 ),
-refined as (
-  select * from (
-    select {k}, m, s, f, c, total, base + sum(c) over (partition by {k}, m, s order by f rows unbounded preceding) - c as before
-    from finer
-  ) where {hit}
-),
-ranked as (
-  select {hk}, h.m, h.x, h.n, h.total,
-         t.before + sum(h.n) over (partition by {hk}, h.m, h.s, h.f order by h.x rows unbounded preceding) as upto
-  from narrowed h join refined t on {same} and h.f = t.f
+located as (
+  select * from (select *, {wanted} as wanted from placed) where wanted <> 0 and least is not null
 ),
-picked as (select {k}, {picks} from ranked group by {k})
-select {results} from picked"""
+held as (
+  select {hk}, h.m, h.x, h.n, t.total, t.wanted
+  from dealt h join located t on {same}
+  union all
+  select {k}, m, inline(filter(array({ends}), e -> e.n > 0 and e.wanted & wanted <> 0)) from located
+)
+select {results} from held group by {k}"""
 
 
 def percentiles(
@@ -97,32 +88,41 @@ def percentiles(
         widths.setdefault(w.value, w.width)
     values = list(widths)
 
-    hits, picks, results = [], [], [f"`{c}`" for c in keys]
+    bits, ends, results = [], [], [f"`{c}`" for c in keys]
     for i, w in enumerate(wanted):
         m, position = values.index(w.value), f"((total - 1) * {float(w.p)!r}D)"
-        for side, bound in (("lo", f"floor({position})"), ("hi", f"ceil({position})")):
-            hits.append(f"m = {m} and {bound} >= before and {bound} < before + c")
-            picks.append(f"max(if(m = {m} and {bound} >= upto - n and {bound} < upto, x, null)) as {side}{i}")
-        picks.append(f"max(if(m = {m}, total, null)) as n{i}")
-        position = position.replace("total", f"n{i}")
-        above = f"({position} - floor({position}))"
-        results.append(f"if({above} = 0, lo{i}, lo{i} * (1D - {above}) + hi{i} * {above}) as `{w.name}`")
+        found = []
+        for j, bound in enumerate((f"floor({position})", f"ceil({position})")):
+            bit = 1 << 2 * i + j
+            bits.append(f"if(m = {m} and {bound} >= before and {bound} < before + c, {bit}L, 0L)")
+            for end, n in (
+                ("-infinity", f"before + greatest(0L, total - 1 - 2 * {bound})"),
+                ("NaN", f"total - before - c + greatest(0L, 2 * {bound} - total + 1)"),
+            ):
+                ends.append(f"struct(double('{end}') as x, {n} as n, total, {bit}L as wanted)")
+            mine = f"m = {m} and wanted & {bit}L <> 0"
+            found.append(f"percentile(if({mine}, x, null), 0.5D, if({mine}, n, 0L))")
+        position = position.replace("total", f"max(if(m = {m}, total, null))")
+        above, (low, high) = f"({position} - floor({position}))", found
+        results.append(f"if({above} = 0, {low}, {low} * (1D - {above}) + {high} * {above}) as `{w.name}`")
     for name, value in (counts or {}).items():
-        first = next(i for i, w in enumerate(wanted) if w.value == value)
-        results.append(f"coalesce(n{first}, 0L) as `{name}`")
+        results.append(f"coalesce(max(if(m = {values.index(value)}, total, null)), 0L) as `{name}`")
 
     if not keys:
         df = df.selectExpr("*", "0 as `__all`")
     groups = list(keys) or ["__all"]
+    k = ", ".join(f"`{c}`" for c in groups)
     text = _PLAN.format(
-        k=", ".join(f"`{c}`" for c in groups),
+        k=k,
         hk=", ".join(f"h.`{c}`" for c in groups),
         rows="1L" if weight is None else f"cast(`{weight}` as bigint)",
         entries=", ".join(f"struct({i} as m, cast(`{v}` as double) as x)" for i, v in enumerate(values)),
+        counted=f"select {k}, m, x, sum(w) as n from stacked group by {k}, m, x" if weight is None
+        else f"select {k}, m, x, w as n from stacked",
         slices=" ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values)),
-        hit=" or ".join(f"({h})" for h in hits),
-        same=" and ".join([*(f"h.`{c}` <=> t.`{c}`" for c in groups), "h.m = t.m", "h.s = t.s"]),
-        picks=", ".join(picks),
+        wanted=" | ".join(bits),
+        ends=", ".join(ends),
+        same=" and ".join([*(f"h.`{c}` <=> t.`{c}`" for c in groups), "h.m <=> t.m", "h.s <=> t.s"]),
         results=", ".join(results),
     )
     return df.sparkSession.sql(text, df=df)

@@ -3,6 +3,7 @@
 import random
 
 import duckdb
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -57,7 +58,8 @@ def test_percentiles_equal_duckdb(spark, xs, p):
     [r] = percentiles(df, ["k"], [Pct("q", "x", p)]).collect()
     con = duckdb.connect()
     want = con.execute("select quantile_cont(x, ?) from (select unnest(?::double[]) as x)", [p, xs]).fetchone()[0]
-    assert r.q == want
+    # The last bit of an interpolated value may differ: only one side fuses multiplying and adding.
+    assert r.q == pytest.approx(want, rel=1e-14, abs=1e-14)
 
 
 def test_a_sale_with_a_third_of_all_lines(spark):

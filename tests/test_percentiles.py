@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 
@@ -66,12 +67,28 @@ def test_counts_come_before_shuffles_and_nothing_is_crossed(spark, tmp_path):
     spark.createDataFrame(rows(1, 500), "k string, g int, x double, y double").write.parquet(path)
     plan = percentiles(spark.read.parquet(path), ["k"], WANTED)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    # Every scan is counted per group, slice and value before its first exchange.
+    # Rows are counted per group and value before their first exchange.
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "x#" in line]
     assert scans and len(exchanges) >= len(scans)
 
 
+def shuffles(df):
+    """Exchanges that ran, each counted once however often it is read."""
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(re.findall(r"[+:]- Exchange ", executed))
+
+
+def test_a_call_takes_four_shuffles(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.createDataFrame(rows(1, 500), "k string, g int, x double, y double")
+    frame.write.parquet(path)
+    assert shuffles(percentiles(spark.read.parquet(path), ["k"], WANTED)) <= 4
+    frame.groupBy("k", "x").count().write.parquet(path + "-h")
+    assert shuffles(percentiles(spark.read.parquet(path + "-h"), ["k"], WANTED[:3], weight="count")) <= 3
+
+
 def test_nothing_runs_while_a_query_is_built(spark):
     df = spark.range(5).selectExpr("id as k", "raise_error('computed') as x").selectExpr("k", "cast(x as double) as x")
     percentiles(df, ["k"], [Pct("m", "x")])
