@@ -11,6 +11,11 @@ one lazy plan:
    values around a wanted position is asked for as a median: a count at minus infinity and one at NaN stand for what
    lies below and above its slice, and put the value exactly in the middle. So it is an element, not interpolated yet.
 
+A trailing window over months (``window``) takes the same steps with windows in the place of groups, and no row is copied to
+the windows it belongs to: per slice, a month's count is added from that month on and taken off again when the window
+has passed it, so a running sum gives every window's count as the difference of two prefixes. Only counts of located
+slices then meet the windows that they were located for.
+
 That is four shuffles with the one that counts, and one more where the located slices are too many to broadcast. A hot group spreads over its values and slices; one task gets a slice of
 it, some thousandth of its distinct values. NaN sorts last and has a slice of its own, as every infinity has.
 """
@@ -37,38 +42,60 @@ class Pct:
 
 
 def _slice(width: float | None) -> str:
-    inner = "signum(x) * floor(log1p(abs(x)) * 1024)" if width is None else f"floor(x / {float(width)!r}D)"
-    return f"if(isnan(x), double('infinity'), cast({inner} as double))"
+    """The slice of ``x`` as a whole number, which Spark compares as it is; infinities are the outermost ones."""
+    inner = "cast(signum(x) as bigint) * floor(log1p(abs(x)) * 1024)" if width is None else f"floor(x / {float(width)!r}D)"
+    return f"if(isnan(x), {(1 << 63) - 1}L, {inner})"
 
 
 #: The counts are read twice, for the sums and for the located slices. Both name the same columns (``least`` is there for
 #: that alone) and compare null-safely, which adds no filter, so Spark deals the counts once and reuses the exchange.
 _PLAN = """
 with stacked as (
-  select * from (select {k}, {rows} as w, inline(array({entries})) from {{df}}) where x is not null
+  select * from (select {all}{rows} as w, inline(array({entries})) from {{df}}) where x is not null
 ),
 counted as ({counted}),
 dealt as (
-  select /*+ repartition({k}, m, s) */ * from (select {k}, m, case m {slices} end as s, x, n from counted)
-),
-slices as (
-  select {k}, m, s, sum(n) as c, min(x) as least from dealt group by {k}, m, s
+  select /*+ repartition({k}m, s) */ * from (select {all}m, case m {slices} end as s, x, n from counted)
 ),
+{sums}
 placed as (
-  select {k}, m, s, c, least, sum(c) over (partition by {k}, m) as total,
-         sum(c) over (partition by {k}, m order by s rows unbounded preceding) - c as before
+  select {g}m, s, c, least, sum(c) over (partition by {g}m) as total,
+         sum(c) over (partition by {g}m order by s rows unbounded preceding) - c as before
   from slices
 ),
 located as (
   select * from (select *, {wanted} as wanted from placed) where wanted <> 0 and least is not null
 ),
 held as (
-  select {hk}, h.m, h.x, h.n, t.total, t.wanted
+  select {tg}h.m, h.x, h.n, t.total, t.wanted
   from dealt h join located t on {same}
   union all
-  select {k}, m, inline(filter(array({ends}), e -> e.n > 0 and e.wanted & wanted <> 0)) from located
+  select {g}m, inline(filter(array({ends}), e -> e.n > 0 and e.wanted & wanted <> 0)) from located
 )
-select {results} from held group by {k}"""
+select {results} from held {grouped}"""
+
+_SUMS = """slices as (
+  select {k}m, s, sum(n) as c, min(x) as least from dealt group by {k}m, s
+),"""
+
+#: A count enters in its month and leaves ``months`` later; between two events of a slice the window's count stays.
+_WINDOW_SUMS = """monthly as (
+  select {k}m, s, {month}, sum(n) as c, min(x) as least from dealt group by {k}m, s, {month}
+),
+events as (
+  select {k}m, s, t, sum(e) as e, min(least) as least
+  from (select {k}m, s, least, inline(array(struct({month} as t, c as e), struct(add_months({month}, {months}) as t, -c as e)))
+        from monthly)
+  group by {k}m, s, t
+),
+steps as (
+  select {k}m, s, t, least, sum(e) over (partition by {k}m, s order by t rows unbounded preceding) as c,
+         lead(t) over (partition by {k}m, s order by t) as until
+  from events
+),
+slices as (
+  select {k}explode(sequence(t, add_months(until, -1), interval 1 month)) as {month}, m, s, c, least from steps where c > 0
+),"""
 
 
 def percentiles(
@@ -77,11 +104,15 @@ def percentiles(
     wanted: Sequence[Pct],
     weight: str | None = None,
     counts: Mapping[str, str] | None = None,
+    window: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Keys and one double column per ``wanted``; groups without any non-NULL value are absent.
 
     Without ``keys``, all rows are one group. ``weight`` names a column of row counts when ``df`` is already a
     histogram. ``counts`` adds the number of non-NULL values of a value column under a given name (it is known anyway).
+
+    ``window`` names one of ``keys``, a first day of a month, and a number of months: rows of that many months up to a month
+    are the group of that month, from the first month with rows on until no row is left, months without rows included.
     """
     widths: dict[str, float | None] = {}
     for w in wanted:
@@ -108,21 +139,32 @@ def percentiles(
     for name, value in (counts or {}).items():
         results.append(f"coalesce(max(if(m = {values.index(value)}, total, null)), 0L) as `{name}`")
 
-    if not keys:
-        df = df.selectExpr("*", "0 as `__all`")
-    groups = list(keys) or ["__all"]
-    k = ", ".join(f"`{c}`" for c in groups)
+    month, months = window or (None, 0)
+    own = [c for c in keys if c != month]
+    every = [*own, *([month] if month else [])]
+
+    def listed(columns: Sequence[str], prefix: str = "") -> str:
+        return "".join(f"{prefix}`{c}`, " for c in columns)
+
+    same = [*(f"h.`{c}` <=> t.`{c}`" for c in own), "h.m <=> t.m", "h.s <=> t.s"]
+    if month:
+        same.append(f"coalesce(h.`{month}` between add_months(t.`{month}`, {1 - months}) and t.`{month}`, false)")
     text = _PLAN.format(
-        k=k,
-        hk=", ".join(f"h.`{c}`" for c in groups),
+        k=listed(own),
+        all=listed(every),
+        g=listed(every),
+        tg=listed(every, "t."),
+        # Without keys there is no row for no values.
+        grouped=f"group by {', '.join(f'`{c}`' for c in every)}" if every else "having count(*) > 0",
         rows="1L" if weight is None else f"cast(`{weight}` as bigint)",
         entries=", ".join(f"struct({i} as m, cast(`{v}` as double) as x)" for i, v in enumerate(values)),
-        counted=f"select {k}, m, x, sum(w) as n from stacked group by {k}, m, x" if weight is None
-        else f"select {k}, m, x, w as n from stacked",
+        counted=f"select {listed(every)}m, x, sum(w) as n from stacked group by {listed(every)}m, x" if weight is None
+        else f"select {listed(every)}m, x, w as n from stacked",
         slices=" ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values)),
+        sums=_WINDOW_SUMS.format(k=listed(own), month=f"`{month}`", months=months) if month else _SUMS.format(k=listed(own)),
         wanted=" | ".join(bits),
         ends=", ".join(ends),
-        same=" and ".join([*(f"h.`{c}` <=> t.`{c}`" for c in groups), "h.m <=> t.m", "h.s <=> t.s"]),
+        same=" and ".join(same),
         results=", ".join(results),
     )
     return df.sparkSession.sql(text, df=df)

@@ -18,7 +18,7 @@ from terroir import params as P
 from terroir.functions import expressions as X
 from terroir.operators.joins import join_groups, keep_members, lookup
 from terroir.operators.percentiles import Pct, percentiles
-from terroir.operators.periods import trailing_months, with_prior_year
+from terroir.operators.periods import with_prior_year
 from terroir.params import Contexte, Params
 from terroir.plans.warehouse import PARTITION, Warehouse
 
@@ -147,17 +147,18 @@ def comparaison_annuelle(df: DataFrame, values: Sequence[str], keys: Sequence[st
 def glissant_12_mois(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sales and median price per m² over the 12 months ending in each month that has sales.
 
-    Rows are first counted per month and price, so the twelve-fold copy applies to that histogram.
+    Rows are counted once per month and price; no row is copied to the windows it belongs to.
     """
     keys = ["mois", *by]
     hist = df.groupBy(*keys, "prix_m2").agg(F.count(F.lit(1)).alias("n"))
     present = hist.groupBy(*keys).agg(F.sum("n").alias("nb_ventes"))
     windows = percentiles(
-        trailing_months(hist, "mois"),
+        hist,
         keys,
         [Pct("prix_m2_median_12m", "prix_m2")],
         weight="n",
         counts={"nb_ventes_12m": "prix_m2"},
+        window=("mois", 12),
     )
     return join_groups(present, windows, keys)
 

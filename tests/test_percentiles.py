@@ -131,3 +131,46 @@ def test_row_order_and_partitioning_do_not_matter(spark):
     one = sorted(map(str, percentiles(a, ["k"], WANTED).collect()))
     two = sorted(map(str, percentiles(b, ["k"], WANTED).collect()))
     assert one == two
+
+
+def windows(data, months):
+    """Values of the months up to each month, by key."""
+    out = {}
+    for k, month, x in data:
+        for i in range(months):
+            end = month + i
+            out.setdefault((k, end), []).append(x)
+    return out
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_trailing_windows(spark, hot):
+    """Also where months are missing, and with a group of a third of all rows."""
+    rnd = random.Random(17)
+    data = []
+    for _ in range(1500):
+        key = "hot" if hot and rnd.random() < 0.34 else rnd.choice(["a", "b", None])
+        month = rnd.choice([0, 1, 2, 3, 9, 10, 30, 31]) if key != "b" else rnd.choice([5, 40])
+        data.append((key, month, rnd.choice([round(rnd.uniform(500, 9000), 1), 2500.0, 0.0])))
+    frame = spark.createDataFrame(data, "k string, i int, x double").selectExpr("k", "add_months(date'2020-01-01', i) as mois", "x")
+    wanted = [Pct("m", "x"), Pct("q", "x", 0.9)]
+    got = percentiles(frame, ["mois", "k"], wanted, counts={"n": "x"}, window=("mois", 12)).collect()
+    index = {(r.k, (r.mois.year - 2020) * 12 + r.mois.month - 1): (r.m, r.q, r.n) for r in got}
+    assert index == {key: (brute(v, 0.5), brute(v, 0.9), len(v)) for key, v in windows(data, 12).items()}
+    one = percentiles(frame.drop("k"), ["mois"], wanted[:1], window=("mois", 3)).collect()
+    expected = windows([("all", i, x) for _, i, x in data], 3)
+    assert {(r.mois.year - 2020) * 12 + r.mois.month - 1: r.m for r in one} == {i: brute(v, 0.5) for (_, i), v in expected.items()}
+
+
+def test_windows_copy_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = spark.range(3000).selectExpr("add_months(date'2020-01-01', int(id % 24)) as mois", "id * 0.37D as x", "1L as n")
+    frame.write.parquet(path)
+    windows = percentiles(spark.read.parquet(path), ["mois"], [Pct("m", "x")], weight="n", window=("mois", 12))
+    assert windows.count() == 35
+    assert shuffles(windows) <= 4
+    text = windows._jdf.queryExecution().optimizedPlan().toString()
+    # Months are only spread out after rows have become counts of slices.
+    assert text.count("explode(sequence") >= 1
+    for part in text.split("explode(sequence")[1:]:
+        assert "sum(" in part.split("Relation [")[0]
