@@ -10,7 +10,8 @@ _DEP = "list_extract(['02', '59', '60', '62', '80'], cast({n} % 5 as integer) +
 
 
 def _com(k: str, n: str) -> str:
-    return f"({_DEP.format(n=n)} || lpad(cast(least({k} % 12, {k} % 5) + 1 as varchar), 3, '0'))"
+    rank = f"case when {k} % 7 <> 6 then ({k} // 7) % 2 + 1 else ({k} // 7) % (cast(floor(sqrt({k})) as bigint) + 1) % 997 + 3 end"
+    return f"({_DEP.format(n=n)} || lpad(cast(cast({rank} as integer) as varchar), 3, '0'))"
 
 
 _SCOPE = "('02', '59', '60', '62', '80')"

@@ -182,12 +182,12 @@ def statements() -> dict[str, str]:
         """,
         "fct_ventes",
     )
-    q["q06_classement_prix"] = _classement("prix_m2_min", False, 10)
-    q["q06_classement_hausse"] = _classement("evol_prix_m2_min", False, 10)
-    q["q06_classement_baisse"] = _classement("evol_prix_m2_min", True, 10)
-    q["q06_classement_ventes"] = _classement("nb_ventes_min", False, 10)
-    q["mesures_deux_periodes"] = with_ctes(_periodes(10), "fct_ventes")
-    everywhere = _periodes(10).replace("select code_commune, median", "select median").replace(" group by code_commune", "")
+    q["q06_classement_prix"] = _classement("prix_m2_min", False, 30)
+    q["q06_classement_hausse"] = _classement("evol_prix_m2_min", False, 30)
+    q["q06_classement_baisse"] = _classement("evol_prix_m2_min", True, 30)
+    q["q06_classement_ventes"] = _classement("nb_ventes_min", False, 30)
+    q["mesures_deux_periodes"] = with_ctes(_periodes(30), "fct_ventes")
+    everywhere = _periodes(30).replace("select code_commune, median", "select median").replace(" group by code_commune", "")
     q["mesures_deux_periodes_ensemble"] = with_ctes(everywhere, "fct_ventes")
     q["mesures_ensemble"] = with_ctes(
         "select median(prix_m2) as prix_m2_median, median(prix) as prix_median, count(*) as nb_ventes from fct_ventes", "fct_ventes"
@@ -239,7 +239,7 @@ def statements() -> dict[str, str]:
                {_ACCES.format(x='annees_pour_acheter')} as couleur
         from (select *, 1 + count(*) over (order by annees_pour_acheter desc range between unbounded preceding and current row)
                      - count(*) over (partition by annees_pour_acheter) as rang
-              from ({_ACCESSIBLE}) a where nb_ventes >= 10 and annees_pour_acheter is not null) r
+              from ({_ACCESSIBLE}) a where nb_ventes >= 30 and annees_pour_acheter is not null) r
         where rang <= 10
         """,
         *star,
@@ -289,6 +289,15 @@ def statements() -> dict[str, str]:
         """,
         *star,
     )
+    q["q14_selection_communes"] = with_ctes(
+        """
+        select cast(year(date_vente) as integer) as annee, median(prix_m2) as prix_m2_median, median(prix) as prix_median,
+               count(*) as nb_ventes
+        from fct_ventes where code_commune in ('59001', '62002', '80003') and type_logement in ('Maison', 'Appartement')
+        group by year(date_vente)
+        """,
+        "fct_ventes",
+    )
     q["type_conforme"] = with_ctes(
         """
         select ifnull(v.t, d.t) as type_logement, v.n as nb_ventes, d.n as nb_dpe, p.n as nb_logements

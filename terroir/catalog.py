@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terroir import params as P
 from terroir.functions import expressions as X
 from terroir.operators.groups import most_frequent
 from terroir.operators.joins import keep_members, lookup, not_in
@@ -26,10 +27,6 @@ from terroir.streaming import incremental as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The ranking threshold of the report is 30 sales; 10 keeps rows in the small test tables.
-MIN_CLASSEMENT = 10
-
-
 def _model(name: str) -> Query:
     return lambda spark, sf: warehouse(spark, sf).plan(name).drop("_loaded_at")
 
@@ -228,7 +225,7 @@ def _historique(w: Warehouse) -> DataFrame:
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {name: _model(name) for name in MODELES}
     q |= {
-        "dim_date": _report(_calendrier),
+        "calendrier_activite": _report(_calendrier),
         "q01_cartes": _report(lambda m: R.cartes(m, 2025)),
         "q01_cartes_departement": _report(lambda m: R.cartes(m, 2024, Contexte(departements=("59",), types=("maison",)))),
         "q01_cartes_periode": _report(lambda m: R.cartes(m, None)),
@@ -239,12 +236,12 @@ def queries() -> dict[str, Query]:
         "q04_prix_glissant": _report(R.prix_glissant),
         "q05_ventes_par_annee": _report(R.ventes_par_annee),
         **{
-            f"q06_classement_{c}": _report(lambda m, c=c: R.classement_communes(m, c, minimum=MIN_CLASSEMENT))
+            f"q06_classement_{c}": _report(lambda m, c=c: R.classement_communes(m, c))
             for c in R.CLASSEMENTS
         },
         "q07_accessibilite_cles": _report(R.accessibilite_cles),
         "q08_nuage_accessibilite": _report(R.nuage_accessibilite),
-        "q09_moins_accessibles": _report(lambda m: R.communes_moins_accessibles(m, minimum=MIN_CLASSEMENT)),
+        "q09_moins_accessibles": _report(lambda m: R.communes_moins_accessibles(m)),
         "q10_etiquettes_par_periode": _report(R.etiquettes_par_periode),
         "q11_parts_du_parc": _report(R.parts_du_parc),
         "q12_diagnostics_annee": _report(lambda m: R.diagnostics_annee(m, 2025)),
@@ -252,11 +249,14 @@ def queries() -> dict[str, Query]:
         "q14_selection": _report(
             lambda m: R.selection(m, Contexte((2023, 2024, 2025), ("59", "62"), ("maison",)))
         ),
+        "q14_selection_communes": _report(
+            lambda m: R.selection(m, Contexte(types=("appartement", "maison"), communes=("59001", "62002", "80003")))
+        ),
         "mesures_deux_periodes": _report(
-            lambda m: M.prix_deux_periodes(m, Contexte(), ["code_commune"], MIN_CLASSEMENT)
+            lambda m: M.prix_deux_periodes(m, Contexte(), ["code_commune"], P.MIN_VENTES_CLASSEMENT)
         ),
         "mesures_ensemble": _report(lambda m: M.mesures_ventes(M.ventes(m), [])),
-        "mesures_deux_periodes_ensemble": _report(lambda m: M.prix_deux_periodes(m, Contexte(), [], MIN_CLASSEMENT)),
+        "mesures_deux_periodes_ensemble": _report(lambda m: M.prix_deux_periodes(m, Contexte(), [], P.MIN_VENTES_CLASSEMENT)),
         "type_conforme": _report(_type_conforme),
         "niveaux_geographiques": _report(R.niveaux),
         "cumul_annuel": _report(R.cumul_annuel),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 # Fixed values -- scope and reference lists of the public data sets.
 DEPARTEMENTS = ("02", "59", "60", "62", "80")
@@ -139,3 +139,8 @@ class Contexte:
     annees: tuple[int, ...] | None = None
     departements: tuple[str, ...] | None = None
     types: tuple[str, ...] | None = None
+    communes: tuple[str, ...] | None = None
+
+    def sur(self, annees: tuple[int, ...]) -> Contexte:
+        """The same slicers over other years."""
+        return replace(self, annees=annees)

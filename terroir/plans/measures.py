@@ -20,7 +20,7 @@ from terroir.operators.joins import join_groups, keep_members, lookup
 from terroir.operators.percentiles import Pct, percentiles
 from terroir.operators.periods import with_prior_year
 from terroir.params import Contexte, Params
-from terroir.plans.warehouse import PARTITION, Warehouse
+from terroir.plans.warehouse import PARTITION, TYPE, Warehouse
 
 TOUT = Contexte()
 
@@ -54,13 +54,20 @@ def dans_annees(day: str, annees: Sequence[int]) -> Column:
     return reduce(lambda a, b: a | b, ranges)
 
 
+def type_commun(df: DataFrame, type_: str) -> Column:
+    """The common dwelling type: stored with the facts, where it reaches the Parquet statistics; else computed."""
+    return F.col(TYPE) if TYPE in df.columns else X.type_conforme(type_)
+
+
 def _contexte(df: DataFrame, m: Modele, ctx: Contexte, day: str | None, type_: str) -> DataFrame:
     if ctx.annees is not None and day is not None:
         df = df.filter(dans_annees(day, ctx.annees))
         if PARTITION in df.columns:
             df = df.filter(F.col(PARTITION).isin(*ctx.annees))
     if ctx.types is not None:
-        df = df.filter(X.type_conforme(type_).isin(*[t.lower() for t in ctx.types]))
+        df = df.filter(type_commun(df, type_).isin(*[t.lower() for t in ctx.types]))
+    if ctx.communes is not None:
+        df = df.filter(F.col("code_commune").isin(*ctx.communes))
     if ctx.departements is not None:
         df = keep_members(df, m.communes.filter(X.in_scope("code_departement", ctx.departements)), "code_commune")
     return df
@@ -169,7 +176,7 @@ def prix_deux_periodes(m: Modele, ctx: Contexte, by: Sequence[str], minimum: int
     The year slicer is overridden: both periods are conditional columns over all years.
     """
     debut, fin = m.params.annees_debut, m.params.annees_recentes
-    wide = Contexte((*debut, *fin), ctx.departements, ctx.types)
+    wide = ctx.sur((*debut, *fin))
     df = ventes(m, wide).select(
         *by,
         F.when(F.col("annee").isin(*debut), F.col("prix_m2")).alias("m2_debut"),

@@ -21,7 +21,7 @@ from terroir.plans.measures import Modele
 
 
 def _deux_ans(annee: int, ctx: Contexte) -> Contexte:
-    return Contexte((annee - 1, annee), ctx.departements, ctx.types)
+    return ctx.sur((annee - 1, annee))
 
 
 def _mesures_des_cartes(m: Modele, annee: int, ctx: Contexte) -> DataFrame:
@@ -85,7 +85,7 @@ def cartes(m: Modele, annee: int | None, ctx: Contexte = Contexte()) -> DataFram
 
 def carte_communes(m: Modele, ctx: Contexte = Contexte(), minimum: int = P.MIN_VENTES_CARTE) -> DataFrame:
     """Q2: recent years only, whatever the year slicer; the filter applies after the aggregate."""
-    recent = Contexte(m.params.annees_recentes, ctx.departements, ctx.types)
+    recent = ctx.sur(m.params.annees_recentes)
     by_commune = M.mesures_ventes(M.ventes(m, recent), ["code_commune"]).filter(F.col("nb_ventes") >= minimum)
     low, high = P.BORNES_CARTE
     return lookup(
@@ -169,7 +169,7 @@ def classement_communes(
 
 
 def _recent(m: Modele, ctx: Contexte) -> Contexte:
-    return Contexte(m.params.annees_recentes, ctx.departements, ctx.types)
+    return ctx.sur(m.params.annees_recentes)
 
 
 def accessibilite_cles(m: Modele, ctx: Contexte = Contexte(), minimum: int = P.MIN_VENTES_COMMUNE) -> DataFrame:
@@ -263,8 +263,8 @@ def listes(m: Modele) -> DataFrame:
     def members(df: DataFrame, slicer: str, value) -> DataFrame:
         return df.select(F.lit(slicer).alias("segment"), value.cast("string").alias("valeur")).distinct()
 
-    types = m.ventes.select(X.type_conforme("type_logement").alias("t")).unionByName(
-        m.dpe.select(X.type_conforme("type_logement").alias("t"))
+    types = m.ventes.select(M.type_commun(m.ventes, "type_logement").alias("t")).unionByName(
+        m.dpe.select(M.type_commun(m.dpe, "type_logement").alias("t"))
     )
     return (
         members(complete, "annee", F.col("annee"))
@@ -314,7 +314,7 @@ def niveau_vie_par(m: Modele, by: str) -> DataFrame:
 
 def libelles_ventes(m: Modele, annees: Sequence[int], ctx: Contexte = Contexte()) -> DataFrame:
     """Title and subtitle of the monthly chart: per single year, and over all of them."""
-    v = M.nombre_ventes(M.ventes(m, Contexte(tuple(annees), ctx.departements, ctx.types)), ["annee"])
+    v = M.nombre_ventes(M.ventes(m, ctx.sur(tuple(annees))), ["annee"])
     total = v.agg(F.lit(None).cast("int").alias("annee"), F.sum("nb_ventes").alias("nb_ventes"))
     return v.unionByName(total).select(
         "annee",

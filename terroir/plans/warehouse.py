@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terroir.functions import expressions as X
 from terroir.params import Params
 from terroir.plans import intermediate, marts, staging
 from terroir.sources import adapters, seeds
@@ -25,14 +26,16 @@ AS_OF = dt.date(2026, 6, 30)
 
 # Bounds a file, so that a table read from a few large unsplittable inputs is splittable from here on.
 ROWS_PER_FILE = 1_000_000
-# Storage column of the facts, not part of their published columns.
-PARTITION = "annee_partition"
+# Storage columns of the facts, not part of their published columns: the year, and the dwelling type in the one spelling
+# that all facts share, so that a type slicer compares a stored column.
+PARTITION, TYPE = "annee_partition", "type_conforme"
 
 
 class Warehouse:
     """Lazily built tables over one set of raw sources."""
 
-    PARTITIONED = {"fct_ventes": "date_vente", "fct_dpe_mensuel": "mois"}
+    #: Day and type of the facts, and what spreads a commune that holds much of a year.
+    FAITS = {"fct_ventes": ("date_vente", "type_logement", "id_mutation"), "fct_dpe_mensuel": ("mois", "type_logement", "etiquette_dpe")}
 
     def __init__(
         self,
@@ -63,17 +66,21 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """The written table as its consumers know it."""
-        return self.stored(name).drop(PARTITION)
+        return self.stored(name).drop(PARTITION, TYPE)
 
     def write(self, df: DataFrame, name: str, path: str) -> None:
-        day = self.PARTITIONED.get(name)
-        if day is None:
+        if name not in self.FAITS:
             df.write.option("maxRecordsPerFile", self.rows_per_file).parquet(path)
             return
-        # The rebalance hint splits a heavy year over several files instead of one task per year.
+        # Dealt by ranges of year and commune, so that files and row groups hold few communes each and a commune slicer
+        # skips the others by their statistics. A heavy year or commune goes on over several tasks.
+        day, kind, rest = self.FAITS[name]
+        order = [PARTITION, "code_commune", day, rest]
         (
             df.withColumn(PARTITION, F.year(day))
-            .hint("rebalance", PARTITION)
+            .withColumn(TYPE, X.type_conforme(kind))
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
             .write.option("maxRecordsPerFile", self.rows_per_file)
             .partitionBy(PARTITION)
             .parquet(path)

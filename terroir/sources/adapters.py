@@ -31,8 +31,13 @@ def _dep(n: Column) -> Column:
 
 
 def _commune(k: Column, n: Column) -> Column:
-    rang = (F.least((k % 12).cast("int"), (k % 5).cast("int")) + 1).cast("string")
-    return F.concat(_dep(n), F.lpad(rang, 3, "0"))
+    """Six sevenths of the keys are in two dense communes of a department; the others' communes grow with the keys.
+
+    Of these, key k is in one of the first sqrt(k) communes, so that earlier ones get more keys.
+    """
+    opened = F.floor(F.sqrt(k)) + 1
+    rang = F.when(k % 7 != 6, F.floor(k / 7) % 2 + 1).otherwise((F.floor(k / 7) % opened) % 997 + 3)
+    return F.concat(_dep(n), F.lpad(rang.cast("int").cast("string"), 3, "0"))
 
 
 def dvf_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
