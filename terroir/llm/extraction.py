@@ -3,10 +3,16 @@
 The standard-library parser streams its events. Each block of a page becomes a line with its characters and the tags
 met in it; the ratio of the two is high in prose and low in menus. The ratios, in page order, are smoothed with a
 Gaussian kernel, split into a low and a high cluster (one-dimensional two-means), and the midpoint of the clusters is
-the threshold. A content element (``article``, ``main``) with a line above the threshold is taken as a whole, so that
-its short paragraphs stay; elsewhere single lines above the threshold are, with short lines between them. Elements
-that are never part of an article (menus, headers, footers, forms, adverts, comments, ...) are left out by tag, role
-or class name, but their lines take part in the clustering.
+the threshold.
+
+Lines belong to regions: a content element (``article``, ``main``) with all that is in it, else the innermost grouping
+element (``div``, ``section``, ``body``, ...) around them. A region's weight is the length of its lines above the
+threshold. Content elements are taken if they weigh at least half of what the heaviest other region does; otherwise the
+regions outside of them compete. A region that has a line above the threshold is taken as a whole, so that its short
+first and last paragraphs stay, and so are the lines between two regions taken and a line just above the first.
+Elements that are never part of an article (menus, headers, footers, forms, adverts, comments, ...) are left out by tag,
+role or class name, but their lines take part in the clustering. A class name that only tells of another element
+(``has-sidebar``) leaves nothing out, nor does one of a text within a content element (``share-text``).
 
 Defined results: null, empty or text-free html gives the empty text; a page without any content element still gives
 its best lines; repeated rows are extracted each; broken markup is read as the parser recovers it; ``page_id`` and
@@ -48,6 +54,11 @@ LEFT_OUT_WORDS = frozenset(
     " subscription taboola toc toolbar widget widgets alert complementary".split()
 )
 CONTENT = frozenset({"article", "main"})
+#: Elements whose own lines are a region; others belong to the region around them.
+GROUPING = frozenset("article body center dd details div html main section td th".split())
+#: Words that make a class name tell of another element, and words that end the name of a text.
+MODIFIERS = frozenset("has no not with without".split())
+TEXT_WORDS = frozenset("text body content story copy".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 WORDS = re.compile(r"[a-z]+")
@@ -56,28 +67,36 @@ SIGMA = 1.0
 RADIUS = 2
 
 
+def _names_part(name: str, content: int) -> bool:
+    """Whether a class, id or role is the name of a part around an article."""
+    words = WORDS.findall(name)
+    if LEFT_OUT_WORDS.isdisjoint(words) or not MODIFIERS.isdisjoint(words):
+        return False
+    return not (content and words[-1] in TEXT_WORDS)
+
+
 class Lines(HTMLParser):
-    """Lines of a page: ``[text, tags, left out, content element or 0]`` in page order."""
+    """Lines of a page: ``(text, tags, left out, content element or 0, region)`` in page order."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int]] = []
-        self._open: list[tuple[str, bool, int]] = []  # name, left out, content element
+        self.lines: list[tuple[str, int, bool, int, int]] = []
+        self._open: list[tuple[str, bool, int, int]] = []  # name, left out, content element, region
         self._text: list[str] = []
         self._tags = 0
         self._heading = False
-        self._contents = 0
+        self._contents = self._regions = 0
 
-    def _state(self) -> tuple[bool, int]:
-        return self._open[-1][1:] if self._open else (False, 0)
+    def _state(self) -> tuple[bool, int, int]:
+        return self._open[-1][1:] if self._open else (False, 0, 0)
 
     def end_line(self) -> None:
         text = SPACE.sub(" ", "".join(self._text)).strip()
         if text:
-            out, content = self._state()
+            out, content, region = self._state()
             if out and self._heading and content and all(x[0] == "header" or not x[1] for x in self._open):
                 out = False  # the heading of an article, set in a header of its own
-            self.lines.append((text, self._tags, out, content))
+            self.lines.append((text, self._tags, out, content, region))
             self._tags = 0
         self._text = []
 
@@ -96,20 +115,23 @@ class Lines(HTMLParser):
         elif tag == "tr":
             self._close_to("tr", {"table"})
         if tag in CONTAINERS:
-            out, content = self._state()
+            out, content, region = self._state()
             if tag in CONTENT or any(k == "role" and v in CONTENT for k, v in attrs):
                 if not content:
                     self._contents += 1
                     content = self._contents
-            self._open.append((tag, out or self._left_out(tag, attrs), content))
+            if tag in GROUPING:
+                self._regions += 1
+                region = self._regions
+            self._open.append((tag, out or self._left_out(tag, attrs, content), content, region))
 
-    def _left_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _left_out(self, tag: str, attrs: list[tuple[str, str | None]], content: int) -> bool:
         if tag in LEFT_OUT or tag == "header":
             return True
         if tag in ("html", "body", *CONTENT):
             return False
         for key, value in attrs:
-            if key in ("class", "id", "role") and not LEFT_OUT_WORDS.isdisjoint(WORDS.findall((value or "").lower())):
+            if key in ("class", "id", "role") and any(_names_part(x, content) for x in (value or "").lower().split()):
                 return True
             if key == "hidden" or key == "aria-hidden" and value == "true":
                 return True
@@ -148,9 +170,11 @@ class Lines(HTMLParser):
             self._text.append(data)
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool, int]]:
+def lines_of(html: str) -> list[tuple[str, int, bool, int, int]]:
     """Lines of ``html``; a declaration that the parser refuses is read as text."""
-    while True:
+    for refused in (None, "<![", "<!", "<"):
+        if refused:
+            html = html.replace(refused, refused.replace("<", "&lt;"))
         parser = Lines()
         try:
             parser.feed(html)
@@ -158,7 +182,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool, int]]:
             parser.end_line()
             return parser.lines
         except AssertionError:
-            html = html.replace("<![", "&lt;![")
+            continue
+    return parser.lines
 
 
 def smoothed(values: list[float]) -> list[float]:
@@ -198,23 +223,33 @@ def main_text(html: str) -> str:
     if not lines:
         return ""
     # Ratios are compared on a logarithmic scale: one very long paragraph is no class of its own.
-    ratios = smoothed([math.log1p(len(text) / (1 + tags)) for text, tags, _, _ in lines])
+    ratios = smoothed([math.log1p(len(text) / (1 + tags)) for text, tags, *_ in lines])
     cut = threshold(ratios)
     usable = [i for i, line in enumerate(lines) if not line[2]]
-    contents = {lines[i][3] for i in usable if lines[i][3]}
-    if contents:
-        best = max(contents, key=lambda c: sum(len(lines[i][0]) for i in usable if lines[i][3] == c))
-        chosen = {lines[i][3] for i in usable if ratios[i] >= cut and lines[i][3]} | {best}
-        kept = [i for i in usable if lines[i][3] in chosen]
-    else:
-        high = [i for i in usable if ratios[i] >= cut]
-        if not high:
-            high = usable
-        # A heading just above and short lines between content lines belong to the region.
-        kept = [i for i in usable if high and high[0] - 1 <= i <= high[-1]]
+    high = [i for i in usable if ratios[i] >= cut] or usable
+    weights: dict[tuple[int, int], int] = {}
+    for i in high:
+        region = _region(lines[i])
+        weights[region] = weights.get(region, 0) + len(lines[i][0])
+    inside = sum(w for (content, _), w in weights.items() if content)
+    outside = max([w for (content, _), w in weights.items() if not content], default=0)
+    chosen = {region for region in weights if bool(region[0]) == (inside > 0 and 2 * inside >= outside)}
+    kept = [i for i in usable if _region(lines[i]) in chosen]
+    if not kept:
+        return ""
+    if not next(iter(chosen))[0]:
+        # Short blocks between two regions that are taken belong to the text, and so does a heading just above.
+        taken = [i for i in high if _region(lines[i]) in chosen]
+        first = min(kept[0], taken[0] - 1)
+        kept = sorted({*kept, *(i for i in usable if first <= i <= taken[-1] and not lines[i][3])})
     return "\n".join(lines[i][0] for i in kept)
 
 
+def _region(line: tuple[str, int, bool, int, int]) -> tuple[int, int]:
+    """The content element with all in it, or the grouping element."""
+    return (line[3], 0) if line[3] else (0, line[4])
+
+
 RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 

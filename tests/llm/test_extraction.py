@@ -1,3 +1,6 @@
+import math
+from random import Random
+
 from terroir.llm.extraction import extract_text, main_text, smoothed, threshold
 
 LONG = "A sentence of the article with quite a few words in it, which goes on for a while."
@@ -26,6 +29,59 @@ def test_a_heading_in_the_article_header_stays():
     assert main_text(page) == f"Title\n{LONG}"
 
 
+def test_a_layout_class_drops_no_article():
+    for name in ("page has-sidebar", "no-header", "with-menu article", "layout-without-footer"):
+        assert main_text(f'<div class="{name}"><article><p>{LONG}</p></article></div>') == LONG
+    assert main_text(f'<div class="sidebar"><p>{LONG}</p></div><article><p>{LONG} b</p></article>') == f"{LONG} b"
+
+
+def test_a_text_of_a_listed_name_in_an_article_stays():
+    page = f'<article><p>{LONG}</p><div class="share-text">{LONG} c</div><div class="share-buttons">Share</div></article>'
+    assert main_text(page) == f"{LONG}\n{LONG} c"
+
+
+def test_short_first_and_last_paragraphs_without_an_article():
+    assert main_text(f"<p>Short start.</p><p>{LONG}</p><p>{LONG}</p><p>Short end.</p>") == f"Short start.\n{LONG}\n{LONG}\nShort end."
+    page = f"<body><div><a>Home</a></div><div><p>So.</p><p>{LONG}</p><p>{LONG}</p><p>End.</p></div><div><a>Next</a> <a>Up</a></div></body>"
+    assert main_text(page) == f"So.\n{LONG}\n{LONG}\nEnd."
+
+
+def test_the_ratio_chooses_the_region():
+    """A tiny article beside a long text isn't the page's text; a long one is, whatever stands around it."""
+    assert main_text(f"<body><article>a</article><div><p>{LONG}</p><p>{LONG}</p></div></body>") == f"{LONG}\n{LONG}"
+    page = f"<body><div><p>{LONG}</p></div><article><p>{LONG}</p><p>{LONG}</p><p>b</p></article></body>"
+    assert main_text(page) == f"{LONG}\n{LONG}\nb"
+
+
+def brute_region(blocks):
+    """Regions of (region, text, tags): the plain rule, with sums over all pairs."""
+    logs = [math.log1p(len(t) / (1 + tags)) for _, t, tags in blocks]
+    smooth = []
+    for i in range(len(logs)):
+        near = {j: math.exp(-((i - j) ** 2) / 2) for j in range(len(logs)) if abs(i - j) <= 2}
+        smooth.append(sum(w * logs[j] for j, w in near.items()) / sum(near.values()))
+    cut = threshold(smooth)
+    regions = {r for (r, _, _), v in zip(blocks, smooth, strict=True) if v >= cut}
+    high = [i for i, v in enumerate(smooth) if v >= cut]
+    return [t for i, (r, t, _) in enumerate(blocks) if r in regions or high[0] - 1 <= i <= high[-1]]
+
+
+def test_regions_against_brute_force():
+    random = Random(3)
+    for _ in range(200):
+        blocks, html = [], ""
+        for region in range(random.randint(1, 5)):
+            long = random.random() < 0.5
+            html += "<div>"
+            for k in range(random.randint(1, 5)):
+                text = LONG if long and random.random() < 0.8 else f"w{region} {k}"
+                # The tags since the last line, the one that ends this line included.
+                html += f"<p>{text}</p>"
+                blocks.append((region, text, 2 if k else 4 if blocks else 3))
+            html += "</div>"
+        assert main_text(html) == "\n".join(brute_region(blocks))
+
+
 def test_broken_markup():
     assert main_text("") == "" and main_text("just text") == "just text"
     assert main_text("<article>a<![foo bar]>b") == "a<![foo bar]>b"
