@@ -2,8 +2,10 @@
 
 A URL becomes a set of tokens: the labels of its host, the words of its path without numbers, the names of its query
 parameters. Spark's FP-growth mines the token sets of labelled URLs, each with its label as one more item, for
-frequent sets; rules from tokens to a label are kept by support (a share and a number of URLs) and confidence, and of them those that no shorter
-rule with the same label and at least the same confidence covers. Every rule is indexed under its rarest token. The
+frequent sets; rules from tokens to a label are kept by support (a share and a number of URLs), confidence, lift over the
+label's share among all labelled URLs and the standard errors by which confidence exceeds that share, so that a rule says
+more than the base rate; and of them those that no shorter rule with the same label and at least the same confidence
+covers. Every rule is indexed under its rarest token. The
 distinct token sets of all URLs meet the index by that token; a rule matches if all its tokens are there, and the
 match of highest confidence (then support, then rule text) decides. Without a match a URL is allowed.
 
@@ -69,7 +71,9 @@ def with_tokens(urls: DataFrame) -> DataFrame:
     )
 
 
-def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float, min_urls: int) -> DataFrame:
+def mined_rules(
+    labelled: DataFrame, min_support: float, min_confidence: float, min_urls: int, min_lift: float = 0.0, min_errors: float = 0.0
+) -> DataFrame:
     """``tokens``, ``label``, ``confidence``, ``support``, ``index_token`` from URLs with ``url`` and ``label``."""
     sets = with_tokens(parsed(labelled.filter("label is not null"))).select(
         F.concat("tokens", F.array(F.concat(F.lit("label:"), "label"))).alias("items")
@@ -90,6 +94,11 @@ def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float,
         "support",
     )
     rules = written(rules.filter("not exists(tokens, t -> t like 'label:%')"), "url-rules")
+    if min_lift or min_errors:
+        shares = sets.groupBy(F.expr("substr(element_at(items, -1), 7)").alias("label")).agg((F.count("*") / n).alias("base"))
+        error = F.sqrt(F.col("base") * (1 - F.col("base")) / (F.col("support") * n / F.col("confidence")))
+        better = (F.col("confidence") >= min_lift * F.col("base")) & (F.col("confidence") - F.col("base") >= min_errors * error)
+        rules = written(rules.join(shares, "label").filter(better & (F.col("base") < 1)).drop("base"), "url-better-rules")
     single = model.freqItemsets.filter("size(items) = 1").select(F.expr("items[0]").alias("token"), "freq")
     # A rule is superfluous if leaving out one of its tokens gives a rule of the same label and no less confidence.
     shorter = (
@@ -119,6 +128,8 @@ def judge(
     min_support: float = 0.001,
     min_confidence: float = 0.6,
     min_urls: int = 10,
+    min_lift: float = 1.1,
+    min_errors: float = 2.75,
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``mined`` (tokens of the mined rule that decided) and ``verdict``.
 
@@ -126,7 +137,7 @@ def judge(
     decides (``rule`` names it); without one, the mined rules do.
     """
     pages = with_tokens(parsed(only(urls, page_id="long", url="string")))
-    index = mined_rules(only(labelled, url="string", label="string"), min_support, min_confidence, min_urls)
+    index = mined_rules(only(labelled, url="string", label="string"), min_support, min_confidence, min_urls, min_lift, min_errors)
     index = written(index.withColumnRenamed("tokens", "wanted"), "url-index")
     sets = pages.groupBy("token_key").agg(F.first("tokens").alias("tokens"))
     best = (

@@ -73,5 +73,18 @@ def test_mined_rules_equal_counting(spark):
     assert {r["page_id"]: r["mined"] is None for r in rows}[4]
 
 
+def test_rules_that_restate_the_base_rate_are_dropped(spark):
+    """Three quarters of all hosts' URLs are allowed, one host's are not: only its rule says something."""
+    named = [(f"http://{'abcdefgh'[i % 8] * 3}.com/p/{i}", "block" if i // 8 % 4 == 0 else "allow") for i in range(800)]
+    named += [(f"http://casino.com/p/{i}", "block") for i in range(60)]
+    rules = u.mined_rules(spark.createDataFrame(named, LABELS), 0.001, 0.6, 10, 1.1, 2.75).collect()
+    assert {(tuple(r["tokens"]), r["label"]) for r in rules} == {(("host:casino",), "block")}
+    pages = [(1, "http://casino.com/x"), (2, "http://aaa.com/p/1"), (3, "http://new.info/")]
+    rows = {r["page_id"]: (r["verdict"], r["mined"]) for r in judged(spark, pages, named).collect()}
+    assert rows == {1: ("block", '["host:casino"]'), 2: ("allow", None), 3: ("allow", None)}
+    alike = spark.createDataFrame([("http://a.com/x", "allow")] * 30, LABELS)
+    assert u.mined_rules(alike, 0.001, 0.6, 10, 1.1, 2.75).collect() == []
+
+
 def test_no_pages(spark):
     assert judged(spark, [], [("http://a.com/", "block")]).collect() == []
