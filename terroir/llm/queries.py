@@ -133,7 +133,8 @@ FROM found JOIN sizes ON id = item_id WHERE n_found * 5 >= n * 4
 """
 
 
-#: Every string of 400 bytes is digested; those that occur again are covered, and what is left is joined.
+#: Every string of 400 bytes is digested; those that occur again are covered, and what is left is joined. Of a character
+#: that a removed run cuts, what is left at the run's side isn't in the text.
 REPEATS_SQL = """
 WITH texts AS (
   SELECT doc_id, encode(coalesce(text, '')) AS bytes, hex(bytes) AS h FROM documents
@@ -150,14 +151,18 @@ WITH texts AS (
   FROM (SELECT doc_id, i, sum(opens::int) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked)
   GROUP BY doc_id, run
 ), gaps AS (
-  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS after FROM runs
+  SELECT doc_id, a, b, substr(h, 2 * lag(b, 1, 0) OVER w + 1, 2 * (a - lag(b, 1, 0) OVER w)) AS piece
+  FROM runs JOIN texts USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY a)
 ), cut AS (
   SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
-         string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS head
-  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+         string_agg(piece, '' ORDER BY a) AS head,
+         string_agg(regexp_replace(regexp_replace(piece, '^([89AB][0-9A-F])+', ''),
+           '([C-F][0-9A-F]|[EF][0-9A-F][89AB][0-9A-F]|F[0-9A-F][89AB][0-9A-F][89AB][0-9A-F])$', ''), '' ORDER BY a) AS whole
+  FROM gaps GROUP BY doc_id
 )
 SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::bigint AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256,
+       decode(unhex(coalesce(whole, '') || regexp_replace(substr(h, 2 * coalesce(last, 0) + 1), '^([89AB][0-9A-F])+', ''))) AS text
 FROM texts LEFT JOIN cut USING (doc_id)
 """
 

@@ -417,10 +417,10 @@ def _kept(data: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int,
     return b"".join(kept), runs
 
 
-RESULT_SQL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT_SQL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
 RESULT = pa.schema(
     [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-     ("kept_sha256", pa.string())]
+     ("kept_sha256", pa.string()), ("text", pa.string())]
 )
 
 
@@ -430,13 +430,16 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc, text, spans in zip(*batch.columns, strict=True):
                 data = text.as_buffer().to_pybytes()
                 kept, runs = _kept(data, spans.as_py())
-                yield doc.as_py(), len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()
+                # Characters of which a byte is removed aren't in the text.
+                edges = [0, *(x for run in runs for x in run), len(data)]
+                parts = [data[a:b].decode(errors="ignore") for a, b in zip(edges[::2], edges[1::2], strict=True)]
+                yield doc.as_py(), len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), "".join(parts)
 
-    return record_batches(rows(), RESULT)
+    return record_batches(rows(), RESULT, 500)
 
 
 def removal_report(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` of every document."""
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the kept ``text`` of every document."""
     found = Repeats(docs, length, group)
     return _spanned(found.docs, found.spans(), "doc_id", "text").mapInArrow(_report, RESULT_SQL)
 

@@ -19,7 +19,13 @@ def brute(texts, length):
                 gone[i : i + length] = b"\1" * length
         runs = len([x for x in bytes(gone).split(b"\0") if x])
         kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
-        yield len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()
+        # The text has the characters of which all bytes stay.
+        at, text = 0, ""
+        for c in b.decode():
+            end = at + len(c.encode())
+            text += "" if any(gone[at:end]) else c
+            at = end
+        yield len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest(), text
 
 
 def noise(n):
