@@ -109,28 +109,41 @@ def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
 
-#: Shingles of five words, exact containment of at least four fifths of an item's shingles.
+#: Thai, Lao, Burmese, Khmer, kana and Han.
+DENSE = r"\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}" \
+    r"\x{f900}-\x{faff}\x{20000}-\x{3ffff}"
+
+#: Exact containment of at least four fifths of an item's shingles: of five words, of all its words if they are fewer.
 DECONTAMINATION_SQL = r"""
 WITH texts AS (
-  SELECT 'd' AS side, doc_id AS id, text FROM documents
-  UNION ALL SELECT 'i', item_id, text FROM benchmark
+  SELECT 'd' AS side, doc_id AS id, lower(coalesce(text, '')) AS t FROM documents
+  UNION ALL SELECT 'i', item_id, lower(coalesce(text, '')) FROM benchmark
 ), words AS (
-  SELECT side, id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM texts
+  SELECT side, id, regexp_extract_all(t, '[\p{L}\p{N}_]+') AS w, regexp_matches(t, '[DENSE]') AS has,
+         regexp_extract_all(regexp_replace(t, '([DENSE])', ' \1 ', 'g'), '[\p{L}\p{N}_]+') AS u
+  FROM texts
+), items AS (
+  SELECT id, dense, f, least(len(f), 5) AS n
+  FROM (SELECT id, len(w) < 5 AND has AS dense, CASE WHEN len(w) < 5 AND has THEN u ELSE w END AS f FROM words WHERE side = 'i')
+  WHERE len(f) > 0
+), cut AS (
+  SELECT 'i' AS side, id, dense, n, f FROM items
+  UNION ALL
+  SELECT 'd', id, dense, n, CASE WHEN dense THEN u ELSE w END
+  FROM words JOIN (SELECT DISTINCT dense, n FROM items) k ON has OR NOT dense WHERE side = 'd'
 ), shingles AS (
-  SELECT DISTINCT side, id, unnest(
-    CASE WHEN len(w) = 0 THEN []::varchar[]
-         WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
-  FROM words
+  SELECT DISTINCT side, id, dense, n, unnest(
+    list_transform(range(1, len(f) - n + 2), lambda i: array_to_string(f[i:i + n - 1], ' '))) AS s
+  FROM cut WHERE len(f) >= n
 ), sizes AS (
-  SELECT id, count(*) AS n FROM shingles WHERE side = 'i' GROUP BY id
+  SELECT id, count(*) AS size FROM shingles WHERE side = 'i' GROUP BY id
 ), found AS (
   SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_found
-  FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' GROUP BY 1, 2
+  FROM shingles d JOIN shingles i ON d.s = i.s AND d.n = i.n AND d.dense = i.dense AND d.side = 'd' AND i.side = 'i' GROUP BY 1, 2
 )
-SELECT doc_id, item_id, n AS n_shingles, n_found, n_found / n AS containment
-FROM found JOIN sizes ON id = item_id WHERE n_found * 5 >= n * 4
-"""
+SELECT doc_id, item_id, size AS n_shingles, n_found, n_found / size AS containment
+FROM found JOIN sizes ON id = item_id WHERE n_found * 5 >= size * 4
+""".replace("DENSE", DENSE)
 
 
 #: Every string of 400 bytes is digested; those that occur again are covered, and what is left is joined. Of a character

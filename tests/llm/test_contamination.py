@@ -1,6 +1,9 @@
 import random
 
+import duckdb
+
 from terroir.llm import contamination as c
+from terroir.llm.queries import DECONTAMINATION_SQL
 
 SEED = random.Random(4)
 ITEMS = "item_id long, text string, doc_id string"
@@ -83,3 +86,25 @@ def test_items_under_five_words_are_found_in_long_documents(spark, documents):
     assert got == {(0, 1, 1.0), (1, 2, 1.0), (4, 3, 1.0), (5, 3, 1.0), (5, 4, 1.0), (6, 3, 1.0), (7, 5, 1.0)}
     kept = c.decontaminated(documents(pairs), benchmark, block_chars=5).collect()
     assert sorted(r["doc_id"] for r in kept) == [2, 3, 8, 9, 10]
+
+
+def test_statement_with_short_items(spark, documents):
+    """Items of one to four words, in scripts with and without spaces, beside longer ones."""
+    docs = [
+        (1, "Paris is the capital of France and a large city"), (2, "the answer is forty two"), (3, "forty two"), (4, None),
+        (5, "\u6771\u4eac\u306f\u65e5\u672c\u306e\u9996\u90fd\u3067\u3059 Tokyo"), (6, ""), (7, "capital of"), (8, "one two three four five six"),
+        (9, "\u0e01\u0e02\u0e04 and Paris"), (10, "a b c d e f g h i j k l m n o " * 2000),
+    ]
+    items = [
+        (1, "Paris"), (2, "forty two"), (3, "\u65e5\u672c"), (4, "capital of France"), (5, "one two three four five six seven"),
+        (6, "one two three four five six"), (7, "the answer is forty"), (8, None), (9, "\u0e02"), (10, "b c d e f g"), (11, "!!"),
+    ]
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.execute(f"create table {name} ({key} bigint, text varchar)")
+        con.executemany(f"insert into {name} values (?, ?)", rows)
+    expected = con.execute(DECONTAMINATION_SQL).fetchall()
+    names = [d[0] for d in con.description]
+    found = c.find_contamination(documents(docs), spark.createDataFrame(items, "item_id long, text string"))
+    got = sorted(tuple(r[n] for n in names) for r in found.collect())
+    assert got == sorted(expected) and {i for _, i, *_ in got} >= {1, 2, 3, 4, 6, 7, 9, 10}
