@@ -14,27 +14,46 @@ from terroir.storage import new_path, remove, scratch
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity is within the limit of their language."""
+    """Documents whose perplexity is within the limit of their language.
+
+    Null and empty texts go; a null language is one of its own; null ids are judged but never trusted; repeated rows
+    are judged alike; an empty table, or one without labels, keeps what has a text. Other columns pass through.
+    """
     return quality.kept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of fingerprints linked at four or fewer bits."""
+    """One document of each group of fingerprints linked at four or fewer bits.
+
+    The least id stays (nulls last, ties by text hash); of repeated rows one; null and empty texts are one group, whose
+    first row stays. Texts are fingerprinted whole. Other columns pass through.
+    """
     return simhash.without_near_duplicates(docs, words=4, distance=4)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of over 50 words, or strings of 400 bytes, that occur again."""
+    """Texts without passages of over 50 words, or strings of 400 bytes, that occur again.
+
+    Every row stays, with what is left of its text (maybe nothing) and ``n_chars`` counted anew; null texts stay null;
+    all copies of a passage go, in repeated rows too; rows that share an id keep apart by their texts.
+    """
     return repeats.without_repeats(docs, length=400, words=51)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    Null and empty texts contain none and stay, as every row does where the benchmark is empty; repeated rows go or
+    stay together; a document goes by one item, however long it is.
+    """
     return contamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, with a digest of the text decoded from them."""
+    """Token ids of each text, with a digest of the text decoded from them.
+
+    Null and empty texts have no ids; null ids and repeated rows are encoded each; an empty table gives no rows.
+    """
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
 
