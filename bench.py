@@ -30,6 +30,8 @@ HEADLINE = (
     "mart_logement_commune", "q01_cartes", "q02_carte_communes", "q03_ventes_par_mois", "q04_prix_glissant",
     "q06_classement_prix", "q07_accessibilite_cles", "q09_moins_accessibles", "q10_etiquettes_par_periode",
     "q13_passoires_par_mois", "niveaux_geographiques", "cumul_annuel", "v07_tous_les_controles",
+    # Readers, streams and publication, which did not count in the first rounds.
+    "source_dvf_csv", "source_dpe_json", "st2_dedoublonnage", "st3_flux_journalier", "st4_dernier_courant", "publication",
 )
 
 
