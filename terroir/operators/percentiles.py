@@ -67,8 +67,7 @@ located as (
   select * from (select *, {wanted} as wanted from placed) where wanted <> 0 and least is not null
 ),
 held as (
-  select {tg}h.m, h.x, h.n, t.total, t.wanted
-  from dealt h join located t on {same}
+  {met}
   union all
   select {g}m, inline(filter(array({ends}), e -> e.n > 0 and e.wanted & wanted <> 0)) from located
 )
@@ -78,6 +77,15 @@ _SUMS = """slices as (
   select {k}m, s, sum(n) as c, min(x) as least from dealt group by {k}m, s
 ),"""
 
+#: The sums of a level are those of the finest groups, added up; counts of values are not copied to the levels.
+_LEVEL_SUMS = """finest as (
+  select {k}m, s, sum(n) as c, min(x) as least from dealt group by {k}m, s
+),
+slices as (
+  select {g}m, s, sum(c) as c, min(least) as least
+  from (select m, s, c, least, inline(array({levels})) from finest) group by {g}m, s
+),"""
+
 #: A count enters in its month and leaves ``months`` later; between two events of a slice the window's count stays.
 _WINDOW_SUMS = """monthly as (
   select {k}m, s, {month}, sum(n) as c, min(x) as least from dealt group by {k}m, s, {month}
@@ -105,6 +113,7 @@ def percentiles(
     weight: str | None = None,
     counts: Mapping[str, str] | None = None,
     window: tuple[str, int] | None = None,
+    levels: tuple[str, Mapping[str, Sequence[str]]] | None = None,
 ) -> DataFrame:
     """Keys and one double column per ``wanted``; groups without any non-NULL value are absent.
 
@@ -113,6 +122,9 @@ def percentiles(
 
     ``window`` names one of ``keys``, a first day of a month, and a number of months: rows of that many months up to a month
     are the group of that month, from the first month with rows on until no row is left, months without rows included.
+
+    ``levels`` adds a column of that name before the keys and gives, for each level, the groups of those of the keys that
+    the level names; the other keys are NULL there. Not together with ``window``.
     """
     widths: dict[str, float | None] = {}
     for w in wanted:
@@ -139,32 +151,51 @@ def percentiles(
     for name, value in (counts or {}).items():
         results.append(f"coalesce(max(if(m = {values.index(value)}, total, null)), 0L) as `{name}`")
 
+    if window and levels:
+        raise ValueError("window and levels don't go together")
     month, months = window or (None, 0)
+    level, members = levels or (None, {})
     own = [c for c in keys if c != month]
     every = [*own, *([month] if month else [])]
+    result = [*([level] if level else []), *every]
+    if level:
+        results.insert(0, f"`{level}`")
 
     def listed(columns: Sequence[str], prefix: str = "") -> str:
         return "".join(f"{prefix}`{c}`, " for c in columns)
 
-    same = [*(f"h.`{c}` <=> t.`{c}`" for c in own), "h.m <=> t.m", "h.s <=> t.s"]
-    if month:
-        same.append(f"coalesce(h.`{month}` between add_months(t.`{month}`, {1 - months}) and t.`{month}`, false)")
+    def met(columns: Sequence[str], located: str) -> str:
+        same = [*(f"h.`{c}` <=> t.`{c}`" for c in columns), "h.m <=> t.m", "h.s <=> t.s"]
+        if month:
+            same.append(f"coalesce(h.`{month}` between add_months(t.`{month}`, {1 - months}) and t.`{month}`, false)")
+        return f"select {listed(result, 't.')}h.m, h.x, h.n, t.total, t.wanted from dealt h join {located} t on {' and '.join(same)}"
+
+    if level:
+        rows = [
+            ", ".join([f"'{name}' as `{level}`", *(f"if({str(c in kept).lower()}, `{c}`, null) as `{c}`" for c in own)])
+            for name, kept in members.items()
+        ]
+        sums = _LEVEL_SUMS.format(k=listed(own), g=listed(result), levels=", ".join(f"struct({row})" for row in rows))
+        # Naming the count keeps the condition above the windows, whose exchange all levels then share.
+        joins = [met(kept, f"(select * from located where if(c > 0, `{level}`, null) = '{name}')") for name, kept in members.items()]
+    else:
+        sums = _WINDOW_SUMS.format(k=listed(own), month=f"`{month}`", months=months) if month else _SUMS.format(k=listed(own))
+        joins = [met(own, "located")]
     text = _PLAN.format(
         k=listed(own),
         all=listed(every),
-        g=listed(every),
-        tg=listed(every, "t."),
+        g=listed(result),
         # Without keys there is no row for no values.
-        grouped=f"group by {', '.join(f'`{c}`' for c in every)}" if every else "having count(*) > 0",
+        grouped=f"group by {', '.join(f'`{c}`' for c in result)}" if result else "having count(*) > 0",
         rows="1L" if weight is None else f"cast(`{weight}` as bigint)",
         entries=", ".join(f"struct({i} as m, cast(`{v}` as double) as x)" for i, v in enumerate(values)),
         counted=f"select {listed(every)}m, x, sum(w) as n from stacked group by {listed(every)}m, x" if weight is None
         else f"select {listed(every)}m, x, w as n from stacked",
         slices=" ".join(f"when {i} then {_slice(widths[v])}" for i, v in enumerate(values)),
-        sums=_WINDOW_SUMS.format(k=listed(own), month=f"`{month}`", months=months) if month else _SUMS.format(k=listed(own)),
+        sums=sums,
+        met="\n  union all\n  ".join(joins),
         wanted=" | ".join(bits),
         ends=", ".join(ends),
-        same=" and ".join(same),
         results=", ".join(results),
     )
     return df.sparkSession.sql(text, df=df)

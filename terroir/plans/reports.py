@@ -276,24 +276,20 @@ def listes(m: Modele) -> DataFrame:
 def niveaux(m: Modele, ctx: Contexte = Contexte()) -> DataFrame:
     """Every slicer position of the department and commune levels at once.
 
-    A median is recomputed per level from the price histogram of the communes; that histogram, not the
-    sales, is copied to the three levels.
+    Levels come from one price histogram of the communes: its slices' sums add up to those of the departments and of
+    all, and only the counts around the medians are read for each level.
     """
     hist = M.ventes(m, ctx).groupBy("code_commune", "prix_m2").agg(F.count(F.lit(1)).alias("n"))
-    none = F.lit(None).cast("string")
-    dep, commune = F.col("code_departement"), F.col("code_commune")
-
-    def level(name: str, d, c):
-        return F.struct(F.lit(name).alias("niveau"), d.alias("departement"), c.alias("commune"))
-
-    levels = F.array(level("total", none, none), level("departement", dep, none), level("commune", dep, commune))
-    stacked = lookup(hist, m.communes, "code_commune", ["code_departement"]).select("prix_m2", "n", F.inline(levels))
+    placed = lookup(hist, m.communes, "code_commune", ["code_departement"]).select(
+        F.col("code_departement").alias("departement"), F.col("code_commune").alias("commune"), "prix_m2", "n"
+    )
     return percentiles(
-        stacked,
-        ["niveau", "departement", "commune"],
+        placed,
+        ["departement", "commune"],
         [Pct("prix_m2_median", "prix_m2")],
         weight="n",
         counts={"nb_ventes": "prix_m2"},
+        levels=("niveau", {"total": [], "departement": ["departement"], "commune": ["departement", "commune"]}),
     )
 
 

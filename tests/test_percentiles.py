@@ -174,3 +174,31 @@ def test_windows_copy_no_rows(spark, tmp_path):
     assert text.count("explode(sequence") >= 1
     for part in text.split("explode(sequence")[1:]:
         assert "sum(" in part.split("Relation [")[0]
+
+
+@pytest.mark.parametrize("weight", [None, "n"])
+def test_levels(spark, weight):
+    """All, by key and by both keys at once, with a hot key and NULL keys."""
+    data = rows(21, 2500)
+    frame = spark.createDataFrame(data, "k string, g int, x double, y double")
+    given = frame.groupBy("k", "g", "x").count().withColumnRenamed("count", "n") if weight else frame
+    levels = ("level", {"all": [], "by k": ["k"], "by both": ["k", "g"]})
+    wanted = [Pct("m", "x"), Pct("q", "x", 0.9, 10.0)][:1] if weight else [Pct("m", "x"), Pct("z", "y", 0.25)]
+    got = percentiles(given, ["k", "g"], wanted, weight=weight, counts={"c": "x"}, levels=levels).collect()
+    expected = {}
+    for k, g, x, _ in data:
+        for key in (("all", None, None), ("by k", k, None), ("by both", k, g)):
+            expected.setdefault(key, []).append(x)
+    assert {(r.level, r.k, r.g): (r.m, r.c) for r in got} == {key: (brute(v, 0.5), len(v)) for key, v in expected.items()}
+    with pytest.raises(ValueError, match="together"):
+        percentiles(given, ["k", "g"], wanted, window=("g", 2), levels=levels)
+
+
+def test_levels_copy_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows(4, 900), "k string, g int, x double, y double").groupBy("k", "g", "x").count().write.parquet(path)
+    levels = ("level", {"all": [], "by k": ["k"], "by both": ["k", "g"]})
+    df = percentiles(spark.read.parquet(path), ["k", "g"], [Pct("m", "x")], weight="count", levels=levels)
+    assert shuffles(df) <= 4
+    executed = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert executed.count("FileScan") == 1
