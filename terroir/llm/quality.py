@@ -17,10 +17,10 @@ How texts meet the model without either being sent whole:
    log probabilities are summed over its whole text.
 
 A fifth of the trusted documents, by a hash of their ids, is not counted but calibrates: it shows how surprising clean
-text is to the model that did not see it. A document is kept unless its log perplexity, less a standard error, is above
-the limit of its language. The limit comes from quantiles of the calibrating documents' log perplexities: the
-``QUANTILE`` quantile, plus ``SLACK`` times its distance from the median. A language without calibrating documents
-takes the limit of all of them.
+text is to the model that did not see it. A text is judged by its log perplexity less ``ERRORS`` standard errors, as few
+bytes prove little. The limit of a language is the ``QUANTILE`` quantile of that number over its n calibrating documents,
+moved out by ``WIDEN`` / sqrt(n) of its distance from the median: a quantile of few documents is uncertain, one of many
+is the limit itself. A document above it is not kept. A language without calibrating documents takes the limit of all of them.
 
 Defined results: null or empty text has no perplexity and is not kept; null languages are a language of their own;
 null ids are never trusted; an id is trusted if any of its label rows says so and none says otherwise; rows that
@@ -42,11 +42,13 @@ from pyspark.sql import functions as F
 from terroir.llm.common import only, record_batches
 from terroir.storage import written
 
-ORDER = 4
-QUANTILE, SLACK = 0.99, 1.0
+#: Bytes of a gram. Those of five span short words with what is around them; their number grows with the corpus.
+ORDER = 5
+#: The limit's quantile, and how far it is moved out for the few documents that it is estimated from.
+QUANTILE, WIDEN = 0.96, 4.0
 #: One in so many trusted documents calibrates.
 CALIBRATING = 5
-#: Standard errors by which a text's mean log probability must miss the limit: few bytes prove little.
+#: Standard errors that are taken off a text's mean surprise.
 ERRORS = 1.0
 #: Bytes of text in a bucket, about. A task streams them; what it holds is the bucket's distinct grams.
 BUCKET_BYTES = 16 << 20
@@ -325,32 +327,32 @@ def score_documents(docs: DataFrame, training: DataFrame, marked: DataFrame) ->
     return dealt(_dealt_ids(marked, buckets, "quality-marked"), replies).mapInArrow(_score, SCORES_SQL)
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """``doc_id``, ``lang``, ``text_hash``, ``n_bytes``, ``perplexity``, ``threshold`` and ``keep`` of every row."""
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, errors: float = ERRORS) -> DataFrame:
+    """``doc_id``, ``lang``, ``text_hash``, ``n_bytes``, ``perplexity``, ``judged``, ``threshold`` and ``keep`` of every row.
+
+    ``judged`` is the perplexity less the standard errors, which is what meets the threshold.
+    """
     ids = written(trusted_ids(labels), "quality-ids")
     training, calibrating = ids.filter("not calibrates").select("doc_id"), ids.filter("calibrates").select("doc_id")
     scores = written(score_documents(docs, training, calibrating), "quality-scores")
-
-    def limit(of: str) -> Column:
-        middle, high = (F.percentile_approx("log_perplexity", q, 10_000) for q in (0.5, quantile))
-        return (high + slack * (high - middle)).alias(of)
-
-    calm = scores.filter("marked and log_perplexity is not null")
-    by_lang = calm.groupBy(F.col("lang").alias("of_lang")).agg(limit("own"))
-    overall = calm.agg(limit("overall")).first()["overall"]
+    scores = scores.withColumn("judged", F.col("log_perplexity") - errors * F.col("error"))
+    middle, high = (F.percentile_approx("judged", p, 10_000) for p in (0.5, quantile))
+    limit = high + (high - middle) * WIDEN / F.sqrt(F.count("judged"))
+    calm = scores.filter("marked and judged is not null")
+    by_lang = calm.groupBy(F.col("lang").alias("of_lang")).agg(limit.alias("own"))
+    overall = calm.agg(limit).first()[0]
     joined = scores.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left")
     top = F.coalesce("own", F.lit(overall).cast("double"))
-    surely = F.col("log_perplexity") - ERRORS * F.col("error")
-    keep = F.col("log_perplexity").isNotNull() & F.coalesce(surely <= top, F.lit(True))
+    keep = F.col("judged").isNotNull() & F.coalesce(F.col("judged") <= top, F.lit(True))
     return joined.select(
         "doc_id", "lang", "text_hash", "n_bytes", F.exp("log_perplexity").alias("perplexity"),
-        F.exp(top).alias("threshold"), keep.alias("keep"),
+        F.exp("judged").alias("judged"), F.exp(top).alias("threshold"), keep.alias("keep"),
     )
 
 
-def kept(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def kept(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, errors: float = ERRORS) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    good = classify(docs, labels, quantile, slack).filter("keep").select("doc_id", "text_hash").distinct().alias("k")
+    good = classify(docs, labels, quantile, errors).filter("keep").select("doc_id", "text_hash").distinct().alias("k")
     text = F.coalesce(F.col("d.text"), F.lit(""))
     same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.xxhash64(text) == F.col("k.text_hash"))
     return docs.alias("d").join(good, same, "left_semi")

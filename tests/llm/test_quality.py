@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from terroir.llm import quality as q
@@ -101,31 +102,43 @@ def test_no_labels_and_no_documents(spark, documents):
     assert q.classify(documents([]), none).collect() == []
 
 
-def test_held_out_junk_is_rejected_and_prose_kept(spark, documents):
-    clean = [prose(60) for _ in range(120)]
-    junk = ["".join(SEED.choice("#$%&!XYZ|") for _ in range(200)) for _ in range(30)]
-    docs = documents(clean + junk)
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(80)], LABELS)
-    rows = {r["doc_id"]: r["keep"] for r in q.classify(docs, labels).collect()}
-    assert all(rows[i] for i in range(120)) and not any(rows[i] for i in range(120, 150))
-    kept = q.kept(docs, labels)
-    assert kept.columns == docs.columns and kept.count() == 120
-
-
-def test_no_labels_and_no_documents(spark, documents):
-    none = spark.createDataFrame([], LABELS)
-    rows = q.classify(documents(["a text", None]), none).collect()
-    assert {(r["doc_id"], r["keep"]) for r in rows} == {(0, True), (1, False)}
-    assert abs(rows[0]["perplexity"] or rows[1]["perplexity"]) - 256 < 1e-6
-    assert q.classify(documents([]), none).collect() == []
-
-
 def test_null_language_has_its_own_limit(spark, documents):
     docs = documents([prose(30) for _ in range(150)]).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, None).otherwise("en"))
     rows = q.classify(docs, spark.createDataFrame([(i, 1, 0) for i in range(30)], LABELS)).collect()
     assert len(rows) == 150 and len({r["threshold"] for r in rows}) == 2
 
 
+def test_tables_grow_with_the_corpus(spark):
+    """Ten times the documents have more than half as many distinct grams again."""
+    sizes = []
+    for sf in ("sf0.01", "sf0.1"):
+        found = np.empty(0, np.int64)
+        texts = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("text").toArrow().column("text").to_pylist()
+        for i in range(0, len(texts), 500):
+            found = np.unique(np.concatenate([found, *(q.grams((t or "").encode()) for t in texts[i : i + 500])]))
+        sizes.append(len(found))
+    assert sizes[1] > 1.5 * sizes[0]
+
+
+def test_very_long_and_repeated_documents(spark, documents):
+    clean = [prose(60) for _ in range(60)]
+    docs = documents([*enumerate(clean), (100, prose(60_000)), (101, clean[3]), (101, clean[3])])
+    rows = q.classify(docs, spark.createDataFrame([(i, 1, 0) for i in range(60)], LABELS)).collect()
+    assert len(rows) == 63 and {r["keep"] for r in rows if r["doc_id"] >= 100} == {True}
+
+
+def test_held_out_labels_of_the_larger_tables(spark):
+    """Three quarters of the labels trained and calibrated, the last one judged."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = q.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels.filter("doc_id % 4 < 3")).collect()
+    keep = {r["doc_id"]: r["keep"] for r in rows}
+    held = labels.filter("doc_id % 4 = 3").collect()
+    clean = [keep[r["doc_id"]] for r in held if r["quality"] == 1 and r["toxic"] == 0]
+    junk = [keep[r["doc_id"]] for r in held if r["quality"] == 0]
+    assert sum(clean) >= 0.98 * len(clean) and sum(junk) <= 0.08 * len(junk)
+
+
 def test_held_out_accuracy(spark):
     """Trained on half of the labels, judged on the other half."""
     sf = "/root/testdata/sf0.01"
