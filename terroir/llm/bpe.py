@@ -12,11 +12,12 @@ third, … of a run of overlapping ones, up to the first where the new token and
 that pair would be taken next, and before it the leftmost place again and again.
 
 Decoding joins a batch's (document, position, id) rows with the token table and concatenates the tokens in order of
-position.
+position. A token is stored as text with a character for each of its bytes.
 
 Memory: a batch is cut into groups of texts of about four million characters (a longer text is a group of its own),
 words into chunks of bounded bytes. A dictionary of bounded size keeps the ids of recent pieces of text, so that a
-word is contracted once per worker and not once per occurrence.
+word is contracted once per worker and not once per occurrence. It outlives a task, for the next one of the stage, and is
+given back when the worker has had no task for some seconds.
 
 Defined results: a null or empty text has no ids and decodes to empty bytes; null ``doc_id`` passes through; repeated
 rows are encoded each; other columns of the input are not read.
@@ -26,7 +27,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import threading
+import time
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import duckdb
 import numpy as np
@@ -43,6 +47,8 @@ WHITE = r"\t-\r \x85\xa0  -     　"
 #: Bytes of the words contracted by one query, and the sum of their squares: twice the rows that its recursion keeps.
 CHUNK_BYTES = 400_000
 CHUNK_SQUARES = 3_000_000
+#: Seconds without a task after which a worker forgets its dictionaries.
+IDLE_SECONDS = 4
 #: Longer words are contracted by a loop of statements.
 LONG_BYTES = 1_500
 
@@ -102,7 +108,7 @@ where g.gone is null
 """
 
 DECODE = """
-select d, string_agg(token, '' order by pos) as hex
+select d, string_agg(token, '' order by pos) as bytes
 from (select ids.d, ids.pos, vocabulary.token from ids join vocabulary using (id))
 group by d
 """
@@ -134,21 +140,38 @@ class Bpe:
         self._db.execute("create table merges as select * from m")
         # Pairs that make a token of lower rank than one of theirs.
         self._db.execute("create table lowering as select * from merges where rank < greatest(left_id, right_id)")
-        names = pa.table({"id": pa.array([r for _, r in tokens], pa.int64()), "token": [t.hex() for t, _ in tokens]})
+        names = pa.table({"id": pa.array([r for _, r in tokens], pa.int64()), "token": [t.decode("latin-1") for t, _ in tokens]})
         self._db.register("v", names)
         self._db.execute("create table vocabulary as select * from v")
         self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self._words: dict[str, bytes] = {}
-        self._encodings = Encodings(self._pieces)
+        self._encodings = Encodings(self._pieces, kept=KEPT + KEPT // 2, unit=4)
+        self._lock, self._users, self._last_use = threading.Lock(), 0, 0.0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         return [np.frombuffer(x, "<u4") for x in self._encodings.of_many(texts)]
 
-    def forget(self) -> None:
-        """Give the dictionaries' memory back; later stages run in the same worker."""
-        self._words = {}
-        self._encodings.forget()
+    @contextmanager
+    def in_use(self) -> Iterator[None]:
+        """A task's use; some seconds after the last one the dictionaries' memory is given back."""
+        with self._lock:
+            self._users += 1
+        try:
+            yield
+        finally:
+            with self._lock:
+                self._users -= 1
+                self._last_use = last = time.monotonic()
+            timer = threading.Timer(IDLE_SECONDS, self._forget_since, [last])
+            timer.daemon = True
+            timer.start()
+
+    def _forget_since(self, last: float) -> None:
+        with self._lock:
+            if not self._users and self._last_use == last:
+                self._words = {}
+                self._encodings.forget()
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
         split = [self._split(text) for text in texts]
@@ -224,7 +247,7 @@ class Bpe:
         self._db.register("ids", pa.table(rows))
         found = dict(self._db.execute(DECODE).fetchall())
         self._db.unregister("ids")
-        return [bytes.fromhex(found.get(d, "")) for d in range(len(ids))]
+        return [found.get(d, "").encode("latin-1") for d in range(len(ids))]
 
 
 _OPEN: dict[tuple[str, str], Bpe] = {}
@@ -264,8 +287,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep_ids: bool =
                             hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest(),
                         )
 
-        yield from record_batches(rows(), RESULT, 500)
-        bpe.forget()
+        with bpe.in_use():
+            yield from record_batches(rows(), RESULT, 500)
 
     schema = "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return only(docs, doc_id="long", text="string").mapInArrow(run, schema)

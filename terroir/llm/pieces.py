@@ -10,6 +10,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Entries after which a dictionary keeps only those in use: some 100 MB with their encodings.
 KEPT = 500_000
 
@@ -33,35 +37,61 @@ def retained(known: dict[str, bytes], needed: set[str]) -> dict[str, bytes]:
 class Encodings:
     """Encodings of texts as bytes, by way of the encodings of their distinct pieces.
 
-    ``encode`` gives the encodings of many pieces at once. A first piece is looked up with a leading mark, since it
-    lacks the space of the others.
+    ``encode`` gives the encodings of many pieces at once; so does ``encode_joined``, if given, for pieces that start
+    with a space and a visible character, one after another. A first piece is looked up with a leading mark, since it
+    lacks the space of the others. ``kept`` bounds the dictionary, by default ``KEPT``; ``unit`` is the bytes of an id.
     """
 
     FIRST = "\x00first\x00"
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self._encode = encode
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list[bytes]],
+        encode_joined: Callable[[list[str]], list[bytes]] | None = None,
+        kept: int | None = None,
+        unit: int = 1,
+    ):
+        self._encode, self._encode_joined, self._kept, self._unit = encode, encode_joined or encode, kept, unit
         self._known: dict[str, bytes] = {}
 
-    def of(self, text: str) -> bytes:
-        if not text:
-            return b""
-        parts = pieces(text)
-        parts[0] = self.FIRST + parts[0]
-        try:
-            return b"".join(map(self._known.__getitem__, parts))
-        except KeyError:
-            return self.of_many([text])[0]
-
     def of_many(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            parts = pieces(text)
-            parts[0] = self.FIRST + parts[0]
-            split.append(parts)
-        needed = set().union(*split)
+        """The encodings of texts. Arrow splits them and numbers their pieces, numpy puts the encodings together."""
+        plain = [i for i, text in enumerate(texts) if text and not _LATE_SPACE.search(text)]
+        split = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
+        others = [i for i, text in enumerate(texts) if text and _LATE_SPACE.search(text)]
+        lists = [_CUT.split(texts[i]) for i in others]
+        rest = pa.array([p for parts in lists for p in parts], pa.large_string())
+        ends = np.cumsum([*np.diff(split.offsets.to_numpy()), *map(len, lists)]).astype(np.int64)
+        if not len(ends):
+            return [b""] * len(texts)
+        numbered = pa.concat_arrays([split.values, rest]).dictionary_encode()
+        number, words = numbered.indices.to_numpy().astype(np.int64), numbered.dictionary
+        starts = np.r_[0, ends[:-1]]
+        # First pieces have numbers after those of all words.
+        firsts = [self.FIRST + words[i].as_py() for i in number[starts].tolist()]
+        distinct = {p: len(words) + k for k, p in enumerate(dict.fromkeys(firsts))}
+        number[starts] = [distinct[p] for p in firsts]
+        used = np.zeros(len(words), bool)
+        used[number[number < len(words)]] = True
+        keys = [*words.filter(pa.array(used)).to_pylist(), *distinct]
+        place = np.r_[np.cumsum(used) - 1, int(used.sum()) + np.arange(len(distinct))]
+        self._know(set(keys))
+        encoded = list(map(self._known.__getitem__, keys))
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // self._unit
+        data = np.frombuffer(b"".join(encoded), f"u{self._unit}")
+        number = place[number]
+        lengths = sizes[number]
+        upto = np.cumsum(lengths)
+        shift = (np.cumsum(sizes) - sizes)[number] - (upto - lengths)
+        whole = data[np.repeat(shift, lengths) + np.arange(upto[-1])]
+        stops = upto[ends - 1].tolist()
+        made = dict(zip([*plain, *others], zip([0, *stops[:-1]], stops, strict=True), strict=True))
+        return [whole[slice(*made[i])].tobytes() if i in made else b"" for i in range(len(texts))]
+
+    def _know(self, needed: set[str]) -> None:
+        """Learn the pieces of ``needed`` that aren't in the dictionary."""
         new = needed.difference(self._known)
-        if len(new) + len(self._known) > KEPT:
+        if len(new) + len(self._known) > (self._kept or KEPT):
             self._known = retained(self._known, needed)
         # A word and the mark at its end are encoded apart: the word is often known already.
         marked = [p for p in new if p[-1:] in MARKS and p[-2:-1].isalpha()]
@@ -70,18 +100,20 @@ class Encodings:
         self._learn(list(plain.difference(self._known)))
         known = self._known
         known.update([(p, known[p[:-1]] + known[self.FIRST + p[-1]]) for p in marked])
-        get = self._known.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
 
     def forget(self) -> None:
         self._known = {}
 
     def _learn(self, new: list[str]) -> None:
         mark = len(self.FIRST)
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            texts = [p[mark:] if p.startswith(self.FIRST) else " " + p for p in part]
-            self._known.update(zip(part, self._encode(texts), strict=True))
+        firsts = [p for p in new if p.startswith(self.FIRST)]
+        for i in range(0, len(firsts), 20_000):
+            part = firsts[i : i + 20_000]
+            self._known.update(zip(part, self._encode([p[mark:] for p in part]), strict=True))
+        others = [p for p in new if not p.startswith(self.FIRST)] if firsts else new
+        for i in range(0, len(others), 20_000):
+            part = others[i : i + 20_000]
+            self._known.update(zip(part, self._encode_joined([" " + p for p in part]), strict=True))
 
 
 def grouped(texts: list[str], characters: int = 4_000_000):
