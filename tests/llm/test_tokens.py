@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import json
 import os
 import random
 import zlib
@@ -90,7 +91,6 @@ def test_damage_is_found(tmp_path, at):
 
 def test_records_round_trip(spark, documents, tmp_path):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     pairs = [(SEED.randint(-50, 10_000), t) for t in texts()] + [(None, "no id"), (-99, None), (7, "twice"), (7, "twice")]
     ordered = sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, p[1] is not None, (p[1] or "").encode()))
     index = records.write_records(documents(pairs), JSON, 2, f"file://{tmp_path}/r")
@@ -99,18 +99,48 @@ def test_records_round_trip(spark, documents, tmp_path):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
         expected.append((doc, start, ids, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    rows = sorted(map(tuple, records.read_records(spark, index, 2).collect()), key=lambda r: r[1])
+    rows = sorted(map(tuple, records.read_records(spark, index).collect()), key=lambda r: r[1])
     assert [r[1:] for r in rows] == [e[1:] for e in expected]
     assert sorted(map(str, rows)) == sorted(map(str, expected))
     # Any order of the index reads any order of records.
     shuffled = f"{tmp_path}/shuffled"
     spark.read.parquet(index).orderBy(F.rand(1)).write.parquet(shuffled)
-    assert sorted(map(tuple, records.read_records(spark, shuffled, 2).collect()), key=lambda r: r[1]) == rows
+    assert sorted(map(tuple, records.read_records(spark, shuffled).collect()), key=lambda r: r[1]) == rows
     # The files hold the frames one after the other.
     stored = sum(os.path.getsize(f"{tmp_path}/r/records/{f}") for f in os.listdir(f"{tmp_path}/r/records") if f.endswith(".rec"))
     assert stored == 2 * start + 16 * len(pairs)
 
 
+def test_end_marks_in_a_text_are_what_the_library_makes_of_them():
+    given = ["a <|endoftext|> b", "x  <|endoftext|>", "<|endoftext|>", "a<|endoftext|>b c", "no mark", "", " <|endoftext", "\n\n a"]
+    plain = Tokenizer.from_file(JSON)
+    ids = [list(np.frombuffer(x, "<u2")) for x in records.tokens(JSON).encode_many(given)]
+    assert ids == [plain.encode(t, add_special_tokens=False).ids for t in given]
+    assert ids[0] == [64, 220, 50256, 275]
+
+
+def test_pieces_encoded_in_one_go(monkeypatch):
+    given = texts() + ["".join(SEED.choice("ab é\n.,!?1 ") for _ in range(3000)) for _ in range(20)]
+    plain = Tokenizer.from_file(JSON)
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in given]
+    assert [list(np.frombuffer(x, "<u2")) for x in records.Tokens(JSON).encode_many(given)] == expected
+    monkeypatch.setattr(records, "WORDS", 3)
+    small = records.Tokens(JSON)
+    for t, ids in zip(given, expected, strict=True):
+        assert list(np.frombuffer(small.encode_many([t])[0], "<u2")) == ids
+
+
+def test_ids_over_two_bytes_are_read_as_written(documents, tmp_path):
+    model = json.loads(open(JSON, encoding="utf-8").read())
+    model["model"]["vocab"]["a"] = 70_000
+    path = tmp_path / "wide.json"
+    path.write_text(json.dumps(model), encoding="utf-8")
+    rows = records.token_records(documents([(1, "a b"), (2, "a"), (3, None)]), str(path), 2).collect()
+    plain = Tokenizer.from_file(str(path))
+    expected = {i: [*plain.encode(t, add_special_tokens=False).ids, 2] for i, t in ((1, "a b"), (2, "a"), (3, ""))}
+    assert {r.doc_id: r.ids for r in rows} == expected and expected[2][0] == 70_000
+
+
 def test_no_documents(documents):
     assert records.token_records(documents([]), JSON, 2).collect() == []
 
