@@ -55,7 +55,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no ids; null ids and repeated rows are encoded each; an empty table gives no rows.
     """
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    # The other stages' workers are still there: a smaller dictionary than that of the stage alone.
+    return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, kept=100_000)
 
 
 STAGES = [

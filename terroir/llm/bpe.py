@@ -123,8 +123,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Bpe:
     """Encoder and decoder over one rank file. ``pattern`` cuts a text into words that merge separately."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, kept: int | None = None):
         ranks = read_ranks(path)
+        self._kept = kept or KEPT
         self._split = regex.compile(pattern.replace(r"[^\s", "[^" + WHITE).replace(r"\s", f"[{WHITE}]").replace(
             r"(?!\S)", f"(?![^{WHITE}])")).findall
         self._db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
@@ -145,7 +146,7 @@ class Bpe:
         self._db.execute("create table vocabulary as select * from v")
         self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self._words: dict[str, bytes] = {}
-        self._encodings = Encodings(self._pieces, kept=KEPT + KEPT // 2, unit=4)
+        self._encodings = Encodings(self._pieces, kept=self._kept + self._kept // 2, unit=4)
         self._lock, self._users, self._last_use = threading.Lock(), 0, 0.0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -176,7 +177,7 @@ class Bpe:
     def _pieces(self, texts: list[str]) -> list[bytes]:
         split = [self._split(text) for text in texts]
         words = set().union(*split)
-        if len(self._words) > KEPT:
+        if len(self._words) > self._kept:
             self._words = retained(self._words, words)
         new = list(words - self._words.keys())
         self._words.update(zip(new, self.contract([w.encode() for w in new]), strict=True))
@@ -250,14 +251,14 @@ class Bpe:
         return [found.get(d, "").encode("latin-1") for d in range(len(ids))]
 
 
-_OPEN: dict[tuple[str, str], Bpe] = {}
+_OPEN: dict[tuple[str, str, int | None], Bpe] = {}
 
 
-def codec(path: str, pattern: str) -> Bpe:
+def codec(path: str, pattern: str, kept: int | None = None) -> Bpe:
     """The worker's codec of a rank file; its tables are made once."""
-    if (path, pattern) not in _OPEN:
-        _OPEN[path, pattern] = Bpe(path, pattern)
-    return _OPEN[path, pattern]
+    if (path, pattern, kept) not in _OPEN:
+        _OPEN[path, pattern, kept] = Bpe(path, pattern, kept)
+    return _OPEN[path, pattern, kept]
 
 
 RESULT = pa.schema(
@@ -266,15 +267,15 @@ RESULT = pa.schema(
 )
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, keep_ids: bool = True) -> DataFrame:
-    """Encode and decode every text of ``docs`` (doc_id, text).
+def encode_documents(docs: DataFrame, path: str, pattern: str, keep_ids: bool = True, kept: int | None = None) -> DataFrame:
+    """Encode and decode every text of ``docs`` (doc_id, text). ``kept`` bounds the words that a worker remembers.
 
     Returns ``doc_id``, ``ids`` (null unless ``keep_ids``), ``n_tokens``, ``ids_sha256`` of the ids as little-endian
     unsigned 32-bit integers and ``decoded_sha256`` of the bytes decoded from the ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(path, pattern)
+        bpe = codec(path, pattern, kept)
 
         def rows():
             for batch in batches:
