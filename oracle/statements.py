@@ -24,7 +24,7 @@ MODEL_CTE = {
 
 def statements() -> dict[str, str]:
     out = {name: with_ctes(f"select * from {cte}", cte) for name, cte in MODEL_CTE.items()}
-    out["calendrier_activite"] = with_ctes(
+    out["dim_date"] = out["calendrier_activite"] = with_ctes(
         """
         select j.*, v.n as nb_ventes, d.n as nb_dpe
         from dim_date j
