@@ -1,11 +1,14 @@
 """Queries over small tables of the test's own: what they build of the raw sources, and how."""
 
 import datetime as dt
+import pathlib
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from terroir import catalog
+from terroir.plans import warehouse as W
 
 
 @pytest.fixture(scope="module")
@@ -44,3 +47,25 @@ def test_the_calendar_holds_what_its_days_had(spark, own):
     assert len(rows) == 2191 and {r.date for r in rows} >= {dt.date(2021, 1, 1), dt.date(2026, 12, 31)}
     assert sum(r.nb_ventes or 0 for r in rows) == q["fct_ventes"](spark, own).count() > 0
     assert sum(r.nb_dpe or 0 for r in rows) == q["fct_dpe_mensuel"](spark, own).agg(F.sum("nb_dpe")).first()[0] > 0
+
+
+@pytest.fixture
+def fresh(monkeypatch):
+    """No warehouse of this application is open."""
+    monkeypatch.setattr(W, "_OPEN", {})
+
+
+def test_a_query_derives_only_the_sources_it_reads(spark, own, fresh):
+    q = catalog.queries()
+    opened = W.warehouse(spark, own)
+    root = pathlib.Path(opened.root).parent / "raw"
+    shutil.rmtree(root, ignore_errors=True)
+    assert q["fct_dpe_mensuel"](spark, own).count() > 0
+    assert [p.name for p in root.iterdir()] == ["dpe_logements"]
+    assert q["chargement_brut_dpe"](spark, own).count() == 303
+    assert [p.name for p in pathlib.Path(opened.files("dpe_logements")).iterdir()] == ["dpe"]
+    # A later query adds the sources it reads, and what is there stays as it is.
+    loaded = {r.nom_table: r.nb_lignes for r in q["chargement_brut"](spark, own).collect()}
+    assert {p.name for p in pathlib.Path(opened.files()).iterdir()} == {"dpe", "dvf", "insee"}
+    assert loaded == {n: opened.table(n).count() for n in opened.raw}
+    assert loaded["dvf_mutations"] == 500 and loaded["dpe_logements"] == 303 and opened.table("dpe_logements").inputFiles()
