@@ -5,10 +5,13 @@ import pathlib
 import shutil
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from terroir import catalog
 from terroir.plans import warehouse as W
+from terroir.sources import adapters
+from terroir.sources import landing as L
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +72,19 @@ def test_a_query_derives_only_the_sources_it_reads(spark, own, fresh):
     assert {p.name for p in pathlib.Path(opened.files()).iterdir()} == {"dpe", "dvf", "insee"}
     assert loaded == {n: opened.table(n).count() for n in opened.raw}
     assert loaded["dvf_mutations"] == 500 and loaded["dpe_logements"] == 303 and opened.table("dpe_logements").inputFiles()
+
+
+def test_sales_are_written_by_year_without_a_sort(spark, own, fresh, tmp_path, monkeypatch):
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, *a: (seen.append(int(spark.conf.get(key))), write(self, *a))[1])
+    before, raw = spark.conf.get(key), W.warehouse(spark, own).table("dvf_mutations")
+    adapters.write_files({"dvf_mutations": raw}, str(tmp_path))
+    years = sorted(p.name for p in (tmp_path / "dvf").iterdir() if p.is_dir())
+    assert years == [f"annee={y}" for y in range(2021, 2026)]
+    assert seen and min(seen) > len(years) and spark.conf.get(key) == before
+    read = L.read_dvf(spark, str(tmp_path))
+    assert read.filter(F.col("_annee_fichier") != F.substring("date_mutation", 1, 4)).isEmpty()
+    columns = [c for c in raw.columns if c != "_loaded_at"]
+    want = raw.select(*[F.nullif(c, F.lit("")).alias(c) for c in columns])
+    assert read.count() == 500 and want.exceptAll(read.select(columns)).isEmpty()
