@@ -88,3 +88,13 @@ def test_sales_are_written_by_year_without_a_sort(spark, own, fresh, tmp_path, m
     columns = [c for c in raw.columns if c != "_loaded_at"]
     want = raw.select(*[F.nullif(c, F.lit("")).alias(c) for c in columns])
     assert read.count() == 500 and want.exceptAll(read.select(columns)).isEmpty()
+
+
+def test_lines_are_shuffled_for_their_joins_only(spark, own):
+    own_session = spark.newSession()
+    own_session.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    sales = adapters.dvf_raw(own_session, own)._jdf.queryExecution().executedPlan().toString()
+    diagnostics = adapters.dpe_raw(own_session, own)._jdf.queryExecution().executedPlan().toString()
+    # Both sides of three joins; before, lines went through four exchanges and one by round robin.
+    assert sales.count("Exchange hashpartitioning") == 6 and sales.count("Exchange") == 6
+    assert "Exchange" not in diagnostics
