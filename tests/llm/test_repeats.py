@@ -99,6 +99,16 @@ def test_texts_without_repeats(documents):
     assert rows[2]["text"] == "z" and rows[3]["text"] is None and rows[None]["text"] == "é"
 
 
+def test_a_text_of_rounds_is_few_rows(documents):
+    texts = ["spam " * 4000, "one two three " * 900 + "end", "own " + "spam " * 50, "x" * 3000, noise(90)]
+    found = r.Repeats(documents(texts), 60)
+    assert found.repeated.count() < 20
+    assert found.repeated.selectExpr(f"{r.COUNT_SQL} as n").first()["n"] > 4000
+    expected = Counter((i, *x) for i, x in enumerate(brute([t.encode() for t in texts], 60)))
+    assert Counter(map(tuple, r.removal_report(documents(texts), 60).collect())) == expected
+    assert r.without_repeats(documents(texts), 400, words=51).filter("doc_id < 2").agg({"n_chars": "sum"}).first()[0] < 100
+
+
 def test_empty_table(documents):
     assert r.removal_report(documents([])).collect() == []
 
