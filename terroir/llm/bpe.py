@@ -1,9 +1,10 @@
 """Byte-level BPE in DuckDB: recursive contraction to encode, ordered aggregation to decode.
 
 Every Spark task holds an in-memory DuckDB with the merge table: a row for each way to cut a vocabulary token into two
-others, with the rank of the token. A batch's distinct words become token-position rows, one per byte. A recursive
-query joins neighbouring tokens with the merge table and contracts the leftmost pair of minimum rank of each word,
-step by step, until no pair of the word is in the table. Words done in fewer steps leave the recursion.
+others, with the rank of the token. A batch's distinct words become token-position rows, one per byte; a row has the
+id of the token before it as well, so that it is a pair. A recursive query joins the pairs with the merge table and
+contracts the leftmost pair of minimum rank of each word, step by step, until no pair of the word is in the table.
+Words done in fewer steps leave the recursion.
 
 The recursion keeps the rows of all its steps, about half the square of a word's bytes. So the words of one query are
 bounded by the sum of their squares, and a word of over ``LONG_BYTES`` is contracted by a loop of statements instead,
@@ -11,10 +12,11 @@ each of which replaces the word's token table. A step there contracts all places
 third, … of a run of overlapping ones, up to the first where the new token and a neighbour are a pair of lower rank:
 that pair would be taken next, and before it the leftmost place again and again.
 
-Decoding joins a batch's (document, position, id) rows with the token table and concatenates the tokens in order of
-position. A token is stored as text with a character for each of its bytes.
+Decoding cuts ids before each token that starts with a space and decodes a batch's distinct sequences once: their
+(stretch, position, id) rows are joined with the token table, and each stretch's tokens concatenated in order of
+position. A document is its sequences put together. A token is stored as text with a character for each of its bytes.
 
-Memory: a batch is cut into groups of texts of about four million characters (a longer text is a group of its own),
+Memory: a batch is cut into groups of texts of about eight million characters (a longer text is a group of its own),
 words into chunks of bounded bytes. A dictionary of bounded size keeps the ids of recent pieces of text, so that a
 word is contracted once per worker and not once per occurrence. It outlives a task, for the next one of the stage, and is
 given back when the worker has had no task for some seconds.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import threading
 import time
 from collections.abc import Iterator
@@ -35,6 +38,7 @@ from contextlib import contextmanager
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -44,32 +48,38 @@ from terroir.llm.pieces import KEPT, Encodings, grouped, retained
 # The characters of Unicode's White_Space property, which is what \s means to the reference library.
 WHITE = r"\t-\r \x85\xa0  -     　"
 
+#: One word of the split pattern; most pieces are.
+_WORD = re.compile(" ?[A-Za-z]+").fullmatch
+
 #: Bytes of the words contracted by one query, and the sum of their squares: twice the rows that its recursion keeps.
 CHUNK_BYTES = 400_000
 CHUNK_SQUARES = 3_000_000
+#: Characters of the texts encoded at once.
+CHARACTERS = 8_000_000
 #: Seconds without a task after which a worker forgets its dictionaries.
 IDLE_SECONDS = 4
+#: Ids that are concatenated by one group of the decoding query.
+STRETCH = 512
 #: Longer words are contracted by a loop of statements.
 LONG_BYTES = 1_500
 
 CONTRACT = """
-with recursive tokens(w, step, pos, prior, id) as (
-  select w, 0, pos, nullif(pos, 0) - 1, id from start
+with recursive tokens(w, step, pos, id, prior, prior_id) as (
+  select w, 0::smallint, pos, id, prior, prior_id from start
   union all
-  select t.w, t.step + 1, t.pos, if(t.prior = c.gone, c.place, t.prior), if(t.pos = c.place, c.rank, t.id)
+  select t.w, (t.step + 1)::smallint, t.pos, if(t.pos = c.place, c.rank, t.id),
+         if(t.prior = c.gone, c.place, t.prior), if(t.prior = c.gone, c.rank, t.prior_id)
   from tokens t join (
-    select w, best >> 32 as rank, best & 4294967295 as place, gone
+    select w, (best >> 32)::integer as rank, (best & 4294967295)::integer as place, gone
     from (
-      select a.w, min((m.rank << 32) | a.pos) as best, arg_min(b.pos, (m.rank << 32) | a.pos) as gone
-      from tokens a
-      join tokens b on b.w = a.w and b.prior = a.pos
-      join merges m on m.left_id = a.id and m.right_id = b.id
+      select a.w, min((m.rank::bigint << 32) | a.prior) as best, arg_min(a.pos, (m.rank::bigint << 32) | a.prior) as gone
+      from tokens a join merges m on m.left_id = a.prior_id and m.right_id = a.id
       group by a.w
     )
   ) c on c.w = t.w
   where t.pos <> c.gone
 )
-select w, list(id order by pos)::integer[] as ids
+select w, list(id order by pos) as ids
 from tokens join (select w, max(step) as step from tokens group by w) using (w, step)
 group by w
 """
@@ -136,15 +146,18 @@ class Bpe:
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         ]
-        first, second, rank = (pa.array(x, pa.int64()) for x in zip(*cuts, strict=True))
+        first, second, rank = (pa.array(x, pa.int32()) for x in zip(*cuts, strict=True))
         self._db.register("m", pa.table({"left_id": first, "right_id": second, "rank": rank}))
         self._db.execute("create table merges as select * from m")
         # Pairs that make a token of lower rank than one of theirs.
         self._db.execute("create table lowering as select * from merges where rank < greatest(left_id, right_id)")
-        names = pa.table({"id": pa.array([r for _, r in tokens], pa.int64()), "token": [t.decode("latin-1") for t, _ in tokens]})
+        names = pa.table({"id": pa.array([r for _, r in tokens], pa.int32()), "token": [t.decode("latin-1") for t, _ in tokens]})
         self._db.register("v", names)
         self._db.execute("create table vocabulary as select * from v")
-        self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self._spaced, self._size = np.zeros(tokens[-1][1] + 1, bool), np.zeros(tokens[-1][1] + 1, np.int64)
+        self._spaced[[r for t, r in tokens if t[:1] == b" "]] = True
+        self._size[[r for _, r in tokens]] = [len(t) for t, _ in tokens]
         self._words: dict[str, bytes] = {}
         self._encodings = Encodings(self._pieces, kept=self._kept + self._kept // 2, unit=4)
         self._lock, self._users, self._last_use = threading.Lock(), 0, 0.0
@@ -175,14 +188,14 @@ class Bpe:
                 self._encodings.forget()
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
-        split = [self._split(text) for text in texts]
+        split = [[text] if _WORD(text) else self._split(text) for text in texts]
         words = set().union(*split)
         if len(self._words) > self._kept:
             self._words = retained(self._words, words)
         new = list(words - self._words.keys())
         self._words.update(zip(new, self.contract([w.encode() for w in new]), strict=True))
         get = self._words.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
+        return [get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts)) for parts in split]
 
     def contract(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, as bytes of little-endian unsigned 32-bit integers."""
@@ -225,9 +238,11 @@ class Bpe:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(lengths)
         flat = np.frombuffer(b"".join(words), np.uint8)
-        word = np.repeat(np.arange(len(words)), lengths)
-        start = pa.table({"w": word, "pos": np.arange(len(flat)) - np.repeat(ends - lengths, lengths), "id": self._byte[flat]})
-        self._db.register("start", start)
+        pos, ids, firsts = np.arange(len(flat), dtype=np.int32), self._byte[flat], ends - lengths
+        prior, prior_id = pos - 1, np.roll(ids, 1)
+        prior[firsts] = prior_id[firsts] = -1
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        self._db.register("start", pa.table({"w": word, "pos": pos, "id": ids, "prior": prior, "prior_id": prior_id}))
         found = self._db.sql(CONTRACT).to_arrow_table()
         self._db.unregister("start")
         out = [b""] * len(words)
@@ -241,14 +256,33 @@ class Bpe:
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes that each sequence of ids stands for."""
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate([np.empty(0, "<u4"), *ids]).astype(np.int64)
-        starts = np.cumsum(lengths) - lengths
-        rows = {"d": np.repeat(np.arange(len(ids)), lengths), "pos": np.arange(len(flat)) - np.repeat(starts, lengths), "id": flat}
-        self._db.register("ids", pa.table(rows))
-        found = dict(self._db.execute(DECODE).fetchall())
+        stops = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat = np.concatenate([np.empty(0, "<u4"), *ids])
+        if not len(flat):
+            return [b""] * len(ids)
+        begins = self._spaced[flat]
+        begins[0] = True
+        begins[stops[stops < len(flat)]] = True
+        at = np.flatnonzero(begins)
+        places = pa.py_buffer(np.r_[at, len(flat)] * flat.itemsize)
+        cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, places, pa.py_buffer(flat)])
+        numbered = cut.dictionary_encode()
+        decoded = self._decode(numbered.dictionary).take(numbered.indices)
+        offsets, data = np.frombuffer(decoded.buffers()[1], np.int64), decoded.buffers()[2].to_pybytes()
+        upto = offsets[np.searchsorted(at, stops)].tolist()
+        return [data[a:b] for a, b in zip([0, *upto], upto, strict=False)]
+
+    def _decode(self, sequences: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """The bytes that each sequence of ids (little-endian unsigned 32-bit integers) stands for."""
+        ends = np.cumsum(pc.binary_length(sequences).to_numpy() // 4)
+        flat = np.frombuffer(b"".join(sequences.to_pylist()), "<u4").astype(np.int32)
+        pos = np.arange(len(flat), dtype=np.int32)
+        self._db.register("ids", pa.table({"d": pos // STRETCH, "pos": pos, "id": flat}))
+        found = self._db.execute(DECODE).fetchall()
         self._db.unregister("ids")
-        return [found.get(d, "").encode("latin-1") for d in range(len(ids))]
+        data = "".join(text for _, text in sorted(found)).encode("latin-1")
+        offsets = np.r_[0, np.cumsum(self._size[flat])[ends - 1]]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 _OPEN: dict[tuple[str, str, int | None], Bpe] = {}
@@ -280,7 +314,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep_ids: bool =
         def rows():
             for batch in batches:
                 doc_ids = iter(batch.column(0).to_pylist())
-                for texts in grouped(list(texts_of(batch))):
+                for texts in grouped(list(texts_of(batch)), CHARACTERS):
                     encoded = bpe.encode(texts)
                     for ids, decoded in zip(encoded, bpe.decode(encoded), strict=True):
                         yield (

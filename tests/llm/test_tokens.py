@@ -51,6 +51,16 @@ def test_encoding_and_decoding(reference):
     assert codec.encode([]) == [] and codec.decode([]) == []
 
 
+def test_equal_sequences_are_decoded_once(monkeypatch):
+    codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
+    given, decode, sizes = [*texts(), "the same words " * 3000, "", "the same words"], codec._decode, []
+    monkeypatch.setattr(codec, "_decode", lambda sequences: sizes.append(len(sequences)) or decode(sequences))
+    monkeypatch.setattr(bpe, "STRETCH", 7)
+    assert codec.decode(codec.encode(given)) == [t.encode() for t in given]
+    assert 0 < sum(sizes) < 6000
+    assert codec.decode(codec.encode(["", ""])) == [b"", b""]
+
+
 def test_full_dictionaries_change_nothing(reference, monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 20)
     monkeypatch.setattr(bpe, "KEPT", 20)
