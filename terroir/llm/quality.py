@@ -50,8 +50,9 @@ QUANTILE, WIDEN = 0.96, 4.0
 CALIBRATING = 5
 #: Standard errors that are taken off a text's mean surprise.
 ERRORS = 1.0
-#: Bytes of text in a bucket, about. A task streams them; what it holds is the bucket's distinct grams.
-BUCKET_BYTES = 16 << 20
+#: Bytes of text in a bucket, about. A task streams them; what it holds is the bucket's distinct grams. These grow far
+#: slower than its text, so twice the bytes are fewer rows in all to list, join and send back.
+BUCKET_BYTES = 32 << 20
 #: Bytes of text in a pack before it is compressed.
 PACK_BYTES = 8 << 20
 #: Grams gathered in a task before they are made distinct again.

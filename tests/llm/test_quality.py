@@ -120,6 +120,20 @@ def test_tables_grow_with_the_corpus(spark):
     assert sizes[1] > 1.5 * sizes[0]
 
 
+def test_a_full_bucket_lists_few_grams_for_its_bytes(spark):
+    """What is listed, joined and sent back for a bucket of prose is a small part of its text."""
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").toArrow().column("text").to_pylist()
+    found, held, size = np.empty(0, np.int64), [], 0
+    for i, text in enumerate(texts, 1):
+        held.append(q.grams((text or "").encode()))
+        size += len(held[-1])
+        if not i % 500 or i == len(texts) or size >= q.BUCKET_BYTES:
+            found, held = np.unique(np.concatenate([found, *held])), []
+        if size >= q.BUCKET_BYTES:
+            break
+    assert len(found) < 0.011 * size
+
+
 def test_very_long_and_repeated_documents(spark, documents):
     clean = [prose(60) for _ in range(60)]
     docs = documents([*enumerate(clean), (100, prose(60_000)), (101, clean[3]), (101, clean[3])])
